@@ -11,28 +11,30 @@ from pagemill.operators.pages import page_model
 from pagemill.plans import families as E
 from pagemill.session import table
 
-PAGE = F.col("page_key").alias("page_id")
+
+def page_id():
+    return F.col("page_key").alias("page_id")
 
 
 @query("select p_partkey as page_id, p_name as name, p_type as type, p_brand as source, 'size ' || p_size as usage, 'about ' || p_name as description from part")
 def wiki_entity_item(spark, folder):
     """E8."""
     pages = part_pages(spark, folder, "{{道具|名称=<name>|类型='''<type>'''|获取方式=[[<brand>]]|用处=size {{颜色|red|x}}<size>|描述=about <name>}}")
-    return E.items(page_model(pages)).select(PAGE, "name", "type", "source", "usage", "description")
+    return E.items(page_model(pages)).select(page_id(), "name", "type", "source", "usage", "description")
 
 
 @query("select p_partkey as page_id, p_name as name, p_type as type, p_brand || ' x' as source, 'about ' || p_name as description, 'size ' || p_size as usage from part")
 def wiki_entity_material(spark, folder):
     """The raw parameter text keeps what a nested template's bars would cut."""
     pages = part_pages(spark, folder, "{{材料属性\n|名称=<name>\n|类型=<type>\n|来源=<brand> {{q|a\n|b}}x\n|介绍=about <name>\n|用途=size <size>\n}}")
-    return E.materials(page_model(pages)).select(PAGE, "name", "type", "source", "description", "usage")
+    return E.materials(page_model(pages)).select(page_id(), "name", "type", "source", "description", "usage")
 
 
 @query("select p_partkey as page_id, 'P' || p_partkey as name, p_brand as obtain_method, p_name || chr(10) || p_type as description from part")
 def wiki_entity_card(spark, folder):
     """E10."""
     pages = part_pages(spark, folder, "{{名片|获取方式=<brand>|描述=<name><br/>\n<type>}}")
-    return E.namecards(page_model(pages)).select(PAGE, "name", "obtain_method", "description")
+    return E.namecards(page_model(pages)).select(page_id(), "name", "obtain_method", "description")
 
 
 @query("""
@@ -47,7 +49,7 @@ def wiki_entity_quest_item(spark, folder):
         F.col("p_partkey").alias("page_key"), F.lit("").alias("title"),
         F.concat(fill("{{任务道具|名称=<n>|类型=<t>|相关任务=Q<s>|获取方式=<b>", n="p_name", t="p_type", s="p_size", b="p_brand"),
                  F.when(F.col("p_size") % 2 == 0, field).otherwise(""), F.lit("}}"), tail).alias("text"))
-    return E.quest_items(page_model(pages)).select(PAGE, "name", "type", "related_quest", "obtain_method", "content")
+    return E.quest_items(page_model(pages)).select(page_id(), "name", "type", "related_quest", "obtain_method", "content")
 
 
 @query("""
@@ -58,7 +60,7 @@ def wiki_entity_wildlife(spark, folder):
     """E6."""
     pages = part_pages(spark, folder, "{{野生生物图鉴|名称=<name>|类型=<type>|种类=<brand>|分布=L<size>|是否可捕捉=yes|鱼饵=<brand>|钓鱼地点=L<size>}}")
     return E.wildlife(page_model(pages)).select(
-        PAGE, "name", "type", "species", "locations", "capturable", F.col("fishing.bait").alias("bait"),
+        page_id(), "name", "type", "species", "locations", "capturable", F.col("fishing.bait").alias("bait"),
         F.col("fishing.time").alias("fishing_time"), F.col("fishing.location").alias("fishing_place"))
 
 
@@ -72,7 +74,7 @@ def wiki_entity_food(spark, folder):
     pages = part_pages(spark, folder, "{{食物图鉴|名称=<name>|类型=t|介绍=good <name>|美味介绍=best <name>|食材=<brand>}}{{特殊|特殊料理角色=cook <brand>}}\n"
                        "== 食谱信息 ==\nx\n食谱获取方式：buy <type>\n== 特殊料理 ==\ndish <size>\nmore\n")
     return E.foods(page_model(pages)).select(
-        PAGE, "name", "normal_description", "perfect_description", "failed_description", "ingredients", "recipe_obtain_method",
+        page_id(), "name", "normal_description", "perfect_description", "failed_description", "ingredients", "recipe_obtain_method",
         "special_dish", "special_dish_character")
 
 
@@ -94,7 +96,7 @@ def wiki_entity_weapon(spark, folder):
         F.concat(fill("{{武器图鉴|类型=<t>|突破普通材料1=T<s>|故事=<n><br><br><br><b>|获取途径=", t="p_type", s="p_size", n="p_name", b="p_brand"),
                  way, forge, fill("}}{{武器突破|突破武器材料1=<n>|突破武器材料2=<b>|突破武器材料3=<n>}}", n="p_name", b="p_brand")).alias("text"))
     return E.weapons(page_model(pages)).select(
-        PAGE, "weapon_type", joined("weapon_materials").alias("weapon_materials"), joined("common_materials").alias("common_materials"),
+        page_id(), "weapon_type", joined("weapon_materials").alias("weapon_materials"), joined("common_materials").alias("common_materials"),
         "obtaining_method", "forging", "refining", "story")
 
 
@@ -115,12 +117,12 @@ def wiki_entity_set(spark, folder):
         F.concat(fill("{{圣遗物属性|生之花=<n>|生之花描述=d <s>|死之羽名称=<b>|死之羽故事=s<br><n>|理之冠=<t>", n="p_name", s="p_size", b="p_brand", t="p_type"),
                  way, F.lit("}}")).alias("text"))
     built = E.artifact_sets(page_model(pages)).select("page_key", "obtaining_method", F.explode("pieces").alias("p"))
-    return built.select(PAGE, "p.slot", "p.name", "p.description", "p.story", "obtaining_method")
+    return built.select(page_id(), "p.slot", "p.name", "p.description", "p.story", "obtaining_method")
 
 
 @query("""
 select p_partkey as page_id, p_type as monster_class, p_brand as monster_type, 'A、B' || p_size as location,
-       case p_size % 3 when 0 then p_name || '|' || p_brand when 1 then p_name || '|' || p_brand || '|X' else p_type end as drops,
+       case p_size % 3 when 0 then p_name || '|' || p_brand when 1 then replace(p_name, ' ', '|') || '|' || p_brand || '|X' else p_type end as drops,
        'about ' || p_name as description
 from part
 """)
@@ -133,7 +135,7 @@ def wiki_entity_monster(spark, folder):
         F.col("p_partkey").alias("page_key"), F.lit("").alias("title"),
         F.concat(fill("about <n>\n{{怪物信息栏|怪物类别=<t>|类型=<b>|地点=[[A]]<br>[[z|B<s>]]", n="p_name", t="p_type", b="p_brand", s="p_size"), drops,
                  fill("}}{{混沌掉落|素材1=<t>}}", t="p_type")).alias("text"))
-    return E.monsters(page_model(pages)).select(PAGE, "monster_class", "monster_type", "location", joined("drops").alias("drops"), "description")
+    return E.monsters(page_model(pages)).select(page_id(), "monster_class", "monster_type", "location", joined("drops").alias("drops"), "description")
 
 
 @query("""
@@ -155,7 +157,7 @@ def wiki_entity_domain(spark, folder):
         F.col("p_partkey").alias("page_key"), F.lit("").alias("title"),
         F.concat(F.lit("{{秘境副本|秘境类型="), kind, fill("|秘境名称=<n>|难度1掉落=low|难度4掉落=", n="p_name"), drops, F.lit("}}")).alias("text"))
     built = E.secret_items(page_model(pages, with_sections=True)).select("page_key", "name", F.explode("drops").alias("slot", "value"))
-    return built.select(PAGE, "name", "slot", "value")
+    return built.select(page_id(), "name", "slot", "value")
 
 
 @query("""
@@ -171,7 +173,7 @@ def wiki_entity_book(spark, folder):
                    "{{书籍信息|体裁=genre <name>|国家=<nation>|卷1名=<name>|卷1描述=d {{颜色|red|<name>}}|卷1内容=line<br><name>}}{{书籍|卷2名=two|卷2内容=[[x|K<key>]]}}",
                    name="s_name", nation="s_nationkey", key="s_suppkey")
     built = E.books(page_model(pages, with_sections=False)).select("page_key", "genre", "country", F.explode("volumes").alias("v"))
-    return built.select(PAGE, "genre", "country", "v.number", "v.name", "v.description", "v.content")
+    return built.select(page_id(), "genre", "country", "v.number", "v.name", "v.description", "v.content")
 
 
 @query("""
@@ -201,7 +203,7 @@ def wiki_entity_character(spark, folder):
         return F.array_join(F.transform(column, lambda r: F.concat(r["title"], F.lit("="), r["content"])), "|").alias(column)
 
     return built.select(
-        PAGE, F.array_join("titles", "、").alias("titles"), "full_name", F.array_join("nicknames", "、").alias("nicknames"), "introduction",
+        page_id(), F.array_join("titles", "、").alias("titles"), "full_name", F.array_join("nicknames", "、").alias("nicknames"), "introduction",
         F.col("talents")[0]["name"].alias("talent"), F.col("constellations")[0]["effect"].alias("effect"), pairs("stories"), pairs("notes"),
         pairs("introductions"), pairs("story_sections"), F.concat("power.title", F.lit("="), "power.content").alias("power"), pairs("voices"))
 
@@ -221,7 +223,7 @@ def wiki_entity_quest(spark, folder):
         key="o_orderkey", ch="o_custkey % 9 + 1", st="o_orderstatus", cust="o_custkey", pri="o_orderpriority", next="o_orderkey + 1")
     built = E.main_quests(page_model(pages, with_sections=True))
     return built.select(
-        PAGE, "name", "kind", "english_title", "subtitle.chapter", "subtitle.chapter_name", "subtitle.act", "subtitle.act_name",
+        page_id(), "name", "kind", "english_title", "subtitle.chapter", "subtitle.chapter_name", "subtitle.act", "subtitle.act_name",
         joined("objectives").alias("objectives"),
         F.array_join(F.transform("rewards", lambda r: F.concat_ws("=", r["name"], r["amount"])), "|").alias("rewards"),
         joined("related_npcs").alias("npcs"),
@@ -242,7 +244,7 @@ def wiki_entity_event_quest(spark, folder):
         "== 后续任务 ==\n* X <key>\n== 所属任务 ==\n* E<nation>\n* z\n== 任务剧情 ==\n> about <name>\nmore\n",
         key="c_custkey", nation="c_nationkey", seg="c_mktsegment", name="c_name")
     return E.event_quests(page_model(pages)).select(
-        PAGE, "name", "region", "related_event", "event_period", joined("related_characters").alias("related_characters"), "previous_quest",
+        page_id(), "name", "region", "related_event", "event_period", joined("related_characters").alias("related_characters"), "previous_quest",
         "next_quest", "description")
 
 
@@ -258,7 +260,7 @@ def wiki_entity_character_quest(spark, folder):
         "about <name>\n{{任务|任务名称=Quest <key>|国家=N<nation>|系列任务=[[Ch<nation>（系列任务）]]、[[Act <seg>(任务)]]}}\n== 任务流程 ==\n* go\n* <name>\n",
         key="c_custkey", nation="c_nationkey", seg="c_mktsegment", name="c_name")
     return E.character_quests(page_model(pages)).select(
-        PAGE, "name", "region", "chapter_name", "related_quest", "description", joined("objectives").alias("objectives"))
+        page_id(), "name", "region", "chapter_name", "related_quest", "description", joined("objectives").alias("objectives"))
 
 
 @query("""
@@ -269,7 +271,7 @@ def entity_export(spark, folder):
     """JSON documents with localised names in export order."""
     pages = render(table(spark, folder, "part"), "p_partkey", "p_name", "{{素材图鉴|名称=<name>|类型=<type>|来源=<brand>|介绍=about <name>|版本=<v>.0}}",
                        name="p_name", type="p_type", brand="p_brand", v="p_size % 6 + 1")
-    return E.export(E.items(page_model(pages)), "items").select(PAGE, "document")
+    return E.export(E.items(page_model(pages)), "items").select(page_id(), "document")
 
 
 @query("""
@@ -283,12 +285,12 @@ def generic_page(spark, folder):
     built = E.generic(page_model(pages))
     flat = F.flatten(F.transform("templates", lambda t: F.transform(t["keys"], lambda k: F.concat(t["name"], F.lit(":"), F.element_at(t["raw"], k)))))
     titles = F.transform(F.slice("sections", 2, 9), lambda s: s["title"])
-    return built.select(PAGE, "summary", joined("categories").alias("categories"), F.size("templates").cast("bigint").alias("n_templates"),
+    return built.select(page_id(), "summary", joined("categories").alias("categories"), F.size("templates").cast("bigint").alias("n_templates"),
                         joined(flat).alias("params"), joined(titles).alias("section_titles"))
 
 
 @query("""
-select cast(place as integer), family, cast(built as bigint), cast(with_version as bigint), cast(missing as bigint) from (
+select cast(place as integer) as place, family, cast(built as bigint) as built, cast(with_version as bigint) as with_version, cast(missing as bigint) as missing from (
   select 4 as place, 'weapons' as family, count(*) filter (p_size % 2 = 0 and p_partkey % 10 <> 0) as built,
          count(*) filter (p_size % 2 = 0 and p_partkey % 10 <> 0) as with_version, count(*) filter (p_size % 2 = 0 and p_partkey % 10 = 0) as missing from part
   union all

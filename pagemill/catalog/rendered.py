@@ -60,8 +60,7 @@ def template_params(spark, folder):
 select p_partkey as page_id, u.kind, cast(u.depth as bigint) as depth, cast(u.start_at as bigint) as start_at, cast(u.end_at as bigint) as end_at,
        cast(u.parent as bigint) as parent_start
 from (select *, length(p_name) as n, length(p_brand) as b, length(cast(p_size as varchar)) as z from part),
-lateral (values ('template', 1, 5, 5 + 9 + n + 5 + z + 2 + 3 + b + 2 + 2, null), ('template', 2, 14 + n, 14 + n + 5 + z + 2, 5),
-                ('link', 1, 14 + n + 5 + z + 2 + 1, 14 + n + 5 + z + 2 + 1 + 2 + b + 2, null)) u(kind, depth, start_at, end_at, parent)
+lateral (values ('template', 1, 5, 27 + n + z + b, null), ('template', 2, 13 + n, 20 + n + z, 5), ('link', 1, 21 + n + z, 25 + n + z + b, null)) u(kind, depth, start_at, end_at, parent)
 """)
 def markup_spans(spark, folder):
     """Template and link ranges with depth and parent; stray and unclosed marks give no span."""

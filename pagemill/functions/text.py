@@ -264,4 +264,11 @@ def content_id(*parts: Column) -> Column:
 
 def first_text(*values: Column) -> Column:
     """The first value that is neither null nor empty, else the empty text."""
-    return F.coalesce(*[F.nullif(v, F.lit("")) for v in values], F.lit(""))
+    *tries, out = values
+    for value in reversed(tries):
+        out = let(value, _or_else(out))
+    return F.coalesce(out, F.lit(""))
+
+
+def _or_else(rest: Column) -> Callable[[Column], Column]:
+    return lambda v: F.when(v != "", v).otherwise(rest)

@@ -26,14 +26,16 @@ def heading_parts(value: Column) -> Column:
 
     def read(text: Column) -> Column:
         named = F.regexp_extract(text, B.CHAPTER, 1)
-        chapter = F.when(named != "", named).otherwise(
-            F.regexp_extract(text, rf"^({special})(?:$|[ ·・\-：:、，,])", 1))
-        act = F.regexp_extract(text, B.ACT, 1)
-        after = F.when(chapter == "", "").otherwise(_after(text, chapter))
-        name = F.when((act != "") & after.contains(act), _before(after, act)).otherwise(after)
+        chapter = T.first_text(named, F.regexp_extract(text, rf"^({special})(?:$|[ ·・\-：:、，,])", 1))
+        return T.let(F.struct(text.alias("t"), chapter.alias("c"), F.regexp_extract(text, B.ACT, 1).alias("a")), name)
+
+    def name(x: Column) -> Column:
+        after = F.when(x["c"] == "", "").otherwise(_after(x["t"], x["c"]))
         return F.struct(
-            chapter.alias("chapter"), F.btrim(name, F.lit(EDGES)).alias("chapter_name"), act.alias("act"),
-            F.when(act == "", "").otherwise(F.btrim(_after(text, act), F.lit(EDGES))).alias("act_name"))
+            x["c"].alias("chapter"),
+            F.btrim(F.when((x["a"] != "") & after.contains(x["a"]), _before(after, x["a"])).otherwise(after), F.lit(EDGES)).alias("chapter_name"),
+            x["a"].alias("act"),
+            F.when(x["a"] == "", "").otherwise(F.btrim(_after(x["t"], x["a"]), F.lit(EDGES))).alias("act_name"))
 
     return T.let(T.strip(T.plain(value)), read)
 
@@ -48,11 +50,8 @@ def _before(text: Column, part: Column) -> Column:
 
 def chapter_act(value: Column) -> Column:
     """Chapter and act of a text; without either token the whole text is the chapter."""
-    parts = heading_parts(value)
     text = F.regexp_replace(T.plain(value), r"\s+", " ")
-    return F.struct(
-        F.when((parts["chapter"] == ""), text).otherwise(parts["chapter"]).alias("chapter"),
-        parts["act"].alias("act"))
+    return T.let(heading_parts(value), lambda p: F.struct(T.first_text(p["chapter"], text).alias("chapter"), p["act"].alias("act")))
 
 
 def split_act(value: Column) -> Column:

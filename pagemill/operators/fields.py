@@ -57,7 +57,7 @@ def first_value(values: Column) -> Column:
 
 
 def _at_best(templates: Column, rank) -> Column:
-    best = F.array_max(F.filter(F.transform(templates, rank), lambda r: r.isNotNull()))
+    best = F.array_max(F.transform(templates, rank))
     return F.get(templates, -best["at"])
 
 
@@ -114,40 +114,65 @@ def best_quest_template(templates: Column | str) -> Column:
     return _at_best(T.col(templates), rank)
 
 
-def raw_param(text: Column | str, aliases: Sequence[str]) -> Column:
-    """Text after a line-leading ``|alias=`` up to the next line-leading bar or close at depth 0."""
-    def after(alias: str) -> Column:
-        rest = F.regexp_extract(T.col(text), rf"(?ms)^\|\Q{alias}\E=(.*)\z", 1)
-        parts = F.regexp_extract_all(rest, F.lit(r"(?s)(?:\{\{|\}\}|\[\[|\]\]|\n\||.)[^{}\[\]\n]*"), F.lit(0))
-        start = F.struct(F.lit("").alias("text"), F.lit(0).alias("braces"), F.lit(0).alias("links"), F.lit(False).alias("done"))
+def first_of(names: Column, value) -> Column:
+    """``value(name)`` of the first name for which it is not empty; later names are not evaluated."""
+    def step(found: Column, name: Column) -> Column:
+        return F.when(found != "", found).otherwise(F.coalesce(value(name), F.lit("")))
+
+    return F.aggregate(names, F.lit(""), step)
 
-        def step(s: Column, p: Column) -> Column:
-            flat = s["braces"] == 0
-            stop = s["done"] | (p.startswith("}}") & flat) | (p.startswith("\n|") & flat & (s["links"] == 0))
-            braces = F.when(p.startswith("{{"), s["braces"] + 1).when(p.startswith("}}"), s["braces"] - 1).otherwise(s["braces"])
-            links = F.when(p.startswith("[["), s["links"] + 1).when(p.startswith("]]"), F.greatest(s["links"] - 1, F.lit(0))).otherwise(s["links"])
-            return F.when(stop, F.struct(s["text"].alias("text"), s["braces"].alias("braces"), s["links"].alias("links"), F.lit(True).alias("done"))).otherwise(
-                F.struct(F.concat(s["text"], p).alias("text"), braces.alias("braces"), links.alias("links"), F.lit(False).alias("done")))
 
-        return F.nullif(T.strip(F.aggregate(parts, start, step)["text"]), F.lit(""))
+def _raw_one(text: Column, alias: Column) -> Column:
+    rest = F.call_function("regexp_extract", text, F.concat(F.lit(r"(?ms)^\|\Q"), alias, F.lit(r"\E=(.*)\z")), F.lit(1))
+    parts = F.regexp_extract_all(rest, F.lit(r"(?s)(?:\{\{|\}\}|\[\[|\]\]|\n\||.)[^{}\[\]\n]*"), F.lit(0))
+    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("braces"), F.lit(0).alias("links"), F.lit(False).alias("done"))
+
+    def step(s: Column, p: Column) -> Column:
+        flat = s["braces"] == 0
+        stop = s["done"] | (flat & (p.startswith("}}") | (p.startswith("\n|") & (s["links"] == 0))))
+        braces = s["braces"] + F.when(p.startswith("{{"), 1).when(p.startswith("}}"), -1).otherwise(0)
+        links = F.greatest(s["links"] + F.when(p.startswith("[["), 1).when(p.startswith("]]"), -1).otherwise(0), F.lit(0))
+        return F.struct(
+            F.when(stop, s["text"]).otherwise(F.concat(s["text"], p)).alias("text"),
+            F.when(stop, s["braces"]).otherwise(braces).alias("braces"),
+            F.when(stop, s["links"]).otherwise(links).alias("links"), stop.alias("done"))
 
-    return F.coalesce(*[after(a) for a in aliases])
+    return T.strip(F.aggregate(parts, start, step)["text"])
 
 
-def resolve(templates: Column | str, preferred: Column | None, aliases: Sequence[str], text: Column | str | None = None,
+def _names(aliases: Sequence[str] | Column) -> Column:
+    return aliases if isinstance(aliases, Column) else F.array(*[F.lit(a) for a in aliases])
+
+
+def raw_param(text: Column | str, aliases: Sequence[str] | Column) -> Column:
+    """Text after a line-leading ``|alias=`` up to the next line-leading bar or close at depth 0."""
+    return first_of(_names(aliases), lambda alias: _raw_one(T.col(text), alias))
+
+
+def _pick_any(params: Column, names: Column) -> Column:
+    return first_of(names, lambda a: F.nullif(F.element_at(params, a), F.lit("[[]]")))
+
+
+def resolve(templates: Column | str, preferred: Column | None, aliases: Sequence[str] | Column, text: Column | str | None = None,
             *, form: str = "plain") -> Column:
     """Aliases in the preferred template, then in every template, then in the raw text."""
-    tries = [] if preferred is None else [pick(preferred[form], aliases)]
-    tries.append(first_value(F.transform(T.col(templates), lambda t: pick(t[form], aliases))))
-    if text is not None:
-        found = raw_param(text, aliases)
-        tries.append(F.nullif(T.plain(found) if form == "plain" else T.normalize(found), F.lit("")))
-    return F.coalesce(*tries, F.lit(""))
+    names = _names(aliases)
+
+    def in_template(found: Column, t: Column) -> Column:
+        return F.when(found != "", found).otherwise(_pick_any(t[form], names))
+
+    start = F.lit("") if preferred is None else F.coalesce(_pick_any(preferred[form], names), F.lit(""))
+    found = F.aggregate(T.col(templates), start, in_template)
+    if text is None:
+        return found
+    clean = T.plain if form == "plain" else T.normalize
+    return T.let(found, lambda v: F.when(v != "", v).otherwise(clean(raw_param(text, names))))
 
 
 def highest_level(templates: Column | str, preferred: Column | None, text: Column | str | None = None) -> Column:
     """The first of the levels 6 to 1 that has a value."""
-    return T.first_text(*[resolve(templates, preferred, (f"难度{k}掉落",), text, form="norm") for k in range(6, 0, -1)])
+    levels = F.array(*[F.lit(f"难度{k}掉落") for k in range(6, 0, -1)])
+    return first_of(levels, lambda name: resolve(templates, preferred, F.array(name), text, form="norm"))
 
 
 def record_title(templates: Column | str, preferred: Column | None, aliases: Sequence[str], title: Column, text=None) -> Column:

@@ -19,7 +19,7 @@ def categories(text: Column | str, payload: Column | None = None) -> Column:
         return own
     named = F.transform(payload, lambda c: T.strip(F.regexp_replace(c, r"^[^:]*:", "")))
     given = F.array_sort(F.array_distinct(F.filter(named, lambda c: c != "")))
-    return F.when(F.size(own) > 0, own).otherwise(given)
+    return T.let(own, lambda o: F.when(F.size(o) > 0, o).otherwise(given))
 
 
 def list_items(text: Column | str) -> Column:
@@ -30,10 +30,12 @@ def list_items(text: Column | str) -> Column:
 
 def link_titles(raw: Column | str) -> Column:
     """Link targets in order, files and categories left out; without links, the list lines."""
-    normal = T.normalize(raw)
-    targets = F.transform(F.regexp_extract_all(normal, F.lit(LINK_TARGET), F.lit(1)), T.plain)
-    kept = F.array_distinct(F.filter(targets, lambda t: (t != "") & ~t.rlike(NOT_A_PAGE)))
-    return F.when(F.size(kept) > 0, kept).otherwise(F.array_distinct(list_items(T.plain(raw))))
+    def read(normal: Column) -> Column:
+        targets = F.transform(F.regexp_extract_all(normal, F.lit(LINK_TARGET), F.lit(1)), T.plain)
+        kept = F.array_distinct(F.filter(targets, lambda t: (t != "") & ~t.rlike(NOT_A_PAGE)))
+        return T.let(kept, lambda k: F.when(F.size(k) > 0, k).otherwise(F.array_distinct(list_items(T.plain(normal)))))
+
+    return T.let(T.normalize(raw), read)
 
 
 def related_names(raw: Column | str) -> Column:

@@ -152,7 +152,7 @@ def rewards(raw: Column) -> Column:
         F.nullif(T.strip(F.regexp_replace(F.coalesce(F.get(a, F.lit(1)), F.lit("")), ",", "")), F.lit("")).alias("amount"))),
         lambda r: r["name"] != "")
     from_list = F.transform(links.split_list(raw), lambda n: F.struct(n.alias("name"), F.lit(None).cast("string").alias("amount")))
-    return F.when(F.size(from_icons) > 0, from_icons).otherwise(from_list)
+    return T.let(from_icons, lambda found: F.when(F.size(found) > 0, found).otherwise(from_list))
 
 
 def reward_summary(rows: DataFrame, keys: list[str], position: Column, name: str, amount: str) -> DataFrame:
@@ -183,13 +183,16 @@ def reference_chunks(raw: Column) -> Column:
 def references(raw: Column) -> Column:
     """Title, chapter and act of every reference, distinct."""
     def read(chunk: Column) -> Column:
-        shown = T.strip_list_prefix(T.plain(chunk))
         targets = F.transform(F.regexp_extract_all(chunk, F.lit(links.LINK_TARGET), F.lit(1)), T.plain)
         target = F.coalesce(F.get(F.filter(targets, lambda t: (t != "") & ~t.rlike(links.NOT_A_PAGE)), F.lit(0)), F.lit(""))
-        quoted = T.strip(F.regexp_extract(shown, "[「『“\"]\\s*([^」』”\"]+?)\\s*[」』”\"]", 1))
-        bare = F.btrim(F.regexp_replace(shown, "[「」『』“”\"'（）()【】\\[\\]]", ""), F.lit(" ·．•-—:："))
-        parts = titles.heading_parts(shown)
-        return F.struct(T.first_text(target, quoted, bare).alias("title"), parts["chapter"].alias("chapter"), parts["act"].alias("act"))
+
+        def named(shown: Column) -> Column:
+            quoted = T.strip(F.regexp_extract(shown, "[「『“\"]\\s*([^」』”\"]+?)\\s*[」』”\"]", 1))
+            bare = F.btrim(F.regexp_replace(shown, "[「」『』“”\"'（）()【】\\[\\]]", ""), F.lit(" ·．•-—:："))
+            return T.let(titles.heading_parts(shown), lambda parts: F.struct(
+                T.first_text(target, quoted, bare).alias("title"), parts["chapter"].alias("chapter"), parts["act"].alias("act")))
+
+        return T.let(T.strip_list_prefix(T.plain(chunk)), named)
 
     return F.array_distinct(F.filter(F.transform(reference_chunks(raw), read), lambda r: r["title"] != ""))
 
@@ -203,67 +206,84 @@ def monster_drops(templates: Column | str, params: Column) -> Column:
     """Boss list, or drop list and other drops, or any drop-like template."""
     drop = F.coalesce(F.element_at(params, "掉落素材"), F.lit(""))
     boss = F.filter(drop_split(F.coalesce(F.element_at(params, "BOSS素材"), F.lit(""))), lambda m: m != "摩拉")
-    own = drop_split(T.light_clean(drop))
     other = drop_split(T.light_clean(F.coalesce(F.element_at(params, "其他掉落"), F.lit(""))))
-    listed = F.when(T.strip(drop) == "BOSS", boss).otherwise(F.concat(own, F.array_except(other, own)))
+    listed = F.when(T.strip(drop) == "BOSS", boss).otherwise(T.let(
+        drop_split(T.light_clean(drop)), lambda own: F.concat(own, F.array_except(other, own))))
     like = F.filter(T.col(templates), lambda t: t["name"].rlike("混沌|掉落"))
     fallback = F.flatten(F.transform(like, lambda t: F.filter(
         F.transform(F.filter(t["keys"], lambda k: k.rlike("素材|掉落|material")), lambda k: T.light_clean(F.element_at(t["raw"], k))),
         lambda v: v != "")))
-    return B.drop_filter(F.when(F.size(listed) > 0, listed).otherwise(fallback))
+    return B.drop_filter(T.let(listed, lambda found: F.when(F.size(found) > 0, found).otherwise(fallback)))
 
 
 def _names(value: Column, only: str | None) -> Column:
     """Icon titles, else link targets, else list parts; each list distinct in order."""
-    found = icons(T.normalize(value))
+    def part(i: int):
+        return lambda a: F.coalesce(F.get(a, F.lit(i)), F.lit(""))
+
     if only is None:
-        named = F.transform(found, lambda a: T.first_text(F.coalesce(F.get(a, F.lit(1)), F.lit("")), F.coalesce(F.get(a, F.lit(0)), F.lit(""))))
+        def title(a: Column) -> Column:
+            return T.first_text(part(1)(a), part(0)(a))
     else:
-        named = F.transform(F.filter(found, lambda a: F.get(a, F.lit(0)) == only), lambda a: F.coalesce(F.get(a, F.lit(1)), F.lit("")))
-    titles_ = F.array_distinct(F.filter(named, lambda x: x != ""))
-    targets = F.array_distinct(F.filter(
-        F.transform(F.regexp_extract_all(T.normalize(value), F.lit(links.LINK_TARGET), F.lit(1)), T.plain),
-        lambda t: (t != "") & ~t.rlike(links.NOT_A_PAGE)))
-    parts = F.array_distinct(F.filter(
-        F.transform(F.split(T.plain(value), r"[\n,，、/]+"), lambda x: F.btrim(x, F.lit(" -*\t"))), lambda x: x != ""))
-    enough = 1 if only is None else 2
-    return F.when(F.size(titles_) >= enough, titles_).when(F.size(targets) >= enough, targets).otherwise(parts)
+        def title(a: Column) -> Column:
+            return F.when(part(0)(a) == only, part(1)(a)).otherwise("")
 
+    def filled(items: Column) -> Column:
+        return F.array_distinct(F.filter(items, lambda x: x != ""))
 
-def _last(items: Column, n: int) -> Column:
-    return F.slice(items, F.greatest(F.size(items) - n + 1, F.lit(1)), F.lit(n))
+    def pick(normal: Column) -> Column:
+        named = filled(F.transform(icons(normal), title))
+        targets = filled(F.transform(
+            F.transform(F.regexp_extract_all(normal, F.lit(links.LINK_TARGET), F.lit(1)), T.plain),
+            lambda t: F.when(t.rlike(links.NOT_A_PAGE), "").otherwise(t)))
+        parts = filled(F.transform(F.split(T.plain(normal), r"[\n,，、/]+"), lambda x: F.btrim(x, F.lit(" -*\t"))))
+        enough = 1 if only is None else 2
+        return D.first_value(F.array(T.let(named, lambda n: F.when(F.size(n) >= enough, n)),
+                                     T.let(targets, lambda n: F.when(F.size(n) >= enough, n)), parts))
 
+    return T.let(T.normalize(value), pick)
 
-def _numbered(prefix: str, items: Column, count: int) -> Column:
-    return F.map_from_arrays(F.array(*[F.lit(f"{prefix}{i + 1}") for i in range(count)]),
-                             F.array(*[F.coalesce(F.get(items, F.lit(i)), F.lit("")) for i in range(count)]))
 
+def _last(items: Column, n: int) -> Column:
+    return F.reverse(F.slice(F.reverse(items), F.lit(1), F.lit(n)))
+
+
+def _numbered(prefix: Column, items: Column, count: int) -> Column:
+    return T.let(items, lambda x: F.map_from_arrays(
+        F.array(*[F.concat(prefix, F.lit(str(i + 1))) for i in range(count)]),
+        F.array(*[F.coalesce(F.get(x, F.lit(i)), F.lit("")) for i in range(count)])))
 
-def domain_drops(kind: Column, value: Column) -> Column:
-    """By domain type the last two sets, the first three names, or the last three ruled groups."""
-    sets = _last(_names(value, "圣遗物"), 2)
-    two = F.map_from_arrays(F.array(F.lit("圣遗物1"), F.lit("圣遗物2")), F.array(
-        F.when(F.size(sets) >= 2, F.get(sets, F.size(sets) - 2)).otherwise(""),
-        F.coalesce(F.get(sets, F.size(sets) - 1), F.lit(""))))
-    segments = F.filter(F.transform(F.split(T.normalize(value), r"(?i)<hr\s*/?>"), T.strip), lambda s: s != "")
 
+def _groups(value: Column) -> Column:
     def group(segment: Column) -> Column:
         named = F.transform(F.filter(icons(segment), lambda a: F.get(a, F.lit(0)) != "圣遗物"), lambda a: T.first_text(
             F.coalesce(F.get(a, F.lit(1)), F.lit("")), F.coalesce(F.get(a, F.lit(0)), F.lit(""))))
-        listed = F.array_distinct(F.filter(named, lambda x: x != ""))
-        parts = F.array_distinct(F.filter(F.transform(F.split(T.plain(segment), r"[\n,，、/]+"), lambda x: F.btrim(x, F.lit(" -*\t"))), lambda x: x != ""))
-        return F.array_join(F.when(F.size(listed) > 0, listed).otherwise(parts), "、")
-
-    groups = _last(F.filter(F.transform(segments, group), lambda g: g != ""), 3)
-    plain_kind = T.plain(kind)
-    other = F.map_from_entries(F.transform(sets, lambda x, i: F.struct(F.concat(F.lit("掉落"), (i + 1).cast("string")), x)))
-    return (
-        F.when(plain_kind.contains("圣遗物秘境"), two)
-        .when(plain_kind.contains("BOSS秘境"), _numbered("材料", _names(value, None), 3))
-        .when(plain_kind.contains("天赋技能材料秘境"), _numbered("天赋技能材料", groups, 3))
-        .when(plain_kind.contains("武器突破材料秘境"), _numbered("武器突破材料", groups, 3))
-        .otherwise(other)
-    )
+        parts = F.transform(F.split(T.plain(segment), r"[\n,，、/]+"), lambda x: F.btrim(x, F.lit(" -*\t")))
+        listed, rest = (F.array_join(F.array_distinct(F.filter(c, lambda x: x != "")), "、") for c in (named, parts))
+        return T.first_text(listed, rest)
+
+    segments = F.split(T.normalize(value), r"(?i)<hr\s*/?>")
+    return F.filter(F.transform(F.filter(segments, lambda s: T.strip(s) != ""), group), lambda g: g != "")
+
+
+def domain_drops(kind: Column, value: Column) -> Column:
+    """By domain type the last two sets, the first three names, or the last three ruled groups."""
+    def by_kind(k: Column) -> Column:
+        def from_sets(sets: Column) -> Column:
+            two = F.map_from_arrays(F.array(F.lit("圣遗物1"), F.lit("圣遗物2")), F.array(
+                F.when(F.size(sets) >= 2, F.get(sets, F.lit(0))).otherwise(""),
+                F.coalesce(F.get(F.reverse(sets), F.lit(0)), F.lit(""))))
+            other = F.map_from_entries(F.transform(sets, lambda x, i: F.struct(F.concat(F.lit("掉落"), (i + 1).cast("string")), x)))
+            return F.when(k.contains("圣遗物秘境"), two).otherwise(other)
+
+        grouped = F.regexp_extract(k, "(天赋技能材料|武器突破材料)秘境", 1)
+        return (
+            F.when(k.contains("圣遗物秘境") | ((grouped == "") & ~k.contains("BOSS秘境")), T.let(_last(_names(value, "圣遗物"), 2), from_sets))
+            .when(k.contains("BOSS秘境"), _numbered(F.lit("材料"), _names(value, None), 3))
+            .otherwise(_numbered(grouped, _last(_groups(value), 3), 3))
+        )
+
+    return T.let(kind, by_kind)
 
 
 def weapon_source(raw: Column) -> Column:

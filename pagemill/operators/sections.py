@@ -139,4 +139,15 @@ def flow_titles(found: Column, flow_headings: Column) -> Column:
     stop = F.array_min(F.filter(
         F.transform(after, lambda t, i: F.when(t.isin(*FLOW_STOPS) & (i > 0), i)), lambda i: i.isNotNull()))
     kept = F.when(stop.isNull(), after).otherwise(F.slice(after, F.lit(1), stop))
-    return F.when(F.size(flow_headings) > 0, flow_headings).when(F.size(items) > 0, items).otherwise(kept)
+    return _first_filled(flow_headings, items, kept)
+
+
+def _first_filled(*lists: Column) -> Column:
+    """The first list that is not empty, else the last."""
+    def or_else(rest: Column):
+        return lambda x: F.when(F.size(x) > 0, x).otherwise(rest)
+
+    out = lists[-1]
+    for items in reversed(lists[:-1]):
+        out = T.let(items, or_else(out))
+    return out
