@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from pagemill.catalog import context, entities, native, rendered  # noqa: F401
+from pagemill.catalog import compare, context, entities, native, rendered, story  # noqa: F401
 from pagemill.catalog.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -43,7 +43,7 @@ def related_names(raw: Column | str) -> Column:
     targets = F.regexp_extract_all(T.col(raw), F.lit(LINK_TARGET), F.lit(1))
     bare = F.transform(targets, lambda t: T.strip(F.substring_index(t, "#", 1)))
     kept = F.filter(bare, lambda t: (t != "") & ~t.contains(":"))
-    return F.array_distinct(F.filter(F.transform(kept, T.clean_field), lambda t: t != ""))
+    return F.array_distinct(F.filter(F.transform(kept, lambda t: T.clean_field(t)), lambda t: t != ""))
 
 
 def split_list(raw: Column | str) -> Column:
