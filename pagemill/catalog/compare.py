@@ -417,7 +417,7 @@ def metadata_fields(spark, folder):
 
 
 @query("""
-select p_partkey as page_id, p_name || '|' || p_brand || '|X' as listed, p_name || '|' || p_brand || '|X|' || p_type as merged, p_brand || '|Y' as related, 'N' || p_size as first_item,
+select p_partkey as page_id, p_name || '|' || p_brand || '|X' as listed, p_name || '|' || p_brand || '|X|' || p_type as merged, split_part(p_brand, '#', 1) || '|Y' as related, 'N' || p_size as first_item,
        p_type as labelled from part
 """)
 def list_fields(spark, folder):

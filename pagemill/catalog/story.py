@@ -146,7 +146,7 @@ def branch_path(spark, folder):
 
 @query("""
 select p_partkey as page_id, u.text, u.branch, u.container from part,
-lateral (values ('in ' || p_name, p_name, 'tab'), ('nest|x', 'B', 'tab'), ('cond ' || p_size, '可选 ' || p_size, 'condition'), ('kept', '', 'fold'), ('say ' || p_brand, '', 'speech'),
+lateral (values ('in ' || p_name, p_name, 'tab'), ('nest', 'B', 'tab'), ('x', 'B', 'tab'), ('cond ' || p_size, '可选 ' || p_size, 'condition'), ('kept', '', 'fold'), ('say ' || p_brand, '', 'speech'),
                 ('after', '', 'section')) u(text, branch, container)
 """)
 def tabs_folds(spark, folder):
@@ -244,7 +244,7 @@ def encyclopedia_tree(spark, folder):
 
 @query("""
 select s_suppkey as page_id, u.kind, cast(u.level as integer) as level, u.title, u.parent, u.content, u.entries, u.related from supplier,
-lateral (values ('heading', 3, 'Era', '', 'text ' || s_name, '', ''), ('heading', 4, 'Sub', 'Era', '* loose', '', ''), ('item', 0, '500年', 'Sub', 'fell ' || s_name, 'one|two', s_name),
+lateral (values ('heading', 3, 'Era', '', 'text ' || s_name, '', ''), ('heading', 4, 'Sub', 'Era', 'loose', '', ''), ('item', 0, '500年', 'Sub', 'fell ' || s_name, 'one|two', split_part(s_name, '#', 1)),
                 ('item', 0, 'Bold', 'Sub', 'said', '', ''), ('heading', 3, 'Next', '', '', '', '')) u(kind, level, title, parent, content, entries, related)
 """)
 def chronicle_tree(spark, folder):
@@ -260,7 +260,7 @@ def chronicle_tree(spark, folder):
 
 @query("""
 select s_suppkey as page_id, u.era, u.year, u.background, u.events, u.factions, u.related from supplier,
-lateral (values ('Era', '', 'intro ' || s_name || '。', '', '', ''), ('Era', '500年', '王朝灭亡。民众离开。' || s_name, '王朝灭亡。民众离开。' || s_name, '王朝灭亡。', s_name),
+lateral (values ('Era', '', 'intro ' || s_name || '。', '', '', ''), ('Era', '500年', '王朝灭亡。民众离开。' || s_name, '王朝灭亡。民众离开。' || s_name, '王朝灭亡。', split_part(s_name, '#', 1)),
                 ('Era / Sub', '', '', 'one|联盟成立', '联盟成立', ''), ('Era', '元年', 'x', 'x', '', '')) u(era, year, background, events, factions, related)
 """)
 def chronicle_records(spark, folder):

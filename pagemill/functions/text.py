@@ -41,10 +41,19 @@ def line_breaks(value: Column | str) -> Column:
     return replace_all(col(value), (BREAK, "\n"), (r"\r\n?", "\n"))
 
 
+def _guarded(value: Column | str, pattern: str, body: Callable[[Column], Column]) -> Column:
+    """Run a chain of rules only on texts that hold a character the rules look for."""
+    return let(col(value), lambda v: F.when(v.rlike(pattern), body(v)).otherwise(strip(v)))
+
+
 def normalize(value: Column | str) -> Column:
     """K1: line ends, escaped bars, hard blanks, comments, breaks, per-line trim, blank runs."""
+    return _guarded(value, r"[\r\n\t\x0b\f\\{&\xa0<　]|  ", _normalize)
+
+
+def _normalize(value: Column) -> Column:
     out = replace_all(
-        col(value),
+        value,
         (r"\r\n?", "\n"),
         (r"\\\||\{\{!\}\}", "|"),
         (r"&nbsp;|\xa0", " "),
@@ -65,6 +74,10 @@ def _opens(value: Column) -> Column:
 
 def strip_code(value: Column) -> Column:
     """Drop what remains of markup: templates inside out, link targets, tags, quote marks."""
+    return let(value, lambda v: F.when(v.rlike(r"[\[{<'=*#:;]"), _strip_code(v)).otherwise(v))
+
+
+def _strip_code(value: Column) -> Column:
     flat = let(value, lambda v: F.aggregate(
         _opens(v), v, lambda acc, _: F.regexp_replace(acc, r"\{\{[^{}]*\}\}", "")))
     return replace_all(
@@ -85,6 +98,10 @@ ICON_ONE = r"\{\{\s*图标\s*\|([^{}|]+)\|?\}\}"
 
 def plain(value: Column | str) -> Column:
     """K2: normalised text, icons as their label, file links, tags, tab marks and markup removed."""
+    return _guarded(value, r"[\r\n\t\x0b\f\\{&\xa0<　\[|'=*#:;]|  ", _plain)
+
+
+def _plain(value: Column) -> Column:
     out = replace_all(
         normalize(value),
         (ICON, "$1"),
@@ -120,18 +137,13 @@ def spoiler(value: Column | str, context: str = "generic") -> Column:
     return replace_all(col(value), (SPOILER_STRUCK, "$1"), (SPOILER, "$1"))
 
 
-# K8: which argument of an inline template is visible (fixed values). Named keys are tried in order,
-# then the positional argument.
+# K8: which argument of an inline template is visible (fixed values): template names, named keys in
+# order of preference, and the place of the positional argument used otherwise.
 VISIBLE_ARGUMENT = (
     ("颜色", ("描述", "内容", "2", "3"), 2),
-    ("折叠框", ("内容", "2"), 2),
-    ("折叠", ("内容", "2"), 2),
-    ("注音", ("1",), 1),
-    ("黑幕", ("1",), 1),
-    ("任务描述", ("1", "描述"), 1),
-    ("图标", ("1",), 1),
-    ("icon", ("1",), 1),
-    ("#tag:[A-Za-z]+", ("1",), 1),
+    ("折叠框?", ("内容", "2"), 2),
+    ("(?:注音|黑幕|任务描述|图标|icon|#tag:[A-Za-z]+)", ("1",), 1),
+    ("任务描述", ("描述",), 1),
 )
 VISIBLE_TAGS = (
     "big|small|b|strong|i|em|u|s|del|span|font|center|div|p|blockquote|poem|ruby|rb|sup|sub|code|li|dd|dt|ul|ol|dl|"
@@ -152,8 +164,12 @@ def _unfold(text: Column) -> Column:
 
 def display(value: Column | str) -> Column:
     """K8: the visible text of a fragment. Unknown templates stay as they are."""
+    return _guarded(value, r"[<\[{&'\r]", _display)
+
+
+def _display(value: Column) -> Column:
     text = replace_all(
-        col(value),
+        value,
         (COMMENT, ""),
         (BREAK, "\n"),
         (r"(?is)<(rt|rp|ref|references|style|script)\b[^>]*>.*?</\1\s*>", ""),
@@ -179,6 +195,10 @@ def has_unknown_markup(shown: Column) -> Column:
 
 def clean_field(value: Column | str, context: str = "generic") -> Column:
     """K3: breaks, file links, ruby, spoiler, display text, remaining markup, quotes."""
+    return _guarded(value, r"[\r\n\t\x0b\f\\{&\xa0<　\['=*#:;「\"]|  ", lambda v: _clean_field(v, context))
+
+
+def _clean_field(value: Column, context: str) -> Column:
     text = F.regexp_replace(line_breaks(value), FILE_LINK, "")
     text = spoiler(ruby(text, context), context)
     text = display(F.regexp_replace(text, "&nbsp;", " "))

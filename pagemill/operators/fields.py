@@ -235,9 +235,14 @@ def event_period(templates: Column | str, preferred: Column | None, text=None) -
     return F.coalesce(direct, F.nullif(F.concat_ws(" ~ ", begin, finish), F.lit("")), F.lit(""))
 
 
-def field(params: Column, keys: Sequence[str], context: str = "generic") -> Column:
-    """The first cleaned value over candidate keys."""
-    return T.first_text(*[T.clean_field(F.element_at(params, k), context) for k in keys])
+def cleaned(params: Column, context: str = "generic") -> Column:
+    """All values of a template cleaned once; fields then only look them up."""
+    return F.transform_values(params, lambda _, v: T.clean_field(v, context))
+
+
+def field(clean: Column, keys: Sequence[str]) -> Column:
+    """The first cleaned value over candidate keys (``clean`` comes from ``cleaned``)."""
+    return first_of(_names(keys), lambda k: F.element_at(clean, k))
 
 
 def field_list(params: Column, keys: Sequence[str], context: str = "generic", quotes: bool = False) -> Column:

@@ -115,7 +115,7 @@ def named_block(text: Column | str, title: str) -> Column:
 
 def record_of(params: Column, names: tuple[tuple[str, tuple[str, ...]], ...]) -> Column:
     """Named values of one talent or constellation template."""
-    return F.struct(*[D.field(params, keys).alias(n) for n, keys in names])
+    return T.let(D.cleaned(params), lambda clean: F.struct(*[D.field(clean, keys).alias(n) for n, keys in names]))
 
 
 TALENT = (("name", ("名称", "天赋名称", "技能名称")), ("description", ("描述", "效果", "说明")),
@@ -126,11 +126,10 @@ CONSTELLATION = (("name", ("名称", "命座名称")), ("effect", ("效果",)),
 def power(templates: Column | str) -> Column:
     """The first filled one of four keys over the story templates."""
     own = F.filter(T.col(templates), lambda t: t["name"].rlike(STORY_TEMPLATES))
-    keys = ("神之眼", "神之心", "其他故事", "其他")
-    found = F.transform(own, lambda t: F.coalesce(*[F.when(
-        T.clean_field(F.element_at(t["raw"], k), "story") != "",
-        F.struct(F.lit(k).alias("key"), T.clean_field(F.element_at(t["raw"], k), "story").alias("content"))) for k in keys]))
-    return D.first_value(found)
+    keys = F.array(*[F.lit(k) for k in ("神之眼", "神之心", "其他故事", "其他")])
+    found = F.flatten(F.transform(own, lambda t: F.transform(keys, lambda k: F.struct(
+        k.alias("key"), F.coalesce(T.clean_field(F.element_at(t["raw"], k), "story"), F.lit("")).alias("content")))))
+    return F.get(F.filter(found, lambda r: r["content"] != ""), F.lit(0))
 
 
 def records_map(records: Column) -> Column:

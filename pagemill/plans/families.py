@@ -224,37 +224,37 @@ def characters(model: DataFrame, voices: DataFrame | None = None) -> DataFrame:
     ``voices`` (page_key, voice_records) comes from the joined voice pages (F1); a page without one
     takes the voices in its own templates."""
     main = _main(model, D.best_by_size("templates", ("角色属性", "角色信息", "角色资料", "角色"), CHARACTER_EXCLUDES))
-    p = F.col("main")["raw"]
-    out = main
-    for name, keys in CHARACTER_TEXT.items():
-        out = out.withColumn(name, D.field(p, keys))
-    for name, keys in CHARACTER_LISTS.items():
-        out = out.withColumn(name, F.coalesce(D.field_list(p, keys), F.array().cast("array<string>")))
-    out = out.withColumn("nicknames", F.coalesce(
-        D.field_list(p, ("昵称/外号", "昵称", "外号", "别名"), "nickname", quotes=True), F.array().cast("array<string>")))
-    out = out.withColumn("introduction", T.first_text(D.field(p, ("介绍", "简介", "角色介绍")), F.col("summary")))
+    p, clean = F.col("main")["raw"], F.col("clean")
+    none = F.array().cast("array<string>")
+    out = main.withColumn("clean", D.cleaned(p))
+    out = out.withColumns({
+        **{n: F.coalesce(D.field(clean, keys), F.lit("")) for n, keys in CHARACTER_TEXT.items()},
+        **{n: F.coalesce(D.field_list(p, keys), none) for n, keys in CHARACTER_LISTS.items()},
+        "nicknames": F.coalesce(D.field_list(p, ("昵称/外号", "昵称", "外号", "别名"), "nickname", quotes=True), none),
+        "introduction": T.first_text(F.coalesce(D.field(clean, ("介绍", "简介", "角色介绍")), F.lit("")), F.col("summary"))})
 
     def matching(words: str, spec) -> Column:
         found = F.filter("templates", lambda t: t["name"].rlike(words) & (F.size(t["keys"]) > 0))
         return F.transform(found, lambda t: R.record_of(t["raw"], spec))
 
-    out = out.withColumn("talents", matching("天赋|技能", R.TALENT)).withColumn(
-        "constellations", matching("命之座|命座", R.CONSTELLATION))
-    out = out.withColumn("stories", R.stories("templates")).withColumn("notes", R.notes("templates"))
     person = T.first_text(R.first_param("templates", "壹·人物"), R.named_block("text", "壹·人物"))
     tale = T.first_text(R.first_param("templates", "贰·故事"), R.named_block("text", "贰·故事"))
-    out = out.withColumn("person_raw", person).withColumn("tale_raw", tale)
+    out = out.withColumns({
+        "talents": matching("天赋|技能", R.TALENT), "constellations": matching("命之座|命座", R.CONSTELLATION), "stories": R.stories("templates"),
+        "notes": R.notes("templates"), "person_raw": person, "tale_raw": tale, "power": R.power("templates")})
 
     def whole(raw: Column, title: str) -> Column:
         return F.filter(F.array(F.struct(F.lit(title).alias("title"), T.clean_field(raw, "story").alias("content"))),
                         lambda r: r["content"] != "")
 
-    bodies, pairs = R.panel_bodies(F.col("person_raw"), "角色介绍"), R.panel_pairs(F.col("tale_raw"))
-    out = out.withColumn("introductions", F.when(F.size(bodies) > 0, bodies).otherwise(whole(F.col("person_raw"), "角色介绍1")))
-    out = out.withColumn("story_sections", F.when(F.size(pairs) > 0, pairs).otherwise(whole(F.col("tale_raw"), "贰·故事")))
-    power = R.power("templates")
-    out = out.withColumn("power", F.when(power.isNotNull(), F.struct(
-        T.first_text(F.col("god_eye_description"), power["key"]).alias("title"), power["content"].alias("content"))))
+    def or_whole(found: Column, raw: str, title: str) -> Column:
+        return T.let(found, lambda x: F.when(F.size(x) > 0, x).otherwise(whole(F.col(raw), title)))
+
+    out = out.withColumns({
+        "introductions": or_whole(R.panel_bodies(F.col("person_raw"), "角色介绍"), "person_raw", "角色介绍1"),
+        "story_sections": or_whole(R.panel_pairs(F.col("tale_raw")), "tale_raw", "贰·故事"),
+        "power": F.when(F.col("power").isNotNull(), F.struct(
+            T.first_text(F.col("god_eye_description"), F.col("power.key")).alias("title"), F.col("power.content").alias("content")))})
     own_voices = R.direct_voices("templates")
     if voices is None:
         out = out.withColumn("voices", own_voices)
