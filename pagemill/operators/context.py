@@ -10,6 +10,7 @@ from pagemill.functions import text as T
 from pagemill.functions import titles
 from pagemill.operators import links
 from pagemill.operators import records as R
+from pagemill.session import by_page
 
 
 def single_candidate(pages: DataFrame, key: str, *values: str) -> DataFrame:
@@ -125,7 +126,7 @@ def list_entries(pages: DataFrame) -> DataFrame:
 
     An act is dropped when a new chapter names none. Each title counts once, at its first place."""
     line = F.posexplode(F.split("text", "\n")).alias("line_no", "raw")
-    rows = pages.select("page_key", "text").repartition("page_key").select("page_key", line).withColumn("raw", T.strip("raw"))
+    rows = pages.select("page_key", "text").transform(by_page).select("page_key", line).withColumn("raw", T.strip("raw"))
     level = F.regexp_extract("raw", r"^(={2,6})\s*(.*?)\s*\1\s*$", 2)
     rows = rows.withColumn("heading", F.when(level != "", titles.heading_parts(level)))
     here = Window.partitionBy("page_key").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
@@ -157,7 +158,7 @@ LIST_STOPS = ("邀约事件", "热点事件")
 def character_entries(pages: DataFrame) -> DataFrame:
     """Region, quest type and group filled down; a character named by a file line waits for the next entry."""
     line = F.posexplode(F.split("text", "\n")).alias("line_no", "raw")
-    rows = pages.select("page_key", "text").repartition("page_key").select("page_key", line).withColumn("raw", T.strip("raw"))
+    rows = pages.select("page_key", "text").transform(by_page).select("page_key", line).withColumn("raw", T.strip("raw"))
     marks = F.char_length(F.regexp_extract("raw", r"^(=+)\s*(.*?)\s*\1\s*$", 1))
     rows = rows.withColumn("level", marks).withColumn("heading", F.when(marks > 0, T.plain(F.regexp_extract("raw", r"^(=+)\s*(.*?)\s*\1\s*$", 2))))
     here = Window.partitionBy("page_key").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pagemill.operators import scan
 from pagemill.operators import spans as S
+from pagemill.session import by_page
 
 # H5: priority of dispositions inside a segment, lowest first (fixed values).
 PRIORITY = ("metadata", "non_story", "unsupported", "needs_source", "exported")
@@ -76,7 +77,7 @@ def candidates(pages: DataFrame) -> DataFrame:
 
     order = Window.partitionBy("page_key").orderBy("i")
     rows = (
-        pages.select("page_key", "text").repartition("page_key")
+        pages.select("page_key", "text").transform(by_page)
         .select("page_key", F.posexplode(F.transform(found, token)).alias("i", "t"))
         .select("page_key", "i", "t.*").withColumn("end", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("begin", F.col("end") - F.col("n")).withColumn("start", F.col("end") - F.char_length(F.coalesce("kind", F.lit("")))))

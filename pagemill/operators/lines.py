@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pagemill.session import by_page
 
 
 def lines(pages: DataFrame) -> DataFrame:
     """One row per line: half-open character range and raw text."""
     order = Window.partitionBy("page_key").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    cut = pages.select("page_key", "text").repartition("page_key").select(
+    cut = pages.select("page_key", "text").transform(by_page).select(
         "page_key", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
     stop = F.sum(F.char_length("raw") + 1).over(order) - 1
     return cut.withColumn("end", stop).withColumn("start", F.col("end") - F.char_length("raw")).select(
@@ -31,7 +32,7 @@ def tags(pages: DataFrame, names: Sequence[str]) -> DataFrame:
         F.regexp_extract(t, rf"(?i)(</?(?:{alternatives})\b[^<>]*>)\z", 1).alias("raw")))
     order = Window.partitionBy("page_key").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     rows = (
-        pages.select("page_key", "text").repartition("page_key")
+        pages.select("page_key", "text").transform(by_page)
         .select("page_key", F.posexplode(parts).alias("i", "t"))
         .select("page_key", "i", "t.n", "t.tag", "t.raw")
         .withColumn("end", F.sum("n").over(order))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.operators import fields, links, sections, versions
+from pagemill.session import by_page
 
 NO_TEMPLATES = (
     "array<struct<name:string,depth:bigint,start:bigint,end:bigint,keys:array<string>,"
@@ -19,7 +20,7 @@ def page_model(pages: DataFrame, *, with_sections: bool = True) -> DataFrame:
     The templates come from the same hash partitioning by ``page_key``, so the join below only
     sorts."""
     found = fields.page_templates(pages)
-    out = pages.repartition("page_key").join(found, "page_key", "left").withColumn(
+    out = pages.transform(by_page).join(found, "page_key", "left").withColumn(
         "templates", F.coalesce("templates", F.array().cast(NO_TEMPLATES)))
     payload = F.col("payload_categories") if "payload_categories" in pages.columns else None
     out = out.withColumn("categories", links.categories("text", payload))

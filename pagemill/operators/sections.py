@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions import text as T
+from pagemill.session import by_page
 
 # A heading line starts and ends with the same run of equal signs and has a title between them.
 BEFORE_HEADING = r"(?m)(?=^(=+)[ \t]*[^=\s](?:[^\n]*[^=\s])?[ \t]*\1[ \t]*$)"
@@ -37,7 +38,7 @@ def blocks(text: Column | str) -> Column:
 def headings(pages: DataFrame) -> DataFrame:
     """Blocks with character offsets. A lead without a heading has level 0."""
     order = Window.partitionBy("page_key").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    cut = pages.select("page_key", "text").repartition("page_key").select(
+    cut = pages.select("page_key", "text").transform(by_page).select(
         "page_key", F.posexplode(blocks("text")).alias("pos", "b"))
     cut = cut.select("page_key", "pos", "b.level", "b.heading", "b.body",
                      F.char_length("b.raw").alias("n"))
@@ -101,7 +102,7 @@ def section_slices(pages: DataFrame, titles: Sequence[str]) -> DataFrame:
     rank = F.coalesce(*[F.when(F.col("heading") == t, F.lit(i)) for i, t in enumerate(titles)])
     wanted = heads.filter(F.col("level") > 0).withColumn("rank", rank).filter("rank is not null")
     best = wanted.groupBy("page_key").agg(F.min(F.struct("rank", "start", "content_start", "stop")).alias("b"))
-    return pages.select("page_key", "text").repartition("page_key").join(best, "page_key").select(
+    return pages.select("page_key", "text").transform(by_page).join(best, "page_key").select(
         "page_key",
         T.strip(F.substring("text", (F.col("b.content_start") + 1).cast("int"),
                             (F.col("b.stop") - F.col("b.content_start")).cast("int"))).alias("slice"))

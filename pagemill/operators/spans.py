@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions.text import strip
+from pagemill.session import by_page
 
 # One token = a run without markup characters plus the delimiter that ends it. Comments and
 # nowiki blocks are delimiters of their own, so markup inside them is never seen.
@@ -36,7 +37,7 @@ def _tokens(pages: DataFrame) -> DataFrame:
     found = F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))
     parts = F.transform(found, lambda t: F.struct(F.char_length(t).alias("n"), _kind(t).alias("kind")))
     exploded = (
-        pages.select("page_key", "text").repartition("page_key")
+        pages.select("page_key", "text").transform(by_page)
         .select("page_key", F.posexplode(parts).alias("i", "t"))
         .select("page_key", "i", "t.n", "t.kind")
     )
@@ -52,15 +53,14 @@ def _tokens(pages: DataFrame) -> DataFrame:
 def _matched(tokens: DataFrame) -> DataFrame:
     """Pair opens with closes: running depth clamped at zero, then neighbours at one level."""
     order = Window.partitionBy("page_key").orderBy("i")
-    out = tokens
-    for family, opening, closing in (("t", "{{", "}}"), ("l", "[[", "]]")):
-        step = F.when(F.col("kind") == opening, 1).when(F.col("kind") == closing, -1).otherwise(0)
-        out = out.withColumn(f"{family}_step", step).withColumn(f"{family}_sum", F.sum(f"{family}_step").over(order))
-    for family in ("t", "l"):
-        out = out.withColumn(f"{family}_low", F.least(F.lit(0), F.min(f"{family}_sum").over(order)))
-        out = out.withColumn(f"{family}_before",
-                             F.col(f"{family}_sum") - F.col(f"{family}_step")
-                             - F.coalesce(F.lag(f"{family}_low").over(order), F.lit(0)))
+    to_here = order.rowsBetween(Window.unboundedPreceding, 0)
+    both = ("t", "l")
+    out = tokens.withColumns({
+        f"{f}_step": F.when(F.col("kind") == a, 1).when(F.col("kind") == b, -1).otherwise(0) for f, a, b in (("t", "{{", "}}"), ("l", "[[", "]]"))})
+    out = out.withColumns({f"{f}_sum": F.sum(f"{f}_step").over(to_here) for f in both})
+    out = out.withColumns({f"{f}_low": F.least(F.lit(0), F.min(f"{f}_sum").over(to_here)) for f in both})
+    out = out.withColumns({
+        f"{f}_before": F.col(f"{f}_sum") - F.col(f"{f}_step") - F.coalesce(F.lag(f"{f}_low").over(order), F.lit(0)) for f in both})
     level = (
         F.when(F.col("t_step") == 1, F.col("t_before") + 1)
         .when((F.col("t_step") == -1) & (F.col("t_before") > 0), F.col("t_before"))
@@ -73,9 +73,7 @@ def _matched(tokens: DataFrame) -> DataFrame:
     opens = F.col("kind").isin("{{", "[[")
     pairable = F.col("level").isNotNull()
     return (
-        out.withColumn("next_kind", F.lead("kind").over(at_level))
-        .withColumn("next_end", F.lead("end").over(at_level))
-        .withColumn("prev_kind", F.lag("kind").over(at_level))
+        out.withColumns({"next_kind": F.lead("kind").over(at_level), "next_end": F.lead("end").over(at_level), "prev_kind": F.lag("kind").over(at_level)})
         .withColumn("opened", pairable & opens & F.col("next_kind").isin("}}", "]]"))
         .withColumn("closed", pairable & ~opens & F.col("prev_kind").isin("{{", "[["))
         .withColumn("close_end", F.when(F.col("opened"), F.col("next_end")))
@@ -86,22 +84,24 @@ def _matched(tokens: DataFrame) -> DataFrame:
 def _owned(matched: DataFrame) -> DataFrame:
     """Depth among closed spans only, and the innermost closed template and link of each token."""
     order = Window.partitionBy("page_key").orderBy("i")
-    out = matched.withColumn("opened", F.coalesce("opened", F.lit(False))).withColumn(
-        "closed", F.coalesce("closed", F.lit(False)))
-    for family in ("t", "l"):
+    out = matched.withColumns({n: F.coalesce(n, F.lit(False)) for n in ("opened", "closed")})
+    to_here = order.rowsBetween(Window.unboundedPreceding, 0)
+    both = ("t", "l")
+
+    def step(family: str) -> Column:
         mine = F.col("family") == family
-        step = F.when(mine & F.col("opened"), 1).when(mine & F.col("closed"), -1).otherwise(0)
-        out = out.withColumn(f"{family}_step", step)
-    for family in ("t", "l"):
-        out = out.withColumn(f"{family}_depth", F.sum(f"{family}_step").over(order))
-        # a close still belongs to the span it ends
-        out = out.withColumn(f"{family}_in", F.col(f"{family}_depth") + (F.col(f"{family}_step") == -1).cast("int"))
-    for family in ("t", "l"):
-        at = Window.partitionBy("page_key", f"{family}_in").orderBy("i")
+        return F.when(mine & F.col("opened"), 1).when(mine & F.col("closed"), -1).otherwise(0)
+
+    def owner(family: str) -> Column:
+        at = Window.partitionBy("page_key", f"{family}_in").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
         opened_here = F.when(F.col(f"{family}_step") == 1, F.col("start"))
-        out = out.withColumn(f"{family}_owner",
-                             F.when(F.col(f"{family}_in") > 0, F.last(opened_here, ignorenulls=True).over(at)))
-    return out
+        return F.when(F.col(f"{family}_in") > 0, F.last(opened_here, ignorenulls=True).over(at))
+
+    out = out.withColumns({f"{f}_step": step(f) for f in both})
+    out = out.withColumns({f"{f}_depth": F.sum(f"{f}_step").over(to_here) for f in both})
+    # a close still belongs to the span it ends
+    out = out.withColumns({f"{f}_in": F.col(f"{f}_depth") + (F.col(f"{f}_step") == -1).cast("int") for f in both})
+    return out.withColumns({f"{f}_owner": owner(f) for f in both})
 
 
 def _cut(owned: DataFrame) -> DataFrame:
@@ -170,7 +170,7 @@ def read_pieces(pages: DataFrame, pieces: DataFrame) -> DataFrame:
     The page text meets its offsets once, in one row, so it is not copied per parameter."""
     grouped = pieces.groupBy("page_key").agg(
         F.collect_list(F.struct("tstart", "piece", "from", "to", "equals_at", "depth", "tend")).alias("ps"))
-    joined = pages.select("page_key", "text").repartition("page_key").join(grouped, "page_key")
+    joined = pages.select("page_key", "text").transform(by_page).join(grouped, "page_key")
 
     def text(a: Column, b: Column) -> Column:
         return F.substring(F.col("text"), (a + 1).cast("int"), (b - a).cast("int"))

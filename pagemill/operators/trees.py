@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pagemill.functions import predicates as B
 from pagemill.functions import text as T
 from pagemill.operators import links, scan
+from pagemill.session import by_page
 
 
 def parents(rows: DataFrame, keys: Sequence[str], position: str, depth: str, deepest: int, chunk: Column) -> DataFrame:
@@ -44,7 +45,7 @@ def library_nodes(pages: DataFrame) -> DataFrame:
     Node 0 is the page itself; its text is the summary. Bullets without a bold title are text nodes
     and never become parents."""
     clean = T.line_breaks(T.replace_all(F.col("text"), (T.CATEGORY_LINK, ""), (r"(?is)<bstyle>.*?</bstyle>", "")))
-    rows = pages.select("page_key", clean.alias("text")).repartition("page_key").select(
+    rows = pages.select("page_key", clean.alias("text")).transform(by_page).select(
         "page_key", F.posexplode(F.split("text", "\n")).alias("line_no", "raw")).withColumn("raw", T.strip("raw"))
     rows = rows.filter(~F.col("raw").rlike(r"^-{4,}$"))
     heading = r"^(={1,4})\s*(.*?)\s*\1$"
@@ -77,7 +78,7 @@ def library_nodes(pages: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("line_no", "body"))).alias("ls"))
     plain = plain.select("page_key", "node", T.normalize(F.array_join(F.transform("ls", lambda x: x["body"]), "\n")).alias("text"))
     root = pages.select("page_key", F.lit(0).cast("bigint").alias("node"), F.lit(None).cast("bigint").alias("parent"), F.lit(0).alias("depth"),
-                        F.lit("root").alias("kind"), F.lit("").alias("title"), F.lit("").alias("own")).repartition("page_key")
+                        F.lit("root").alias("kind"), F.lit("").alias("title"), F.lit("").alias("own")).transform(by_page)
     kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("depth"))
     nodes = rows.filter("node is not null").select("page_key", "node", "parent", "depth", kind.alias("kind"), "title",
                                                    F.when(F.col("bullet") & (F.col("title") == ""), F.col("body")).otherwise("").alias("own"))
@@ -102,7 +103,7 @@ def timeline_rows(pages: DataFrame) -> DataFrame:
     """Lines of a timeline page from its first heading, bold or bullet line on, with their kind.
 
     kind: heading, item (bold or dated bullet), entry (other bullet), text."""
-    rows = pages.select("page_key", "title", "text").repartition("page_key").select(
+    rows = pages.select("page_key", "title", "text").transform(by_page).select(
         "page_key", F.col("title").alias("page_title"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw")).withColumn("raw", T.strip("raw"))
     skipped = F.col("raw").rlike(rf"^(?:{T.CATEGORY_LINK}|__NOEDITSECTION__|(?i)</?div\b[^>]*>)$")
     heading = r"^(={3,5})\s*(.*?)\s*\1$"

@@ -19,9 +19,11 @@ def route(pages: DataFrame) -> DataFrame:
 
 
 def regions(found: DataFrame) -> DataFrame:
-    """Exported ranges and the ranges that issues leave unsupported."""
+    """Exported ranges, speaker labels as metadata, and the ranges that issues leave unsupported."""
+    labels = found.filter("speaker_start is not null").select(
+        "page_key", F.col("speaker_start").alias("start"), F.col("speaker_end").alias("end"), F.lit("metadata").alias("disposition"))
     spans = found.select("page_key", "start", "end", F.lit("exported").alias("disposition"))
-    return spans.unionByName(found.filter(F.array_contains("issues", "unknown_template")).select("page_key", "start", "end", F.lit("unsupported").alias("disposition")))
+    return spans.unionByName(labels).unionByName(found.filter(F.array_contains("issues", "unknown_template")).select("page_key", "start", "end", F.lit("unsupported").alias("disposition")))
 
 
 def issues(found: DataFrame, routed: DataFrame) -> DataFrame:
