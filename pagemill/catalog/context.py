@@ -154,12 +154,12 @@ from o
 """)
 def chain_order(spark, folder):
     """Chains of a customer's orders by date, cut in two where a reference is unknown."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    whole = Window.partitionBy("o_custkey")
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate").withColumn("rn", F.row_number().over(w)).withColumn(
-        "n", F.count("*").over(whole)).withColumn("p", F.lag("o_orderkey").over(w)).withColumn("x", F.lead("o_orderkey").over(w))
+    order, day = [F.col("o_orderdate"), F.col("o_orderkey")], F.date_trunc("day", "o_orderdate")
+    base = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = scan.row_numbers(base, ["o_custkey"], order, day, "rn")
+    orders = scan.neighbour(orders, ["o_custkey"], order, day, {"p": F.col("o_orderkey")})
+    orders = scan.neighbour(orders, ["o_custkey"], order, day, {"x": F.col("o_orderkey")}, ahead=True)
+    orders = orders.join(base.groupBy("o_custkey").agg(F.count("*").alias("n")), "o_custkey")
     cut = (F.col("n") > 4) & (F.col("rn") == F.floor(F.col("n") / 2) + 1)
     ends = (F.col("n") > 4) & (F.col("rn") == F.floor(F.col("n") / 2))
 
