@@ -438,10 +438,24 @@ EXPORT = {
     "quest-items": (("version", "所属版本"), ("name", "名称"), ("type", "类型"), ("description", "描述"), ("related_quest", "相关任务"),
                     ("obtain_method", "获取方式"), ("content", "内容")),
     "secret-items": (("version", "所属版本"), ("name", "名称"), ("type", "类型"), ("description", "介绍"), ("drops", "掉落")),
+    "weapons": (("version", "所属版本"), ("title", "名称"), ("weapon_type", "类型"), ("description", "介绍"), ("weapon_materials", "突破武器材料序列"),
+                ("premium_materials", "突破高级材料序列"), ("common_materials", "突破普通材料序列"), ("obtaining_method", "获取途径"),
+                ("forging", "锻造材料"), ("refining", "精炼材料"), ("story", "故事")),
+    "monsters": (("version", "所属版本"), ("title", "title"), ("monster_class", "monster_class"), ("monster_category", "monster_category"),
+                 ("monster_type", "monster_type"), ("location", "location"), ("drops", "drop_materials"), ("description", "description")),
+    "books": (("version", "所属版本"), ("title", "title"), ("genre", "genre"), ("country", "country"), ("volumes", "volumes"), ("page_key", "page_id")),
+    "foods": (("version", "所属版本"), ("name", "名称"), ("type", "类型"),
+              ((("normal_description", "普通料理"), ("perfect_description", "完美料理"), ("failed_description", "失败料理")), "介绍"),
+              ("ingredients", "所需食材"), ("recipe_obtain_method", "食谱获取方式"), ("special_dish", "特殊料理"), ("special_dish_character", "特殊料理角色")),
+    "wildlife": (("version", "所属版本"), ("name", "名称"), ("type", "类型"), ("species", "种类"), ("description", "描述"), ("locations", "出现地点"),
+                 ("capturable", "能否捕捉"), ((("fishing.bait", "钓鱼鱼饵"), ("fishing.time", "钓鱼时间"), ("fishing.location", "钓鱼地点")), "钓鱼信息")),
 }
 
 
+def _named(fields) -> Column:
+    return F.struct(*[(F.col(c) if isinstance(c, str) else _named(c)).alias(n) for c, n in fields])
+
+
 def export(records: DataFrame, family: str) -> DataFrame:
-    """One JSON document per record with localised names."""
-    named = F.struct(*[F.col(c).alias(n) for c, n in EXPORT[family]])
-    return records.select("page_key", F.to_json(named).alias("document"))
+    """One JSON document per record with localised names; grouped fields become nested objects."""
+    return records.select("page_key", F.to_json(_named(EXPORT[family])).alias("document"))

@@ -193,5 +193,13 @@ def test_unknown_family_is_refused():
         raise AssertionError("an unknown family was accepted")
 
 
+def test_exports_nest_their_groups(pages):
+    model = page_model(pages("{{食物图鉴|名称=N|类型=t|介绍=a|美味介绍=b|版本=1.0}}")).cache()
+    food = json.loads(families.export(families.foods(model), "foods").first().document)
+    assert food["介绍"] == {"普通料理": "a", "完美料理": "b", "失败料理": ""} and food["所属版本"] == "1.0"
+    for family in ("weapons", "monsters", "books", "wildlife"):
+        assert json.loads(families.export(families.STANDARD[family][1](model), family).first().document)["所属版本"] == "1.0"
+
+
 def test_checkpoint_keeps_rows(spark):
     assert cut_lineage(spark.range(10)).count() == 10
