@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from pagemill.llm import best_fit, block_naming, line_cleaning, prefix_counts, warc_index  # noqa: F401
+from pagemill.llm import best_fit, block_naming, line_cleaning, prefix_counts, suffix_trees, warc_index  # noqa: F401
 from pagemill.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
