@@ -1,6 +1,6 @@
 """All queries of this subpackage."""
 
-from pagemill.llm import best_fit, block_naming, count_tree, line_cleaning, prefix_counts, rule_ensemble, suffix_trees, text_convolution, warc_index  # noqa: F401
+from pagemill.llm import best_fit, block_naming, count_tree, line_cleaning, prefix_counts, rule_ensemble, sampled_pieces, suffix_trees, text_convolution, warc_index  # noqa: F401
 from pagemill.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
