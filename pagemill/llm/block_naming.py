@@ -86,7 +86,7 @@ def both_hashes(block: Column) -> Column:
 
 
 def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = BLOCK, key=both_hashes) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
+    """One row per row of ``docs``: rid (its place), doc_id, keep_id, group_size, kept, text_sha256."""
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")).withColumn("rid", F.monotonically_increasing_id())
     for by_block in (False, True):
         rows = written(rows) if by_block else rows  # the ids of the rows must hold between the reads
@@ -100,7 +100,7 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     same = written(identities(found).join(base.select("rid", "doc_id", "text_sha256"), "rid"))
     top = F.max(F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), F.col("rid")))
     groups = written(same.groupBy("level", "name").agg(F.count(F.lit(1)).alias("group_size"), top.alias("top"), F.max("doc_id").alias("keep_id")))
-    return same.join(groups, ["level", "name"]).select("doc_id", "keep_id", "group_size", (F.col("rid") == F.col("top.rid")).alias("kept"), "text_sha256")
+    return same.join(groups, ["level", "name"]).select("rid", "doc_id", "keep_id", "group_size", (F.col("rid") == F.col("top.rid")).alias("kept"), "text_sha256")
 
 
 @query(
@@ -112,4 +112,4 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 )
 def op4_block_naming(spark, folder):
     """Equal texts up to the case of A-Z, over all documents; the largest id of each group stays."""
-    return exact_groups(table(spark, folder, "documents"))
+    return exact_groups(table(spark, folder, "documents")).drop("rid")

@@ -397,7 +397,7 @@ def large_links(rows: DataFrame, members: DataFrame, kept: DataFrame, load: int,
 
 
 def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT, load: int = LOAD) -> DataFrame:
-    """One row per row of ``docs``: rid (its place), doc_id, n_shingles, component_id."""
+    """One row per row of ``docs``: rid (its place), root (the place of its component's first), doc_id, n_shingles, component_id."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = 4 * parts
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
@@ -420,10 +420,10 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     placed = placed.join(roots, placed["first"] == roots["node"], "left").select("rid", "n", F.coalesce("root", "first").alias("root"))
     placed = written(placed.join(rows.select("rid", "doc_id"), "rid"))
     least = written(placed.groupBy("root").agg(F.min("doc_id").alias("component_id")))
-    return placed.join(least, "root").select("rid", "doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return placed.join(least, "root").select("rid", "root", "doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 @query()
 def op9_count_tree(spark, folder):
     """The component of every document under links of 0.75 or more on five-word shingles."""
-    return near_groups(table(spark, folder, "documents")).drop("rid")
+    return near_groups(table(spark, folder, "documents")).drop("rid", "root")

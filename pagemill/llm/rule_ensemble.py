@@ -193,6 +193,13 @@ def scored(docs: DataFrame, model: RuleEnsemble, threshold: float = THRESHOLD) -
     return statistics(docs).withColumn("score", score).withColumn("held_out", fold(F.col("doc_id")) == 0).withColumn("predicted", (F.col("score") >= threshold).cast("int")).drop(*STATISTICS)
 
 
+def accepted(docs: DataFrame, model: RuleEnsemble, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that the model doesn't reject, as they are."""
+    names = docs.columns
+    rows = statistics(docs.select(F.struct(*names).alias("row"), F.col("text")))
+    return rows.filter(model.score() >= threshold).select("row.*")
+
+
 @query()
 def op1_rule_ensemble(spark, folder):
     """Quality of every document, learned from the labels outside the held-out fold."""

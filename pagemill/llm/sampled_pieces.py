@@ -36,7 +36,7 @@ from pagemill.session import table
 VOCABULARY, SAMPLES = "piece_bpe_32k.model", 3
 #: Log-weight of a character written in bytes.
 BYTES = -14.0
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 2 << 20
 SPACE = "▁"
 #: Codes above all pieces stand for characters written in bytes.
 CODE = 1 << 24
@@ -67,6 +67,8 @@ class Pieces:
         self.ids = np.array([pieces.get(b, -1) for b in begins], np.int64)[order]
         self.weights = np.array([weight.get(b, -np.inf) for b in begins])[order]
         chars = [p.replace(SPACE, " ") for p in self.text]
+        for b in range(128):
+            chars[self.byte[b]] = chr(b)
         self.sizes = np.array([len(c) for c in chars], np.int64)
         self.starts = np.r_[0, np.cumsum(self.sizes)[:-1]]
         self.chars = np.frombuffer("".join(chars).encode("utf-32-le"), np.uint32)
@@ -84,11 +86,18 @@ class Pieces:
 
     def decode(self, codes: np.ndarray) -> np.ndarray:
         """The characters of a path, spaces as spaces, the first of them included."""
-        odd = codes >= CODE
-        sizes = np.where(odd, 1, self.sizes[np.where(odd, 0, codes)])
-        starts = np.where(odd, 0, self.starts[np.where(odd, 0, codes)])
-        out = self.chars[np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())].copy() if len(codes) else np.empty(0, np.uint32)
-        out[np.cumsum(sizes)[odd] - 1] = (codes[odd] - CODE).astype(np.uint32)
+        if not len(codes):
+            return np.empty(0, np.uint32)
+        odd = np.flatnonzero(codes >= CODE)
+        plain = codes
+        if len(odd):
+            plain = codes.copy()
+            plain[odd] = self.byte[0]  # one character, written below
+        sizes = self.sizes[plain]
+        ends = np.cumsum(sizes)
+        out = self.chars[np.repeat(self.starts[plain] - ends + sizes, sizes) + np.arange(ends[-1])]
+        if len(odd):
+            out[ends[odd] - 1] = (codes[odd] - CODE).astype(np.uint32)
         return out
 
     def token_ids(self, codes: np.ndarray) -> np.ndarray:
@@ -117,23 +126,33 @@ class Lattices:
     def __init__(self, pieces: Pieces, words: list[str]):
         chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
         sizes = np.array([len(w) for w in words], np.int64)
-        self.start = np.r_[0, np.cumsum(sizes)]
-        left = np.repeat(self.start[1:], sizes) - np.arange(len(chars))  # characters to the end of the word
-        width = int(min(pieces.longest, sizes.max(initial=1)))
-        weight, self.code = np.full((len(chars), width), -np.inf), np.full((len(chars), width), -1, np.int64)
-        at, h = np.arange(len(chars)), np.zeros(len(chars), np.uint64)
-        for k in range(width):
+        self.start = np.concatenate([[0], np.cumsum(sizes)])
+        n = len(chars)
+        left = np.repeat(self.start[1:], sizes) - np.arange(n)  # characters to the end of the word
+        found, at, h, k = [], np.arange(n), np.zeros(n, np.uint64), 0
+        while True:
             inside = left[at] > k
-            at, h = at[inside], pieces.step(h[inside], chars[at[inside] + k])
-            found = np.minimum(np.searchsorted(pieces.hashes, h), len(pieces.hashes) - 1)
-            known = pieces.hashes[found] == h
-            at, h, found = at[known], h[known], found[known]
-            weight[at, k], self.code[at, k] = pieces.weights[found], pieces.ids[found]
-        bare = self.code[:, 0] < 0
-        weight[bare, 0], self.code[bare, 0] = BYTES, CODE + chars[bare].astype(np.int64)
-        mass = np.zeros(len(chars) + width + 1)
+            at = at[inside]
+            if not len(at):
+                break
+            h = pieces.step(h[inside], chars[at + k])
+            row = np.minimum(np.searchsorted(pieces.hashes, h), len(pieces.hashes) - 1)
+            known = pieces.hashes[row] == h
+            at, h, row = at[known], h[known], row[known]
+            found.append((at, row))
+            k += 1
+        width = max(1, len(found))
+        weight, self.code = np.full((n, width), -np.inf, np.float32), np.full((n, width), -1, np.int32)
+        for k, (at, row) in enumerate(found):
+            weight[at, k], self.code[at, k] = pieces.weights[row], pieces.ids[row]
+        bare = np.flatnonzero(self.code[:, 0] < 0)
+        weight[bare, 0] = BYTES
+        odd = chars[bare].astype(np.int64)
+        self.code[bare, 0] = np.where(odd < 128, pieces.byte[np.minimum(odd, 127)], CODE + odd)
+        self.p = np.zeros((n, width), np.float32)
+        mass = np.zeros(n + width + 1)
         order = np.argsort(left, kind="stable")
-        edges = np.r_[0, np.cumsum(np.bincount(left)[1:])] if len(left) else np.array([0])
+        edges = np.concatenate([[0], np.cumsum(np.bincount(left)[1:])]) if n else np.array([0])
         for r in range(1, len(edges)):
             here = order[edges[r - 1] : edges[r]]
             if not len(here):
@@ -142,13 +161,16 @@ class Lattices:
             onward = mass[here[:, None] + np.arange(1, reach + 1)]
             if reach == r:
                 onward[:, -1] = 0.0
-            total = weight[here, :reach] + onward
-            top = total.max(1)
-            mass[here] = top + np.log(np.exp(total - top[:, None]).sum(1))
-            weight[here, :reach] = total - mass[here][:, None]
-        self.p = np.exp(weight)
-        self.sums = np.cumsum(self.p, 1)
-        self.sums[np.arange(len(chars)), np.maximum(0, width - 1 - np.argmax(self.code[:, ::-1] >= 0, 1))] = 2.0  # the last piece takes what rounding leaves
+            onward += weight[here, :reach]
+            top = onward.max(1)
+            onward -= top[:, None]
+            np.exp(onward, out=onward)
+            total = onward.sum(1)
+            mass[here] = top + np.log(total)
+            self.p[here, :reach] = onward / total[:, None]
+        self.sums = np.cumsum(self.p, 1, dtype=np.float32)
+        last = width - 1 - np.argmax(self.p[:, ::-1] > 0, 1)
+        self.sums[np.arange(n), last] = 2.0  # the last piece takes what rounding leaves
 
     def draw(self, kinds: np.ndarray, noise: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """A path through each word: pieces of all words in order (code, probability, character), and where words begin in them."""
@@ -156,14 +178,14 @@ class Lattices:
         steps = []
         count = np.zeros(len(kinds), np.int64)
         while len(who):
-            u = uniform(noise[who] + np.uint64(len(steps)))
+            u = uniform(noise[who] + np.uint64(len(steps))).astype(np.float32)
             k = (self.sums[at] < u[:, None]).sum(1)
             steps.append((who, self.code[at, k], self.p[at, k], at))
             count[who] += 1
             at = at + k + 1
             more = at < end
             who, at, end = who[more], at[more], end[more]
-        begin = np.r_[0, np.cumsum(count)]
+        begin = np.concatenate([[0], np.cumsum(count)])
         code, p, place = np.empty(begin[-1], np.int64), np.empty(begin[-1]), np.empty(begin[-1], np.int64)
         for i, (w, c, q, a) in enumerate(steps):
             spot = begin[w] + i
@@ -182,7 +204,39 @@ def below(log_mass: np.ndarray, top: float, u: np.ndarray) -> np.ndarray:
         return log_mass - np.log(np.exp(log_mass - top) - np.log(u))
 
 
-def distinct_paths(lattices: Lattices, kinds: np.ndarray, draws: list, words: slice, seed: int, k: int) -> tuple[list[tuple[np.ndarray, float, float]], float]:
+#: Noise of 53 bits adds less than this to a region's log-mass, so regions that far below another value can't have the largest.
+REACH = 40.0
+
+
+class Draw:
+    """Independent paths through all words of a slice."""
+
+    def __init__(self, code: np.ndarray, p: np.ndarray, place: np.ndarray, begin: np.ndarray):
+        self.code, self.place, self.begin = code, place, begin
+        self.log_p = np.log(p.astype(float))
+        self.sums = np.concatenate([[0.0], np.cumsum(self.log_p)])
+
+
+class Path:
+    """Some pieces of its own (code, log-probability, character, word), then what a draw has from a word on."""
+
+    def __init__(self, head: tuple, draw: Draw, word: int, stop: int):
+        self.head, self.draw, self.stop = head, draw, stop
+        self.a, self.b = int(draw.begin[word]), int(draw.begin[stop])
+        self.size = len(head[0]) + self.b - self.a
+        self.log_p = float(head[1].sum() + draw.sums[self.b] - draw.sums[self.a])
+
+    def first(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        a, b = self.a, min(self.b, self.a + max(0, n - len(self.head[0])))
+        word = np.searchsorted(self.draw.begin, np.arange(a, b), side="right") - 1
+        parts = zip(self.head, (self.draw.code[a:b], self.draw.log_p[a:b], self.draw.place[a:b], word))
+        return tuple(np.concatenate(x)[:n] for x in parts)
+
+    def codes(self) -> np.ndarray:
+        return np.concatenate([self.head[0], self.draw.code[self.a : self.b]])
+
+
+def distinct_paths(lattices: Lattices, kinds: np.ndarray, draws: list[Draw], words: slice, seed: int, k: int) -> tuple[list[tuple[np.ndarray, float, float]], float]:
     """The k paths of one text with the largest perturbed values (codes, log-probability, value), and the next value.
 
     ``draws`` has an independent path through every word of the slice for each sample, ``words`` says which are the text's."""
@@ -193,35 +247,36 @@ def distinct_paths(lattices: Lattices, kinds: np.ndarray, draws: list, words: sl
         with np.errstate(over="ignore"):
             return uniform(np.uint64(counter[0]) + np.arange(n, dtype=np.uint64) * ODD)
 
-    def suffix(r: int, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Pieces of the r-th draw from word ``first`` on: code, probability, character, word."""
-        code, p, place, begin = draws[r]
-        a, b = begin[first], begin[words.stop]
-        return code[a:b], p[a:b], place[a:b], np.repeat(np.arange(first, words.stop), np.diff(begin[first : words.stop + 1]))
-
-    top = float(-np.log(-np.log(noise(1)[0])))
+    nothing = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0, np.int64))
+    value = float(-np.log(-np.log(noise(1)[0])))
     out, bundles = [], []
-    path, fixed, value = suffix(0, words.start), 0, top
+    path, fixed = Path(nothing, draws[0], words.start, words.stop), 0
     while True:
-        code, p, place, word = path
-        log_p = np.log(p)
-        before = np.r_[0.0, np.cumsum(log_p)]
-        out.append((code, float(before[-1]), value))
-        with np.errstate(divide="ignore"):
-            mass = before[fixed:-1] + np.log1p(-np.minimum(p[fixed:], 1.0))
+        out.append((path.codes(), path.log_p, value))
+        rivals = max((b[0].max(initial=-np.inf) for b in bundles), default=-np.inf)
+        n = fixed + 256
+        while True:  # regions after the n-th piece matter while they can still have the largest value
+            code, log_p, place, word = path.first(n)
+            before = np.concatenate([[0.0], np.cumsum(log_p)])
+            with np.errstate(divide="ignore"):
+                mass = before[fixed:-1] + np.log(-np.expm1(np.minimum(log_p[fixed:], 0.0)))
+            reached = max(rivals, mass.max(initial=-np.inf))  # a region's value is no less than a few below its mass
+            if n >= path.size or before[-1] < min(reached, value) - REACH - 5.0:
+                break
+            n *= 2
         values = below(mass, value, noise(len(mass))) if len(mass) else np.empty(0)
         values[~np.isfinite(mass)] = -np.inf
-        bundles.append([values, path, fixed, {}, before])
+        bundles.append([values, (code, log_p, place, word), fixed, {}, before])
         best = max(range(len(bundles)), key=lambda i: bundles[i][0].max(initial=-np.inf))
         value = float(bundles[best][0].max(initial=-np.inf))
         if len(out) == k or value == -np.inf:
             return out, value
-        values, (code, p, place, word), fixed, gone, before = bundles[best]
+        values, (code, log_p, place, word), fixed, gone, before = bundles[best]
         t = fixed + int(values.argmax())
         spot, taken = int(place[t]), gone.setdefault(t, [int(code[t])])
         # a piece that was not taken here, the rest of the word, and the words after it
-        p_here, codes = lattices.p[spot], lattices.code[spot]
-        free = np.flatnonzero((codes >= 0) & ~np.isin(codes, taken) & (p_here > 0))
+        p_here, codes = lattices.p[spot].astype(float), lattices.code[spot]
+        free = np.flatnonzero((p_here > 0) & ~np.isin(codes, taken))
         weights = np.cumsum(p_here[free])
         pick = int(free[min(int(np.searchsorted(weights, noise(1)[0] * weights[-1])), len(free) - 1)])
         new = [(int(codes[pick]), float(p_here[pick]), spot)]
@@ -232,11 +287,11 @@ def distinct_paths(lattices: Lattices, kinds: np.ndarray, draws: list, words: sl
             step = int((lattices.sums[at] < noise(1)[0]).sum())
             new.append((int(lattices.code[at, step]), float(lattices.p[at, step]), at))
             at += step + 1
-        rest = p_here[(codes >= 0) & ~np.isin(codes, taken)].sum()
+        rest = float(p_here[(p_here > 0) & ~np.isin(codes, taken)].sum())
         values[t - fixed] = below(np.array([before[t] + np.log(rest)]), value, noise(1))[0] if rest > 0 else -np.inf
-        tail = suffix(len(out), int(word[t]) + 1)
         a, b, c = (np.array(x) for x in zip(*new))
-        path = (np.r_[code[:t], a, tail[0]], np.r_[p[:t], b, tail[1]], np.r_[place[:t], c, tail[2]], np.r_[word[:t], np.full(len(new), word[t]), tail[3]])
+        head = (np.concatenate([code[:t], a]), np.concatenate([log_p[:t], np.log(b)]), np.concatenate([place[:t], c]), np.concatenate([word[:t], np.full(len(new), word[t])]))
+        path = Path(head, draws[len(out)], int(word[t]) + 1, words.stop)
         fixed = t + 1  # what differs from here on is new; before it stand the regions there already
 
 
@@ -257,11 +312,11 @@ def sample_slice(pieces: Pieces, keys: list, data: list[str], k: int):
     lattices = Lattices(pieces, list(number))
     kinds = np.array([w for x in lists for w in x], np.int64)
     sizes = np.array([len(x) for x in lists], np.int64)
-    begin = np.r_[0, np.cumsum(sizes)]
+    begin = np.concatenate([[0], np.cumsum(sizes)])
     seeds = np.array([xxhash.xxh3_64_intdigest(repr(key)) for key in keys], np.uint64)
     with np.errstate(over="ignore"):
         base = np.repeat(seeds, sizes) + (np.arange(len(kinds)) - np.repeat(begin[:-1], sizes)).astype(np.uint64) * ODD
-    draws = [lattices.draw(kinds, mixed(base ^ np.uint64((r + 1) << 50))) for r in range(k)]
+    draws = [Draw(*lattices.draw(kinds, mixed(base ^ np.uint64((r + 1) << 50)))) for r in range(k)]
     for i, seed in enumerate(seeds.tolist()):
         if not sizes[i]:
             yield [(np.empty(0, np.int64), 0.0, 0.0)], -np.inf
