@@ -5,7 +5,7 @@ the log-weights makes the order of the perturbed values a sample without replace
 by a search over regions of the lattice: a region is a path up to some piece, without that piece (and those taken there before). The
 largest perturbed value of a region is drawn from its mass, which backward sums over the lattice give exactly, cut off at the value of the
 region it came from. The best region is opened, a path is drawn in it, and the rest of it becomes new regions. The (k+1)-th value is the
-threshold from which a sampled path's inclusion probability follows. Noise comes from hashes of the row's key, the sample and the place, so
+threshold from which the logarithm of a sampled path's inclusion probability follows. Noise comes from hashes of the row's key, the sample and the place, so
 that a row has the same samples wherever and whenever it runs.
 
 Pieces do not cross spaces or line feeds, so the lattice of a text is a chain of the lattices of its words. These are built for
@@ -14,7 +14,7 @@ the distinct words of a slice of rows at once, in arrays. A character without a
 Weights: pieces of the model are ranked; the r-th weighs 1 / (r + 10), bytes weigh ``BYTES``.
 
 Edge cases: a null text is empty and like an empty text has one segmentation, the empty one; a text with fewer than k
-segmentations gives them all, with inclusion 1; equal keys give equal samples; a null key is a key; very long texts and words are taken whole; a
+segmentations gives them all, with log_inclusion 0; equal keys give equal samples; a null key is a key; very long texts and words are taken whole; a
 U+2581 in a text decodes as a space, as the model has it; an empty table gives an empty result; other columns are not read.
 """
 
@@ -325,11 +325,11 @@ def sample_slice(pieces: Pieces, keys: list, data: list[str], k: int):
 
 
 def sampled(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", vocabulary: str = VOCABULARY, samples: int = SAMPLES, ids: bool = True) -> DataFrame:
-    """A row for every sample of every row: doc_id, sample (from 0), n_tokens, ids_crc32, log_prob, perturbed, inclusion, round_trip and, if asked for, ids."""
+    """A row for every sample of every row: doc_id, sample (from 0), n_tokens, ids_crc32, log_prob, perturbed, log_inclusion, round_trip and, if asked for, ids."""
 
     def run(batches):
         pieces = pieces_of(public_tokenizers.path(vocabulary))
-        names = ["sample", "n_tokens", "ids_crc32", "log_prob", "perturbed", "inclusion", "round_trip", *["ids"] * ids]
+        names = ["sample", "n_tokens", "ids_crc32", "log_prob", "perturbed", "log_inclusion", "round_trip", *["ids"] * ids]
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.bool_(), pa.list_(pa.int32())]
         for part, data in text_slices(batches, 1, SLICE_BYTES):
             data, at, rows = [x.decode() for x in data], [], []
@@ -337,7 +337,8 @@ def sampled(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
                 chars = np.frombuffer(((" " if data[i] else "") + data[i].replace(SPACE, " ")).encode("utf-32-le"), np.uint32)
                 for n, (codes, log_p, value) in enumerate(paths):
                     tokens = pieces.token_ids(codes)
-                    share = -np.expm1(-np.exp(min(50.0, log_p - following))) if following > -np.inf else 1.0
+                    over = log_p - following
+                    share = 0.0 if over > 30 else over if over < -30 else np.log(-np.expm1(-np.exp(over)))
                     at.append(i)
                     row = (n, len(tokens), zlib.crc32(tokens.astype("<u4").tobytes()), log_p, value, float(share), bool(np.array_equal(pieces.decode(codes), chars)))
                     rows.append((*row, tokens.astype(np.int32)) if ids else row)
@@ -345,7 +346,7 @@ def sampled(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
             yield pa.RecordBatch.from_pydict({"doc_id": part.column(0).take(pa.array(at))} | {n: pa.array(columns[n], t) for n, t in zip(names, kinds)})
 
     kind = dict(docs.dtypes)[id_column]
-    schema = f"doc_id {kind}, sample int, n_tokens long, ids_crc32 long, log_prob double, perturbed double, inclusion double, round_trip boolean"
+    schema = f"doc_id {kind}, sample int, n_tokens long, ids_crc32 long, log_prob double, perturbed double, log_inclusion double, round_trip boolean"
     return docs.select(docs[id_column].alias("doc_id"), docs[text_column].alias("text")).mapInArrow(run, schema + ", ids array<int>" * ids)
 
 
