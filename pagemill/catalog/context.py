@@ -17,16 +17,17 @@ from pagemill.sources import payloads, store
 
 @query("""
 with members as (
-  select p_name as title, min((case p_brand when 'Brand#3' then 0 when 'Brand#1' then 1 else 2 end) * 1000000000000 + p_partkey) as k
-  from part where p_brand in ('Brand#3', 'Brand#1', 'Brand#2') group by p_name),
+  select p_name as title, min(c * 1000000000000 + p_partkey) as k
+  from part join (select p_brand, row_number() over (order by p_brand desc) - 1 as c from (select distinct p_brand from part)) using (p_brand) group by p_name),
 named as (select title, cast(k // 1000000000000 as integer) as category_rank, k % 1000000000000 as pos from members)
 select title, category_rank, cast(pos as bigint) as pos, cast(n as integer) as rank
 from (select *, row_number() over (partition by category_rank order by pos) as n from named) where n <= 5
 """)
 def category_members(spark, folder):
-    """Members of three categories, first occurrence kept, five per category."""
+    """Members of all categories, first occurrence kept, the first five of each."""
     members = table(spark, folder, "part").select(F.col("p_brand").alias("category"), F.col("p_partkey").alias("pos"), F.col("p_name").alias("title"))
-    union = context.union_members(members, ["Brand#3", "Brand#1", "Brand#2"])
+    names = sorted((r["category"] for r in members.select("category").distinct().collect()), reverse=True)  # the asked categories, a short list
+    union = context.union_members(members, names)
     top = quality.smallest(union, ["category_rank"], [F.col("pos")], 5, F.pmod(F.hash("title"), F.lit(64)))
     return top.select("title", "category_rank", "pos", "rank")
 
@@ -122,13 +123,12 @@ w as (
          case when target not in (select id from p) then 'needs_source' when target = id then 'cycle' else 'consumed' end as status from e
   union all
   select w.root, e.id, e.target, list_append(w.path, e.id), w.depth + 1,
-         case when e.target not in (select id from p) then 'needs_source' when list_contains(list_append(w.path, e.id), e.target) then 'cycle'
-              when len(w.path) + 1 >= 32 then 'depth_limit' else 'consumed' end
+         case when e.target not in (select id from p) then 'needs_source' when list_contains(list_append(w.path, e.id), e.target) then 'cycle' else 'consumed' end
   from w join e on e.id = w.target where w.status = 'consumed')
 select root, node, target, cast(depth as integer) as depth, status from w
 """)
 def dependency_closure(spark, folder):
-    """Redirects followed from every page; missing targets, cycles and the depth limit end a walk."""
+    """Redirects followed from every page, however long the walk; missing targets and cycles end it."""
     raw = table(spark, folder, "pages").select("page_id")
     total = raw.count()
     kept = raw.filter(F.col("page_id") % 11 != 5)
@@ -139,7 +139,7 @@ def dependency_closure(spark, folder):
     walked = chains.closure(pages, edges, pages)
 
     def number(c: str):
-        return F.substring(F.col(c), 2, 20).cast("bigint").alias(c)
+        return F.expr(f"substring(`{c}`, 2)").cast("bigint").alias(c)
 
     return walked.select(number("root"), number("at").alias("node"), number("target"), F.col("depth").cast("int").alias("depth"), "status")
 
@@ -312,7 +312,7 @@ select o_orderkey, o_custkey as grp, cast(count(*) over (partition by o_custkey)
 from orders
 """)
 def store_snapshot(spark, folder):
-    """Ordered rows of every aggregate with its count; order is a column, never one huge array."""
+    """A11 without its header: ordered rows of every aggregate with its count; order is a column, never one huge array."""
     orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("grp"))
     numbered = scan.row_numbers(orders, ["grp"], [F.col("o_orderkey")], F.floor(F.col("o_orderkey") / 65536), "pos")
     counts = orders.groupBy("grp").agg(F.count("*").alias("quest_count"))
@@ -320,7 +320,7 @@ def store_snapshot(spark, folder):
 
 
 @query("""
-select 'page' as kind, page_id, url as detail from pages where page_id % 5 < 3
+select 'page' as kind, page_id, url || ' ' || md5(html) as detail from pages where page_id % 5 < 3
 union all select 'failure', page_id, case when page_id % 5 = 3 then 'unreadable' else 'page_count' end from pages where page_id % 5 >= 3
 """)
 def failure_rows(spark, folder):
@@ -329,9 +329,11 @@ def failure_rows(spark, folder):
     page = F.to_json(F.struct(F.struct(F.create_map(F.col("page_id").cast("string"), F.struct(
         F.col("page_id").alias("pageid"), F.col("url").alias("title"),
         F.array(F.struct(F.struct(F.struct(F.col("html").alias("*")).alias("main")).alias("slots"))).alias("revisions"))).alias("pages")).alias("query")))
-    text = F.when(F.col("page_id") % 5 == 3, F.lit('{"query": {"pages": {')).when(F.col("page_id") % 5 == 4, F.lit('{"query": {"pages": {}}}')).otherwise(page)
+    cut = F.substring(page, F.lit(1), F.char_length(page) - 3)  # ends before its last brackets
+    second = F.regexp_replace(page, r"\}\}\}$", ',"0":{"title":"second"}}}}')
+    text = F.when(F.col("page_id") % 5 == 3, cut).when(F.col("page_id") % 5 == 4, second).otherwise(page)
     read = payloads.parse_payloads(raw.select(F.col("page_id").cast("string").alias("raw_file"), text.alias("payload")))
-    good = payloads.pages(read).filter(F.char_length("text") > 0).select(F.lit("page").alias("kind"), "page_id", F.col("title").alias("detail"))
+    good = payloads.pages(read).select(F.lit("page").alias("kind"), "page_id", F.concat_ws(" ", "title", F.md5("text")).alias("detail"))
     return good.unionByName(payloads.payload_failures(read).select(F.lit("failure").alias("kind"), F.col("raw_file").cast("bigint").alias("page_id"), F.col("message").alias("detail")))
 
 

@@ -284,7 +284,7 @@ def generic_page(spark, folder):
     pages = part_pages(spark, folder, "lead <name>\n{{a|k=<type>}}[[分类:common]]\n== S <size> ==\ntext {{b|v=<size>}} [[Category: cat <brand> |*]][[分类:common]]")
     built = E.generic(page_model(pages))
     flat = F.flatten(F.transform("templates", lambda t: F.transform(t["keys"], lambda k: F.concat(t["name"], F.lit(":"), F.element_at(t["raw"], k)))))
-    titles = F.transform(F.slice("sections", 2, 9), lambda s: s["title"])
+    titles = F.transform(F.slice("sections", F.lit(2), F.size("sections")), lambda s: s["title"])
     return built.select(page_id(), "summary", joined("categories").alias("categories"), F.size("templates").cast("bigint").alias("n_templates"),
                         joined(flat).alias("params"), joined(titles).alias("section_titles"))
 

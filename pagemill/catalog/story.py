@@ -179,7 +179,7 @@ def transcluded_units(spark, folder):
     bodies = render(table(spark, folder, "nation").filter("n_nationkey % 2 = 0"), "concat('n', n_nationkey)", "concat('Body ', n_nationkey)",
                     "<noinclude>doc</noinclude>no\n<onlyinclude>甲：from <key>\nplain</onlyinclude>", key="n_nationkey")
     found = Y.transcluded_units(callers.unionByName(bodies))
-    return found.select(F.substring("consumer", 2, 20).cast("bigint").alias("page_id"), "speaker", "text", "scene", F.array_join("branch", "/").alias("branch"))
+    return found.select(F.expr("substring(consumer, 2)").cast("bigint").alias("page_id"), "speaker", "text", "scene", F.array_join("branch", "/").alias("branch"))
 
 
 @query(TURNS_SQL + f"""

@@ -26,25 +26,30 @@ def resolve_reference(records: DataFrame, reference: str, out: str) -> DataFrame
 
 
 def chain_order(records: DataFrame, rank: Column) -> DataFrame:
-    """Start at records without a known predecessor, follow successors, cut cycles.
-
-    ``records``: grp, title, display, previous, next. A record belongs to the lowest-ranked start
-    that reaches it, at its distance; a group without starts starts everywhere, by title. Rows of
-    no start have a null ``depth`` and come last, by title."""
+    """Start at records without a known predecessor, follow successors, cut cycles. One row per record.
+
+    ``records``: grp, title, display, previous, next. A record belongs to the lowest-ranked start (equal ranks by title)
+    that reaches it, at its distance; ranks keep their type and so their order. A group without starts starts everywhere,
+    by title. Titles that repeat or are empty can't be followed: records of such a group, like records of no start, have a
+    null ``depth`` and come last, by title."""
+    named = F.when(F.col("title") != "", F.col("title"))
+    sizes = records.groupBy("grp").agg((F.count(F.lit(1)) == F.count_distinct(named)).alias("plain"))
     found = resolve_reference(resolve_reference(records, "previous", "prev_title"), "next", "next_title")
-    nodes = found.select("grp", "title", "prev_title", "next_title", rank.cast("string").alias("rank"))
-    nodes = cut_lineage(nodes)
+    nodes = cut_lineage(found.withColumn("rank", rank).join(sizes, "grp").select("grp", "title", "prev_title", "next_title", "rank", "plain"))
+    loose = nodes.filter(~F.col("plain")).select("grp", "title", F.lit(None).cast("string").alias("start"), F.lit(None).cast(nodes.schema["rank"].dataType).alias("rank"), F.lit(None).cast("bigint").alias("depth"))
+    nodes = nodes.filter("plain")
     open_groups = nodes.filter(F.col("prev_title").isNull()).select("grp").distinct().withColumn("has_start", F.lit(True))
-    seeded = nodes.join(open_groups, "grp", "left")
-    seed = F.when(F.col("prev_title").isNull(), F.struct(F.lpad("rank", 20, "0").alias("rank"), F.lit(0).cast("bigint").alias("depth"), F.col("title").alias("start")))
-    seed = F.when(F.col("has_start").isNull(), F.struct(F.col("title").alias("rank"), F.lit(0).cast("bigint").alias("depth"), F.col("title").alias("start"))).otherwise(seed)
-    best = seeded.select("grp", "title", seed.alias("best"))
+    starts = F.col("prev_title").isNull() | F.col("has_start").isNull()
+    seed = F.when(starts, F.struct("rank", F.col("title").alias("start"), F.lit(0).cast("bigint").alias("depth")))
+    seed = F.when(F.col("has_start").isNull(), F.struct(F.lit(None).cast(nodes.schema["rank"].dataType).alias("rank"), F.col("title").alias("start"), F.lit(0).cast("bigint").alias("depth"))).otherwise(seed)
+    best = cut_lineage(nodes.join(open_groups, "grp", "left").select("grp", "title", seed.alias("best")))
     jump = nodes.filter(F.col("next_title").isNotNull()).select("grp", "title", F.col("next_title").alias("to"))
-    total, distance = nodes.count(), 1
-    while distance < max(total, 2):
+    # the longest chain has no more records than its group
+    longest, distance = nodes.groupBy("grp").count().agg(F.max("count")).first()[0] or 0, 1
+    while distance < max(longest, 2):
         moved = best.filter("best is not null").join(jump, ["grp", "title"]).select(
             "grp", F.col("to").alias("title"),
-            F.struct(F.col("best.rank").alias("rank"), (F.col("best.depth") + distance).alias("depth"), F.col("best.start").alias("start")).alias("best"))
+            F.struct(F.col("best.rank").alias("rank"), F.col("best.start").alias("start"), (F.col("best.depth") + distance).alias("depth")).alias("best"))
         best = cut_lineage(best.unionByName(moved).groupBy("grp", "title").agg(F.min("best").alias("best")))
         earlier = jump.select("grp", F.col("to").alias("via"), F.col("title").alias("origin"))
         later = jump.select("grp", F.col("title").alias("via"), "to")
@@ -52,8 +57,9 @@ def chain_order(records: DataFrame, rank: Column) -> DataFrame:
         distance *= 2
         if jump.isEmpty():
             break
-    # several paths of one start reach a cycle's members again later; the smallest depth is the first visit
-    return best.select("grp", "title", F.col("best.start").alias("start"), F.col("best.rank").alias("rank"), F.col("best.depth").alias("depth"))
+    # a start reaches a cycle's members again later; the smallest depth is the first visit
+    chained = best.select("grp", "title", F.col("best.start").alias("start"), F.col("best.rank").alias("rank"), F.col("best.depth").alias("depth"))
+    return chained.unionByName(loose)
 
 
 def order_records(chained: DataFrame, index: DataFrame) -> DataFrame:
@@ -72,28 +78,45 @@ def group_index(records: DataFrame, index: DataFrame, *described_by: str) -> Dat
                          *[F.col(f"f.{c}").alias(c) for c in described_by])
 
 
-MAX_DEPTH = 32
+def reached(roots: DataFrame, step: DataFrame) -> DataFrame:
+    """root, at, depth: every page that a root leads to, at its least depth. A page met before is not followed again, so walks end.
+
+    ``roots``: title. ``step``: at, target of the dependencies to follow. Each round adds the pairs of one more step."""
+    pairs = cut_lineage(roots.select(F.col("title").alias("root"), F.col("title").alias("at"), F.lit(0).alias("depth")).distinct())
+    newest, depth, found = pairs, 1, [pairs]
+    while True:
+        fresh = newest.join(step, "at").select("root", F.col("target").alias("at")).distinct()
+        newest = cut_lineage(fresh.join(pairs.select("root", "at"), ["root", "at"], "left_anti").withColumn("depth", F.lit(depth)))
+        if newest.isEmpty():
+            return pairs
+        found.append(newest)
+        if len(found) == 16:  # one table again, so that plans stay short
+            found = [cut_lineage(pairs.unionByName(newest))]
+            pairs = found[0]
+        else:
+            pairs = pairs.unionByName(newest)
+        depth += 1
 
 
 def closure(roots: DataFrame, edges: DataFrame, pages: DataFrame) -> DataFrame:
-    """follow dependencies from every root until a page is missing, ambiguous, met again, or 32 deep.
+    """dependencies of every root, followed until a page is missing, ambiguous or met before.
 
-    ``edges``: title, target, kind. ``pages``: title. One output row per step taken, with its status;
-    only unfinished walks go on, so the frontier shrinks."""
+    ``edges``: title, target, kind. ``pages``: title. One row for each dependency of each page that the root reaches, with the
+    depth of its target on the way there: ``consumed`` where this is the target's least depth, ``cycle`` where the
+    target leads back here, ``met`` where another way to it is shorter. Rows grow with pairs of root and page, not with paths."""
     known = cut_lineage(pages.groupBy(F.col("title").alias("target")).agg(F.count("*").alias("candidates")))
     step = edges.join(known, "target", "left").select(F.col("title").alias("at"), "target", "kind", F.coalesce("candidates", F.lit(0)).alias("candidates"))
-    step = cut_lineage(step)
-    frontier = roots.select(F.col("title").alias("root"), F.col("title").alias("at"), F.array("title").alias("path"))
-    done, depth = None, 1
-    while True:
-        status = (
-            F.when(F.col("candidates") == 0, "needs_source").when(F.col("candidates") > 1, "ambiguous")
-            .when(F.array_contains("path", F.col("target")), "cycle").when(F.size("path") >= MAX_DEPTH, "depth_limit").otherwise("consumed"))
-        taken = frontier.join(step, "at").withColumn("status", status).withColumn("depth", F.lit(depth))
-        taken = cut_lineage(taken.withColumn("next_path", F.concat("path", F.array("target"))))
-        rows = taken.select("root", "at", "target", "kind", "depth", "status")
-        done = rows if done is None else done.unionByName(rows)
-        frontier = taken.filter("status = 'consumed'").select("root", F.col("target").alias("at"), F.col("next_path").alias("path"))
-        depth += 1
-        if frontier.isEmpty():
-            return done
+    step = cut_lineage(step.distinct())
+    follow = step.filter("candidates = 1").select("at", "target").distinct()
+    pairs = reached(roots, follow)
+    rows = pairs.join(step, "at").withColumn("depth", F.col("depth") + 1)
+    nearest = pairs.select("root", F.col("at").alias("target"), F.col("depth").alias("least"))
+    rows = cut_lineage(rows.join(nearest, ["root", "target"], "left"))
+    again = rows.filter((F.col("candidates") == 1) & (F.col("least") < F.col("depth"))).select(F.col("target").alias("title")).distinct()
+    known_roots = roots.select("title").distinct()
+    back = reached(again.join(known_roots, "title", "left_anti"), follow).unionByName(pairs)
+    back = back.select(F.col("root").alias("target"), "at", F.lit(True).alias("back")).distinct()
+    status = (
+        F.when(F.col("candidates") == 0, "needs_source").when(F.col("candidates") > 1, "ambiguous")
+        .when(F.col("least") == F.col("depth"), "consumed").when(F.col("back"), "cycle").otherwise("met"))
+    return rows.join(back, ["target", "at"], "left").select("root", "at", "target", "kind", "depth", status.alias("status"))

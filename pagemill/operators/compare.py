@@ -37,9 +37,14 @@ def manifest_diff(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def fingerprint(rows: DataFrame, *columns: str) -> DataFrame:
     """Count and sum of row hashes: equal for equal multisets, whatever their order."""
-    row = F.sha2(F.to_json(F.struct(*columns)), 256)
-    part = F.conv(F.substring(row, 1, 12), 16, 10).cast("decimal(38,0)")
-    return rows.agg(F.count("*").alias("row_count"), F.sum(part).cast("string").alias("hash_sum"))
+    return digest_sum(rows, F.sha2(F.to_json(F.struct(*columns)), 256), F.count("*").alias("row_count"), out="hash_sum")
+
+
+def digest_sum(rows: DataFrame, digest: Column, *counts: Column, out: str) -> DataFrame:
+    """Sums over all 64 hexadecimal digits of the rows' digests, eight digits at a time, as one text."""
+    sums = [F.sum(F.conv(F.substring("__d", 8 * k + 1, 8), 16, 10).cast("decimal(38,0)")).alias(f"__s{k}") for k in range(8)]
+    summed = rows.withColumn("__d", digest).agg(*counts, *sums)
+    return summed.withColumn(out, F.concat_ws("-", *[F.col(f"__s{k}").cast("string") for k in range(8)])).drop(*[f"__s{k}" for k in range(8)])
 
 
 def multiset_diff(old: DataFrame, new: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagemill.operators.compare import digest_sum
+
 REVISION = ("struct<revid:bigint,`*`:string,slots:struct<main:struct<contentmodel:string,contentformat:string,`*`:string>>>")
 PAGE = f"struct<pageid:bigint,ns:int,title:string,missing:string,revisions:array<{REVISION}>,categories:array<struct<ns:int,title:string>>>"
 PAYLOAD = f"query struct<pages:map<string,{PAGE}>>, _corrupt_record string"
@@ -60,5 +62,4 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
 def manifest_fingerprint(files: DataFrame) -> DataFrame:
     """One fingerprint for a file list, independent of order and never gathered in one place."""
     row = F.sha2(F.concat_ws("|", "path", "size_bytes", "sha256"), 256)
-    part = F.conv(F.substring(row, 1, 12), 16, 10).cast("decimal(38,0)")
-    return files.agg(F.count("*").alias("file_count"), F.sum("size_bytes").cast("bigint").alias("bytes"), F.sum(part).cast("string").alias("fingerprint"))
+    return digest_sum(files, row, F.count("*").alias("file_count"), F.sum("size_bytes").cast("bigint").alias("bytes"), out="fingerprint")

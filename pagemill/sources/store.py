@@ -93,11 +93,14 @@ def quest_document(index: DataFrame, quests: DataFrame, list_title: str) -> dict
 
 def last_snapshot(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """The newest earlier output, or an empty table of the same shape when there is none."""
-    try:
-        found = spark.read.schema(schema + ", snapshot_id string").parquet(folder)
-        newest = found.agg(F.max("snapshot_id").alias("newest"))
-        return found.join(newest, found["snapshot_id"] == newest["newest"], "left_semi").drop("snapshot_id")
-    except Exception as error:  # a missing folder is the only accepted reason
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
+    if not exists_folder(spark, folder):
         return spark.createDataFrame([], schema)
+    found = spark.read.schema(schema + ", snapshot_id string").parquet(folder)
+    newest = found.agg(F.max("snapshot_id").alias("newest"))
+    return found.join(newest, found["snapshot_id"] == newest["newest"], "left_semi").drop("snapshot_id")
+
+
+def exists_folder(spark: SparkSession, folder: str) -> bool:
+    """Whether a folder is there, on whatever file system it names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

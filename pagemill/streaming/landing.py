@@ -7,19 +7,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pagemill.sources import payloads
+from pagemill.sources.store import exists_folder as exists
 
 
 def ingest(spark: SparkSession, landing: str, pages: str, failures: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Read payload files as they arrive; readable pages and failures go to their own tables.
 
-    The file source's checkpoint sees each file once. Within a batch a page revision is kept once;
-    a batch that is run again replaces its own partition, so a retry leaves no second copy."""
+    The file source's checkpoint sees each file once. A page revision is kept once: within a batch by its identity, and
+    against what earlier batches stored by an anti-join. A batch that is run again replaces its own partition and is compared with
+    the batches before it only, so a retry leaves no second copy."""
     stream = (spark.readStream.format("text").option("wholetext", True).schema("value string").load(landing)
               .select(F.col("_metadata.file_path").alias("raw_file"), F.col("value").alias("payload")))
 
     def store(batch: DataFrame, batch_id: int) -> None:
         parsed = payloads.parse_payloads(batch).persist()
-        found = payloads.pages(parsed).dropDuplicates(["page_id", "title", "revision_id"])
+        identity = ["page_id", "title", "revision_id"]
+        found = payloads.pages(parsed).dropDuplicates(identity)
+        if batch_id > 0 and exists(spark, pages):
+            before = spark.read.schema("page_id long, title string, revision_id long, batch_id long").parquet(pages).filter(F.col("batch_id") < batch_id)
+            same = [found[c].eqNullSafe(before[c]) for c in identity]
+            found = found.join(before, same[0] & same[1] & same[2], "left_anti")
         for rows, folder in ((found, pages), (payloads.payload_failures(parsed), failures)):
             rows.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
         parsed.unpersist()

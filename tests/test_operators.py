@@ -203,3 +203,49 @@ def test_exports_nest_their_groups(pages):
 
 def test_checkpoint_keeps_rows(spark):
     assert cut_lineage(spark.range(10)).count() == 10
+
+
+def test_chain_keeps_long_ranks_and_repeated_titles(spark):
+    long_ = "0" * 30
+    records = spark.createDataFrame(
+        [("g", "x", "x", "", "m", long_ + "2"), ("g", "y", "y", "", "m", long_ + "1"), ("g", "m", "m", "x", "", long_ + "9"),
+         ("h", "a", "a", "", "b", "1"), ("h", "b", "b", "a", "", "2"), ("h", "b", "b2", "a", "", "3"), ("h", "", "c", "", "", "4")],
+        "grp string, title string, display string, previous string, next string, r string")
+    got = sorted((r.grp, r.title, r.start, r.depth) for r in chains.chain_order(records, F.col("r")).fillna({"start": "", "depth": -1}).collect())
+    assert got == [("g", "m", "y", 1), ("g", "x", "x", 0), ("g", "y", "y", 0), ("h", "", "", -1), ("h", "a", "", -1), ("h", "b", "", -1), ("h", "b", "", -1)]
+
+
+def test_numeric_ranks_sort_as_numbers(spark):
+    records = spark.createDataFrame([("g", "x", "x", "", "m", 10), ("g", "y", "y", "", "m", 9), ("g", "m", "m", "x", "", 1)], "grp string, title string, display string, previous string, next string, r int")
+    assert {r.title: r.start for r in chains.chain_order(records, F.col("r")).collect()} == {"x": "x", "y": "y", "m": "y"}
+
+
+def test_walks_have_no_longest_length_and_diamonds_stay_linear(spark):
+    chain = [(f"c{i}", f"c{i + 1}", "redirect") for i in range(40)]
+    diamonds = [e for i in range(20) for e in ((f"d{i}", f"l{i}", "template"), (f"d{i}", f"r{i}", "template"), (f"l{i}", f"d{i + 1}", "template"), (f"r{i}", f"d{i + 1}", "template"))]
+    edges = spark.createDataFrame([*chain, *diamonds, ("x", "y", "template"), ("y", "z", "template"), ("x", "z", "template")], "title string, target string, kind string")
+    pages = spark.createDataFrame([(t,) for t in sorted({t for a, b, _ in edges.collect() for t in (a, b)})], "title string")
+    got = chains.closure(spark.createDataFrame([("c0",), ("d0",), ("x",)], "title string"), edges, pages).collect()
+    assert [sum(r.root == k for r in got) for k in ("c0", "d0", "x")] == [40, 80, 3]
+    assert {r.status for r in got if r.root != "x"} == {"consumed"} and max(r.depth for r in got) == 40
+    assert {(r.at, r.target): r.status for r in got if r.root == "x"} == {("x", "y"): "consumed", ("x", "z"): "consumed", ("y", "z"): "met"}
+
+
+def test_fingerprints_use_the_whole_digest(spark):
+    one = compare.digest_sum(spark.createDataFrame([("0" * 63 + "1",)], "d string"), F.col("d"), F.count("*").alias("n"), out="s").first()
+    two = compare.digest_sum(spark.createDataFrame([("0" * 63 + "2",)], "d string"), F.col("d"), F.count("*").alias("n"), out="s").first()
+    assert one.n == two.n == 1 and one.s != two.s
+
+
+def test_landing_stream_keeps_a_revision_once_across_batches(spark, tmp_path):
+    land, out = tmp_path / "land", {n: str(tmp_path / n) for n in ("pages", "failures", "checkpoint")}
+    land.mkdir()
+    for name, title in (("a", "A"), ("b", "A"), ("c", "C")):
+        (land / f"{name}.json").write_text(_payload(title, "x"), encoding="utf-8")
+        landing.ingest(spark, str(land), **out).awaitTermination(60)
+    assert rows(spark.read.parquet(out["pages"]).select("title"), "title") == [("A",), ("C",)]
+
+
+def test_a_long_label_still_speaks(pages):
+    name = "长" * 60
+    assert [(r.speaker, r.text) for r in story.units(pages(f"== 剧情 ==\n{name}：你好\n")).collect()] == [(name, "你好")]
