@@ -43,7 +43,7 @@ select conv_id, turn, cast(row_number() over (partition by conv_id, turn order b
 from l
 """)
 def dialogue_lines(spark, folder):
-    """Every line of every turn as a speech under a scene heading."""
+    """Every line of every turn as a speech under a scene heading."""
     pages = turns(spark, folder).select(key(), F.col("role").alias("title"), F.concat(
         F.lit("== 剧情 ==\n=== Scene "), "role", F.lit(" ===\n*"), "role", F.lit("："),
         F.replace("clean", F.lit("\n"), F.concat(F.lit("\n*"), "role", F.lit("：")))).alias("text"))
@@ -83,7 +83,7 @@ def run_pages(spark, folder):
 select conv_id, turn, cast(row_number() over (partition by conv_id, turn order by i) as bigint) as pos, type, speaker, text, branch from u
 """)
 def recovery_run(spark, folder):
-    """Units of every turn: choices with replies, speech, separated notes, in source order."""
+    """Units of every turn: choices with replies, speech, separated notes, in source order."""
     found = Y.units(run_pages(spark, folder))
     return _numbered(found).select(*unkey(), "pos", "type", "speaker", "text", F.array_join("branch", "/").alias("branch"))
 
@@ -94,17 +94,43 @@ union all select 'branched', cast(branch <> '' as varchar), count(*) from u grou
 union all select 'replay_failures', 'all', 0
 """)
 def recovery_summary(spark, folder):
-    """Counts of a run and the number of units that do not replay from their source."""
+    """G1, M2 (text replay): counts of a run and the number of units that do not replay from their source."""
     pages = run_pages(spark, folder)
     return recovery.summary(Y.units(pages), pages)
 
 
+@query("""
+select c_custkey as page_id, u.rule, u.raw, u.disposition from customer,
+lateral (values ('unknown_template', '{{odd|' || c_name || '}} more', 'unsupported'),
+                ('unclassified_narration', 'told ' || c_mktsegment, 'exported'), ('inline_blackout_separated', 'said {{黑幕|n' || c_nationkey || '}}', 'exported')) u(rule, raw, disposition)
+""")
+def issue_ledger(spark, folder):
+    """Every issue with its source; a line with an unknown template keeps its place in the ledger and no unit."""
+    pages = render(table(spark, folder, "customer"), "c_custkey", "c_name",
+                   "== 剧情 ==\n甲：{{odd|<name>}} more\ntold <seg>\n乙：said {{黑幕|n<nation>}}\n丙：plain", name="c_name", seg="c_mktsegment", nation="c_nationkey")
+    found = Y.read_lines(pages)
+    listed = recovery.issues(found, recovery.route(pages.withColumn("missing", F.lit(False))))
+    states = recovery.regions(found).filter("disposition <> 'metadata'")
+    return listed.join(states, ["page_key", "start", "end"]).select(F.col("page_key").alias("page_id"), "rule", "raw", "disposition")
+
+
+@query("""
+select s_suppkey as page_id, u.scene, u.empty from supplier,
+lateral (values ('剧情', false), ('S ' || s_nationkey, false), ('none', true)) u(scene, empty)
+""")
+def scene_table(spark, folder):
+    """Scenes of a story region, those without any unit included."""
+    pages = render(table(spark, folder, "supplier"), "s_suppkey", "s_name", "== 剧情 ==\n甲：a\n=== S <nation> ===\n乙：b\n=== none ===\n----\n== 奖励 ==\nx", nation="s_nationkey")
+    found = Y.scenes(pages, Y.units(pages))
+    return found.select(F.col("page_key").alias("page_id"), "scene", "empty")
+
+
 @query("""
 select c_custkey as page_id, u.scene, '剧情·分支' || c_nationkey as chapter, u.speaker, u.text, '剧情·分支' || c_nationkey as branch from customer,
 lateral (values ('剧情·分支' || c_nationkey, 'A', 'lead'), ('S ' || c_mktsegment, 'B', c_name), ('deep', 'C', 'bye')) u(scene, speaker, text)
 """)
 def story_regions(spark, folder):
-    """A plot heading opens a region, its level closes it, a branch word makes a condition."""
+    """L2: a plot heading opens a region, its level closes it, a branch word makes a condition."""
     pages = render(table(spark, folder, "customer"), "c_custkey", "c_name",
                    "== 简介 ==\nX：no\n== 剧情·分支<nation> ==\nA：lead\n=== S <seg> ===\nB：<name>\n==== deep ====\nC：bye\n== 奖励 ==\nY：no\n=== low ===\nZ：no",
                    nation="c_nationkey", seg="c_mktsegment", name="c_name")

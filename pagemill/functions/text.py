@@ -67,9 +67,23 @@ def _normalize(value: Column) -> Column:
     return strip(out)
 
 
-def _opens(value: Column) -> Column:
-    """One element per open brace pair: enough rounds to rewrite any nesting from the inside out."""
-    return F.regexp_extract_all(value, F.lit(r"\{\{"), F.lit(0))
+def _rounds(value: Column) -> Column:
+    """One element per level of closed templates: so many rounds rewrite any nesting from the inside out.
+
+    A template of height h stands below h opens without a close and above h closes without an open, so the lesser
+    of the two depths bounds the height; opens that never close add no rounds. One pass over the brace pairs each way."""
+    def depth(marks: Column, opens: str) -> Column:
+        zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+        def step(s: Column, mark: Column) -> Column:
+            now = F.greatest(F.lit(0), s["now"] + F.when(mark == opens, 1).otherwise(-1))
+            return F.struct(now.alias("now"), F.greatest(s["most"], now).alias("most"))
+
+        return F.aggregate(marks, zero, step)["most"]
+
+    marks = F.regexp_extract_all(value, F.lit(r"\{\{|\}\}"), F.lit(0))
+    height = let(marks, lambda m: F.least(depth(m, "{{"), depth(F.reverse(m), "}}")))
+    return let(height, lambda h: F.when(h > 0, F.sequence(F.lit(1), h + 1)).otherwise(F.array().cast("array<int>")))
 
 
 def strip_code(value: Column) -> Column:
@@ -79,7 +93,7 @@ def strip_code(value: Column) -> Column:
 
 def _strip_code(value: Column) -> Column:
     flat = let(value, lambda v: F.aggregate(
-        _opens(v), v, lambda acc, _: F.regexp_replace(acc, r"\{\{[^{}]*\}\}", "")))
+        _rounds(v), v, lambda acc, _: F.regexp_replace(acc, r"\{\{[^{}]*\}\}", "")))
     return replace_all(
         flat,
         (r"\[\[[^\[\]|]*\|([^\[\]]*)\]\]", "$1"),
@@ -179,7 +193,7 @@ def _display(value: Column) -> Column:
         (rf"(?i)</?(?:{VISIBLE_TAGS})(?:\s[^<>]*)?>", ""),
         (r"'{2,}", ""),
     )
-    text = let(text, lambda v: F.aggregate(_opens(v), v, lambda acc, _: _unfold(acc)))
+    text = let(text, lambda v: F.aggregate(_rounds(v), v, lambda acc, _: _unfold(acc)))
     text = replace_all(text, (r"\r\n?", "\n"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", "\""), ("&#39;", "'"),
                        ("&nbsp;", " "), ("&amp;", "&"))
     return strip(text)

@@ -19,16 +19,20 @@ def route(pages: DataFrame) -> DataFrame:
 
 
 def regions(found: DataFrame) -> DataFrame:
-    """Exported ranges, speaker labels as metadata, and the ranges that issues leave unsupported."""
+    """Exported ranges, speaker labels as metadata, and the ranges of lines that were not understood.
+
+    ``found``: rows of ``story.read_lines``, or units alone, which have nothing unsupported."""
     labels = found.filter("speaker_start is not null").select(
         "page_key", F.col("speaker_start").alias("start"), F.col("speaker_end").alias("end"), F.lit("metadata").alias("disposition"))
-    spans = found.select("page_key", "start", "end", F.lit("exported").alias("disposition"))
-    return spans.unionByName(labels).unionByName(found.filter(F.array_contains("issues", "unknown_template")).select("page_key", "start", "end", F.lit("unsupported").alias("disposition")))
+    lost = F.col("type") == "unsupported"
+    return found.select("page_key", "start", "end", F.when(lost, "unsupported").otherwise("exported").alias("disposition")).unionByName(labels)
 
 
 def issues(found: DataFrame, routed: DataFrame) -> DataFrame:
-    """One row per issue; pages that cannot be read are issues too."""
-    own = found.select("page_key", F.explode("issues").alias("rule"), "start", "end", "raw")
+    """One row per issue of a unit or of a line that was not understood; pages that cannot be read are issues too.
+
+    ``found``: rows of ``story.read_lines``."""
+    own = found.filter("type <> 'annotation'").select("page_key", F.explode("issues").alias("rule"), "start", "end", "raw")
     page = F.when(F.col("route") == "missing", "missing_page").when(F.col("route") == "template", "template_requires_consumer")
     return own.unionByName(routed.withColumn("rule", page).filter("rule is not null").select(
         "page_key", "rule", F.lit(0).cast("bigint").alias("start"), F.char_length("text").cast("bigint").alias("end"), F.lit("").alias("raw")))
@@ -57,18 +61,22 @@ def summary(found: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def run(pages: DataFrame, folder: str) -> dict[str, str]:
-    """Write every table of a run below ``folder``; units are read back, never computed twice.
+    """Write every table of a run below ``folder``; lines are read back, never computed twice.
 
     ``pages``: page_key, title, text, missing."""
     spark = pages.sparkSession
     routed = route(pages)
     content = routed.filter("route = 'content'")
-    paths = {name: f"{folder}/{name}" for name in ("units", "issues", "dependencies", "candidates", "summary", "fractions")}
-    Y.units(content).write.mode("overwrite").parquet(paths["units"])
-    found = spark.read.parquet(paths["units"])
+    paths = {name: f"{folder}/{name}" for name in ("lines", "units", "scenes", "transcluded", "issues", "dependencies", "candidates", "summary", "fractions")}
+    Y.read_lines(content).write.mode("overwrite").parquet(paths["lines"])
+    found = spark.read.parquet(paths["lines"])
+    spoken = Y.spoken_units(found)
+    spoken.write.mode("overwrite").parquet(paths["units"])
+    Y.scenes(content, spoken).write.mode("overwrite").parquet(paths["scenes"])
+    Y.transcluded_units(routed.filter("route in ('content', 'template')")).write.mode("overwrite").parquet(paths["transcluded"])
     compare.distinct_by_content(issues(found, routed), "page_key", "rule", "start", "end").write.mode("overwrite").parquet(paths["issues"])
     dependencies(routed.filter("route in ('content', 'redirect')")).write.mode("overwrite").parquet(paths["dependencies"])
     audit(found, content).write.mode("overwrite").parquet(paths["candidates"])
-    summary(found, content).write.mode("overwrite").parquet(paths["summary"])
+    summary(spoken, content).write.mode("overwrite").parquet(paths["summary"])
     quality.recovery_fractions(spark.read.parquet(paths["candidates"]), "disposition", "characters").write.mode("overwrite").parquet(paths["fractions"])
     return paths

@@ -249,3 +249,23 @@ def test_landing_stream_keeps_a_revision_once_across_batches(spark, tmp_path):
 def test_a_long_label_still_speaks(pages):
     name = "长" * 60
     assert [(r.speaker, r.text) for r in story.units(pages(f"== 剧情 ==\n{name}：你好\n")).collect()] == [(name, "你好")]
+
+
+def test_lines_that_are_not_understood_stay_in_the_ledger(pages):
+    p = pages("== 剧情 ==\n甲：{{odd|未知}}\n乙：{{黑幕|x}} ok").withColumn("missing", F.lit(False))
+    found = story.read_lines(p).cache()
+    assert [(r.type, r.text) for r in found.orderBy("start", "end").collect()][0] == ("unsupported", "{{odd|未知}}")
+    assert "unsupported" not in {r.type for r in story.units(p).collect()}
+    assert ("unknown_template", "{{odd|未知}}") in {(r.rule, r.raw) for r in recovery.issues(found, recovery.route(p)).collect()}
+    assert {r.disposition for r in recovery.regions(found).collect()} == {"exported", "metadata", "unsupported"}
+
+
+def test_rounds_follow_nesting_not_the_number_of_opens(spark):
+    from pagemill.functions import text as T
+
+    cases = ["{{odd|x}}" * 4000, "{{" * 3000 + "{{颜色|红|a}}", "{{颜色|红|{{颜色|蓝|b{{颜色|绿|c}}}}}}", "}}{{", ""]
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, t string")
+    got = [r.n for r in df.select("i", F.size(T._rounds(F.col("t"))).alias("n")).orderBy("i").collect()]
+    assert got == [2, 2, 4, 2, 0]
+    shown = [r.d for r in df.filter("i > 0").select("i", T.display("t").alias("d")).orderBy("i").collect()]
+    assert shown[0].endswith("a") and shown[1] == "bc"
