@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pagemill.catalog.registry import query
 from pagemill.catalog.rendered import fill, joined, part_pages, render
+from pagemill.operators import context
 from pagemill.operators import records as R
 from pagemill.operators.pages import page_model
 from pagemill.plans import families as E
@@ -263,6 +264,41 @@ def wiki_entity_character_quest(spark, folder):
         page_id(), "name", "region", "chapter_name", "related_quest", "description", joined("objectives").alias("objectives"))
 
 
+@query("""
+select c_custkey as page_id, 'Quest ' || c_custkey as name, case when c_nationkey % 2 = 0 then 'Event ' || c_nationkey end as event_name,
+       case when c_nationkey % 2 = 0 then '4/1 ~ ' || c_nationkey else '' end as event_period, case when c_nationkey % 2 = 0 then 'about E' || c_nationkey end as event_description,
+       c_name || '/hello ' || c_mktsegment || '|/told' as dialogues, c_name as speakers
+from customer
+""")
+def event_quest_records(spark, folder):
+    """Event quests with the context of their event page and their dialogues."""
+    pages = render(table(spark, folder, "customer"), "concat('c', c_custkey)", "concat('Q', c_custkey)",
+                   "{{任务|任务名称=Quest <key>|相关活动=E<nation>}}\n== 剧情 ==\n<name>：hello <seg>\ntold\n", key="c_custkey", nation="c_nationkey", seg="c_mktsegment", name="c_name")
+    events = render(table(spark, folder, "nation").filter("n_nationkey % 2 = 0"), "concat('n', n_nationkey)", "concat('E', n_nationkey)",
+                    "{{活动|活动名称=Event <key>|开始时间=4/1|结束时间=<key>|活动描述=about E<key>}}", key="n_nationkey")
+    built = E.event_records(page_model(pages), page_model(events))
+    return built.select(
+        F.expr("substring(page_key, 2)").cast("bigint").alias("page_id"), "name", "event_name", "event_period", "event_description",
+        F.array_join(F.transform("dialogues", lambda d: F.concat_ws("/", d["speaker"], d["text"])), "|").alias("dialogues"), joined("speakers").alias("speakers"))
+
+
+@query("""
+select o_orderkey as page_id, 'Quest ' || o_orderkey as name, cast(o_custkey % 5 as integer) as entry,
+       'X' || o_custkey || '|甲' as roles, '甲/hi ' || o_orderstatus as dialogues
+from orders
+""")
+def main_quest_records(spark, folder):
+    """Main-story quests with the index entry of their last known series, cast and dialogues."""
+    pages = render(table(spark, folder, "orders"), "o_orderkey", "concat('O', o_orderkey)",
+                   "{{任务|任务名称=Quest <key>|系列任务=S<g>、S<h>|出场人物=X<cust>}}\n== 剧情 ==\n甲：hi <st>\n",
+                   key="o_orderkey", g="o_custkey % 5", h="case when o_custkey % 3 = 0 then 'none' when o_custkey % 3 = 1 then 'none' else string(o_custkey % 5) end", st="o_orderstatus", cust="o_custkey")
+    nation = table(spark, folder, "nation").filter("n_nationkey < 5")
+    entries = nation.select(F.col("n_nationkey").alias("pos"), F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("title"))
+    listed = context.context_table(entries.withColumn("entry", F.col("pos")), F.array("title"), "pos", "entry")
+    built = E.main_records(page_model(pages), listed)
+    return built.select(page_id(), "name", "entry", joined("roles").alias("roles"), F.array_join(F.transform("dialogues", lambda d: F.concat_ws("/", d["speaker"], d["text"])), "|").alias("dialogues"))
+
+
 @query("""
 select p_partkey as page_id, '{"所属版本":"' || (p_size % 6 + 1) || '.0","名称":"' || p_name || '","类型":"' || p_type || '","来源":"' || p_brand || '","用途":"","介绍":"about ' || p_name || '"}' as document
 from part

@@ -13,11 +13,15 @@ from pyspark.sql import functions as F
 from pagemill.functions import predicates as B
 from pagemill.functions import text as T
 from pagemill.functions import titles
+from pagemill.operators import context
 from pagemill.operators import fields as D
 from pagemill.operators import links
 from pagemill.operators import records as R
 from pagemill.operators import sections as X
+from pagemill.operators import story as Y
+from pagemill.operators import trees
 from pagemill.operators.pages import page_model
+from pagemill.session import written
 
 # Families whose fields are all alias lookups: groups that pick the main template, title aliases,
 # and the output fields with their aliases (fixed values).
@@ -273,6 +277,7 @@ def character_groups(records: DataFrame) -> DataFrame:
         *[R.records_map(F.col(c)).alias(c) for c in ("stories", "notes", "introductions", "story_sections", "voices")], "power")
 
 
+# Template groups that pick the main template of a quest (fixed values).
 EVENT_GROUPS = (("任务地区", "地区", "国家"), ("任务类型", "类型"), ("相关活动", "所属任务", "活动"), ("出场人物", "相关角色"),
                 ("任务描述", "描述", "介绍"), ("时间", "活动时间", "活动期间", "开始时间"))
 CHARACTER_QUEST_GROUPS = (("任务名称", "名称"), ("任务地区", "地区", "国家"), ("任务类型", "类型"), ("任务描述", "描述", "介绍"),
@@ -288,7 +293,7 @@ def _neighbours() -> dict[str, Column]:
 
 
 def event_quests(model: DataFrame) -> DataFrame:
-    """E15 without the event page's context (F2) and the dialogue steps."""
+    """The fields of the page itself; ``event_records`` adds context and dialogues."""
     out = _main(model, D.best_by_fields("templates", EVENT_GROUPS))
     plot = F.filter(F.transform(F.split(X.section_text("sections", ("任务剧情", "剧情")), "\n"), T.strip_marker), lambda x: x != "")
     cast = T.first_text(_raw("出场人物", "相关角色"), X.section_text("sections", ("出场人物", "相关角色")))
@@ -314,7 +319,7 @@ def event_pages(model: DataFrame) -> DataFrame:
 
 
 def main_quests(model: DataFrame) -> DataFrame:
-    """E16 without the series context (F3) and the dialogues."""
+    """The fields of the page itself; ``main_records`` adds context and dialogues."""
     out = _main(model, D.best_quest_template("templates"))
     kind = F.coalesce(D.quest_kind(F.col("main")["name"]), F.lit(""))
     series = F.array_distinct(F.filter(F.transform(F.split(T.plain(_raw("系列任务")), r"[、，,\n]+"), T.strip), lambda x: x != ""))
@@ -331,7 +336,7 @@ def main_quests(model: DataFrame) -> DataFrame:
 
 
 def character_quests(model: DataFrame) -> DataFrame:
-    """E17 without the list context (F4) and the dialogues."""
+    """The fields of the page itself; ``character_records`` adds context and dialogues."""
     out = _main(model, D.best_by_fields("templates", CHARACTER_QUEST_GROUPS))
     named = links.link_titles(F.concat_ws("\n", X.section_text("sections", ("系列任务",)), _raw("系列任务")))
     series = F.array_distinct(F.filter(F.transform(F.flatten(F.transform(named, lambda x: F.split(x, r"\s*,\s*"))), T.quest_title), lambda x: x != ""))
@@ -348,6 +353,71 @@ def character_quests(model: DataFrame) -> DataFrame:
         *[c.alias(n) for n, c in neighbours.items()])
 
 
+def with_dialogues(quests: DataFrame, pages: DataFrame) -> DataFrame:
+    """Each quest with the entries of its story in order, and the distinct speakers in order of appearance.
+
+    Entries of a page are one array, as a page is one row."""
+    found = Y.entries(Y.units(pages))
+    line = F.struct("scene_at", "start", "entry", "scene", "kind", "speaker", "text")
+    lines = F.array_sort(F.collect_list(line))
+    packed = found.groupBy("page_key").agg(lines.alias("dialogues"))
+    speakers = F.array_distinct(F.filter(F.transform("dialogues", lambda d: d["speaker"]), lambda s: s != ""))
+    none = F.array().cast(packed.schema["dialogues"].dataType)
+    out = quests.join(packed, "page_key", "left").withColumn("dialogues", F.coalesce("dialogues", none))
+    return out.withColumn("speakers", speakers)
+
+
+def event_records(model: DataFrame, events: DataFrame) -> DataFrame:
+    """Event quests with their event page's name, period and description, and their dialogues.
+
+    ``events``: the page model that holds event pages. A period of the quest itself wins over that of the event."""
+    about = event_pages(events).select(
+        F.col("title").alias("event_title"), "event_name", F.col("event_period").alias("whole_period"), "event_description")
+    quests = context.with_event(event_quests(model), about).drop("event_title")
+    quests = quests.withColumn("event_period", T.first_text(F.col("event_period"), F.coalesce("whole_period", F.lit("")))).drop("whole_period")
+    return with_dialogues(quests, model)
+
+
+def main_records(model: DataFrame, series: DataFrame) -> DataFrame:
+    """Main-story quests with the index entry of their series and their dialogues; speakers are cast members too.
+
+    ``series``: key and entry, as ``context.context_table`` gives them. A quest's series are tried from the last to the first,
+    then its chapter name, then its own title."""
+    quests = main_quests(model)
+    keys = F.concat(F.reverse(F.transform("series", T.quest_title)), F.array("subtitle.chapter_name", T.quest_title("title")))
+    quests = context.lookup(quests, "page_key", keys, series, "entry")
+    told = with_dialogues(quests, model)
+    return told.withColumn("roles", F.array_distinct(F.concat("related_npcs", "speakers")))
+
+
+def character_records(model: DataFrame, listed: DataFrame) -> DataFrame:
+    """Character quests with the list entry that names them or their series, and their dialogues.
+
+    ``listed``: key and entry, as ``context.context_table`` gives them."""
+    quests = character_quests(model)
+    keys = F.array(T.quest_title("title"), "related_quest", "chapter_name")
+    return with_dialogues(context.lookup(quests, "page_key", keys, listed, "entry"), model)
+
+
+def character_pages(model: DataFrame, pages: DataFrame) -> DataFrame:
+    """Characters with the records of their voice page where exactly one with text exists."""
+    voiced = context.with_voice_page(model.select("page_key", "title"), pages.select("title", "text")).filter("voice_text is not null")
+    read = page_model(voiced.select("page_key", F.col("voice_title").alias("title"), F.col("voice_text").alias("text")), with_sections=False)
+    return characters(model, read.select("page_key", R.direct_voices("templates").alias("voice_records")))
+
+
+def chronicles(model: DataFrame) -> DataFrame:
+    """A timeline page with its sections and items as adjacency rows."""
+    nodes = trees.timeline_tree(model).groupBy("page_key").agg(F.array_sort(F.collect_list(F.struct("node", "parent", "level", "title", "content", "entries"))).alias("nodes"))
+    return model.select(*KEPT).join(nodes, "page_key", "left")
+
+
+def library(model: DataFrame) -> DataFrame:
+    """The encyclopedia page with its nodes as adjacency rows."""
+    nodes = trees.library_nodes(model).groupBy("page_key").agg(F.array_sort(F.collect_list(F.struct("node", "parent", "depth", "kind", "title", "text"))).alias("nodes"))
+    return model.select(*KEPT).join(nodes, "page_key", "left")
+
+
 def generic(model: DataFrame) -> DataFrame:
     """The generic record of a page of no family."""
     return model.select(*KEPT, "summary", "categories", "sections", "templates")
@@ -368,7 +438,8 @@ STANDARD: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "secret-items": ("秘境", secret_items),
 }
 # Families that need other pages.
-CONTEXT = {"characters": characters, "event-quests": event_quests, "archon-quests": main_quests, "character-quests": character_quests}
+CONTEXT = {"characters": characters, "event-quests": event_quests, "archon-quests": main_quests, "character-quests": character_quests,
+           "chronicles": chronicles, "north-library": library}
 
 
 def family_of(model: DataFrame) -> DataFrame:
@@ -409,16 +480,28 @@ def run_family(family: str, pages: DataFrame, members: DataFrame, category: str
     return build(page_model(found)), missing
 
 
+def family_models(pages: DataFrame, members: DataFrame, names: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The page model of all members with their family, and the members without a page.
+
+    Pages are read and parsed once for all families; the model is a written table that families filter."""
+    category = {f: STANDARD[f][0] if f in STANDARD else f for f in names}
+    place = F.coalesce(*[F.when(F.col("category") == c, F.lit(f)) for f, c in category.items()])
+    wanted = members.select("title", place.alias("family")).filter("family is not null").distinct()
+    found = pages.filter(B.has_text(F.col("text"))).join(wanted.select("title").distinct(), "title", "left_semi")
+    model = written(page_model(found.select("page_key", "title", "text")))
+    missing = wanted.join(model.select("title").distinct(), "title", "left_anti")
+    return written(model.join(wanted, "title")), missing
+
+
 def run_all(pages: DataFrame, members: DataFrame, wanted: list[str] | None = None) -> DataFrame:
     """One summary row per family, in run order."""
-    parts, names = [], resolve_families(wanted)
+    names = resolve_families(wanted)
+    model, missing = family_models(pages, members, names)
+    rows = missing.select("family", F.lit("missing").alias("state"), F.lit("").alias("version"))
     for family in names:
-        built, missing = run_family(family, pages, members, STANDARD[family][0] if family in STANDARD else family)
-        parts.append(built.select(F.lit(family).alias("family"), F.lit("built").alias("state"), F.col("version")))
-        parts.append(missing.select(F.lit(family).alias("family"), F.lit("missing").alias("state"), F.lit("").alias("version")))
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
+        build = STANDARD[family][1] if family in STANDARD else CONTEXT[family]
+        built = build(model.filter(F.col("family") == family).drop("family"))
+        rows = rows.unionByName(built.select(F.lit(family).alias("family"), F.lit("built").alias("state"), F.col("version")))
 
     def count(condition: Column) -> Column:
         return F.count(F.when(condition, 1))
