@@ -47,7 +47,7 @@ def substrings(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents in sequences of 2048 ids."""
-    return best_fit.packed(best_fit.token_pieces(docs))
+    return best_fit.packed(written(best_fit.token_pieces(docs)))
 
 
 STAGES = [("quality", quality), ("exact", exact), ("near", near), ("substrings", substrings), ("packing", packing)]

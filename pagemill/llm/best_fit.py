@@ -129,7 +129,7 @@ def rounds(counts: dict[int, int], capacity: int) -> tuple[dict[int, list[tuple[
 
 
 def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` (doc_id, piece, start, length and more) with sequence_id and offset."""
+    """``pieces`` (doc_id, piece, start, length and more) with sequence_id and offset. They are read twice, to find the ranges and to deal them out."""
     numbered = ranked(pieces)
     found = numbered.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")).collect()  # sorted ranges: capacity + partitions rows at most
     counts: dict[int, int] = {}
@@ -166,4 +166,4 @@ def packed(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 @query()
 def op10_best_fit(spark, folder):
     """All documents in sequences of 2048 ids."""
-    return packed(token_pieces(table(spark, folder, "documents")))
+    return packed(written(token_pieces(table(spark, folder, "documents"))))
