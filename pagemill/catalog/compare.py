@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pagemill.catalog.native import document_pages
@@ -25,14 +26,12 @@ select l_orderkey, pos, cast(d as integer) as depth, (select max(b.pos) from r b
 from r a
 """)
 def tree_parent(spark, folder):
-    """The parent is the latest earlier row of a smaller depth, for keys of any size."""
+    """The parent is the latest earlier row of a smaller depth. An order is small, so plain windows do."""
     items = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    order = [F.col(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
-    chunk = F.floor(F.col("l_linenumber") / 1024)
-    rows = scan.row_numbers(items, ["l_orderkey"], order, chunk, "pos")
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
     depth = F.when(F.col("l_linenumber") % 6 == 0, 6).otherwise(F.col("l_linenumber") % 6).cast("int")
-    rows = rows.select("l_orderkey", "pos", depth.alias("depth"))
-    return trees.parents(rows, ["l_orderkey"], "pos", "depth", 6, F.floor(F.col("pos") / CHUNK)).select("l_orderkey", "pos", "depth", "parent")
+    rows = items.select("l_orderkey", F.row_number().over(order).cast("bigint").alias("pos"), depth.alias("depth"))
+    return trees.bounded_parents(rows, ["l_orderkey"], "pos", "depth", 6).select("l_orderkey", "pos", "depth", "parent")
 
 
 @query("""
@@ -354,11 +353,36 @@ select l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(row_number() over (p
 from lineitem
 """)
 def canonical_order(spark, folder):
-    """I4: the pointer of every row inside its record, in canonical order."""
+    """I4: the pointer of every row inside its record, in canonical order. An order is small, so a plain window does."""
     items = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
-    order = [F.col(c) for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")]
-    rows = scan.row_numbers(items, ["l_orderkey"], order, F.floor(F.col("l_linenumber") / 1024), "n")
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", (F.col("n") - 1).alias("pointer"))
+    order = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return items.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", (F.row_number().over(order) - 1).cast("bigint").alias("pointer"))
+
+
+@query("""
+with o as (select user_id, event_type, event_id, row_number() over (partition by user_id, event_type order by event_id) as n from events where event_id % 3 <> 0),
+w as (select user_id, event_type, event_id, row_number() over (partition by user_id, event_type order by event_id) as n from events where event_id % 3 <> 1)
+select coalesce(o.user_id, w.user_id) as user_id, coalesce(o.event_type, w.event_type) as event_type, coalesce(o.n, w.n) as n,
+       case when o.event_id is null then 'added' when w.event_id - o.event_id between -9 and 9 then 'moved' else 'unexplained' end as reason
+from o full join w on o.user_id = w.user_id and o.event_type = w.event_type and o.n = w.n where o.event_id is distinct from w.event_id
+""")
+def change_reasons(spark, folder):
+    """M7: every changed pair with the rule that explains it, or as unexplained."""
+    events = table(spark, folder, "events").select("user_id", "event_type", "event_id")
+    pairs = compare.fifo_pairs(events.filter("event_id % 3 <> 0"), events.filter("event_id % 3 <> 1"), ["user_id", "event_type"], "event_id",
+                               F.floor(F.col("event_id") / CHUNK))
+    near = F.abs(F.col("new_event_id") - F.col("old_event_id")) <= 9
+    reason = F.when(F.col("old_event_id").isNull(), "added").when(near, "moved")
+    return compare.explained_changes(pairs, "old_event_id", "new_event_id", reason).select("user_id", "event_type", "n", "reason")
+
+
+@query("""
+select source || ' ' || (doc_id % 50) as title, count(*) as files from documents group by 1 having count(*) > 1
+""")
+def ambiguous_titles(spark, folder):
+    """Titles that several documents share."""
+    titles = table(spark, folder, "documents").select(F.concat_ws(" ", "source", (F.col("doc_id") % 50).cast("string")).alias("title"))
+    return compare.ambiguous_titles(titles, "title")
 
 
 @query("""

@@ -284,19 +284,19 @@ def event_quest_records(spark, folder):
 
 @query("""
 select o_orderkey as page_id, 'Quest ' || o_orderkey as name, cast(o_custkey % 5 as integer) as entry,
-       'X' || o_custkey || '|甲' as roles, '甲/hi ' || o_orderstatus as dialogues
+       'X' || o_custkey || '|甲' as roles, '甲/hi ' || o_orderstatus || '/character/F' || o_custkey as dialogues
 from orders
 """)
 def main_quest_records(spark, folder):
     """Main-story quests with the index entry of their last known series, cast and dialogues."""
     pages = render(table(spark, folder, "orders"), "o_orderkey", "concat('O', o_orderkey)",
-                   "{{任务|任务名称=Quest <key>|系列任务=S<g>、S<h>|出场人物=X<cust>}}\n== 剧情 ==\n甲：hi <st>\n",
+                   "{{任务|任务名称=Quest <key>|系列任务=S<g>、S<h>|出场人物=X<cust>}}\n== 剧情 ==\n=== F<cust> ===\n甲：hi <st>\n",
                    key="o_orderkey", g="o_custkey % 5", h="case when o_custkey % 3 = 0 then 'none' when o_custkey % 3 = 1 then 'none' else string(o_custkey % 5) end", st="o_orderstatus", cust="o_custkey")
     nation = table(spark, folder, "nation").filter("n_nationkey < 5")
     entries = nation.select(F.col("n_nationkey").alias("pos"), F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("title"))
     listed = context.context_table(entries.withColumn("entry", F.col("pos")), F.array("title"), "pos", "entry")
     built = E.main_records(page_model(pages), listed)
-    return built.select(page_id(), "name", "entry", joined("roles").alias("roles"), F.array_join(F.transform("dialogues", lambda d: F.concat_ws("/", d["speaker"], d["text"])), "|").alias("dialogues"))
+    return built.select(page_id(), "name", "entry", joined("roles").alias("roles"), F.array_join(F.transform("dialogues", lambda d: F.concat_ws("/", d["speaker"], d["text"], d["dialogue_type"], d["task_flow"])), "|").alias("dialogues"))
 
 
 @query("""

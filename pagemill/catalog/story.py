@@ -114,6 +114,15 @@ def issue_ledger(spark, folder):
     return listed.join(states, ["page_key", "start", "end"]).select(F.col("page_key").alias("page_id"), "rule", "raw", "disposition")
 
 
+@query("""
+select s_suppkey as page_id, u.scene, u.chapter from supplier, lateral (values ('剧情', '剧情'), ('S ' || s_nationkey, '剧情')) u(scene, chapter)
+""")
+def dialogue_scene_list(spark, folder):
+    """The scenes in which something is said, told or chosen."""
+    pages = render(table(spark, folder, "supplier"), "s_suppkey", "s_name", "== 剧情 ==\n甲：a\n=== S <nation> ===\nb\n=== none ===\n----\n", nation="s_nationkey")
+    return Y.dialogue_scenes(Y.units(pages)).select(F.col("page_key").alias("page_id"), "scene", "chapter")
+
+
 @query("""
 select s_suppkey as page_id, u.scene, u.empty from supplier,
 lateral (values ('剧情', false), ('S ' || s_nationkey, false), ('none', true)) u(scene, empty)

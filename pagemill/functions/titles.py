@@ -48,12 +48,6 @@ def _before(text: Column, part: Column) -> Column:
     return F.substring(text, F.lit(1), F.instr(text, part) - 1)
 
 
-def chapter_act(value: Column) -> Column:
-    """Chapter and act of a text; without either token the whole text is the chapter."""
-    text = F.regexp_replace(T.plain(value), r"\s+", " ")
-    return T.let(heading_parts(value), lambda p: F.struct(T.first_text(p["chapter"], text).alias("chapter"), p["act"].alias("act")))
-
-
 def split_act(value: Column) -> Column:
     """Chapter name before the act token, and the act."""
     def read(text: Column) -> Column:

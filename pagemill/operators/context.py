@@ -10,6 +10,7 @@ from pagemill.functions import text as T
 from pagemill.functions import titles
 from pagemill.operators import links
 from pagemill.operators import records as R
+from pagemill.operators import sections as X
 from pagemill.session import by_page
 
 
@@ -55,10 +56,11 @@ def lookup(rows: DataFrame, identity: str, keys: Column, context: DataFrame, *va
 
 
 def leaf_titles(text: Column) -> Column:
-    """Links on detail lines of a series page that look like quest titles."""
+    """Links on detail lines of a series page that look like quest titles, else its sections that do."""
     lines = F.filter(F.split(T.normalize(text), "\n"), lambda x: x.contains("详细任务内容"))
     found = F.flatten(F.transform(lines, lambda x: F.transform(F.regexp_extract_all(x, F.lit(links.LINK_TARGET), F.lit(1)), T.plain)))
-    return F.array_distinct(F.filter(found, B.is_leaf_title))
+    listed = F.array_distinct(F.filter(found, B.is_leaf_title))
+    return T.let(listed, lambda x: F.when(F.size(x) > 0, x).otherwise(leaf_sections(X.blocks(text))))
 
 
 def leaf_sections(sections: Column) -> Column:

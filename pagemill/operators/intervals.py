@@ -43,12 +43,6 @@ def asof(probes: DataFrame, marks: DataFrame, keys: Sequence[str], order: Sequen
     return out.filter("__probe = 1").drop("__probe", "__mark")
 
 
-def containers_of(inner: Column, spans: Column) -> Column:
-    """the spans of a page that hold ``inner``, outermost first."""
-    held = F.filter(spans, lambda s: (s["start"] <= inner["start"]) & (s["end"] >= inner["end"]))
-    return F.array_sort(held)
-
-
 HAN = r"[㐀-鿿]"
 NOT_HAN = r"[^㐀-鿿]"
 

@@ -27,9 +27,9 @@ def parents(rows: DataFrame, keys: Sequence[str], position: str, depth: str, dee
     return out.withColumn("parent", parent).drop(*last)
 
 
-def page_parents(rows: DataFrame, position: str, depth: str, deepest: int) -> DataFrame:
-    """As ``parents`` for rows of one page; they fit one window because a page is one input row."""
-    order = Window.partitionBy("page_key").orderBy(position).rowsBetween(Window.unboundedPreceding, -1)
+def bounded_parents(rows: DataFrame, keys: Sequence[str], position: str, depth: str, deepest: int) -> DataFrame:
+    """As ``parents`` for groups known to be small, such as the rows of a page or of an order: one plain window."""
+    order = Window.partitionBy(*keys).orderBy(position).rowsBetween(Window.unboundedPreceding, -1)
     parent = F.lit(None).cast("bigint")
     for d in range(2, deepest + 1):
         parent = F.when(F.col(depth) == d, F.last(F.when(F.col(depth) < d, F.col(position)), ignorenulls=True).over(order)).otherwise(parent)

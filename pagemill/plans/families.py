@@ -353,12 +353,14 @@ def character_quests(model: DataFrame) -> DataFrame:
         *[c.alias(n) for n, c in neighbours.items()])
 
 
-def with_dialogues(quests: DataFrame, pages: DataFrame) -> DataFrame:
+def with_dialogues(quests: DataFrame, pages: DataFrame, flow: bool = False) -> DataFrame:
     """Each quest with the entries of its story in order, and the distinct speakers in order of appearance.
 
-    Entries of a page are one array, as a page is one row."""
-    found = Y.entries(Y.units(pages))
-    line = F.struct("scene_at", "start", "entry", "scene", "kind", "speaker", "text")
+    ``flow``: the main story's form instead (P3), lines with their type and the part of the quest they belong to.
+    Lines of a page are one array, as a page is one row."""
+    found = Y.units(pages)
+    found = Y.main_dialogues(found) if flow else Y.entries(found)
+    line = F.struct("start", "speaker", "text", "dialogue_type", "task_flow") if flow else F.struct("scene_at", "start", "entry", "scene", "kind", "speaker", "text")
     lines = F.array_sort(F.collect_list(line))
     packed = found.groupBy("page_key").agg(lines.alias("dialogues"))
     speakers = F.array_distinct(F.filter(F.transform("dialogues", lambda d: d["speaker"]), lambda s: s != ""))
@@ -386,7 +388,7 @@ def main_records(model: DataFrame, series: DataFrame) -> DataFrame:
     quests = main_quests(model)
     keys = F.concat(F.reverse(F.transform("series", T.quest_title)), F.array("subtitle.chapter_name", T.quest_title("title")))
     quests = context.lookup(quests, "page_key", keys, series, "entry")
-    told = with_dialogues(quests, model)
+    told = with_dialogues(quests, model, flow=True)
     return told.withColumn("roles", F.array_distinct(F.concat("related_npcs", "speakers")))
 
 

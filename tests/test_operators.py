@@ -269,3 +269,24 @@ def test_rounds_follow_nesting_not_the_number_of_opens(spark):
     assert got == [2, 2, 4, 2, 0]
     shown = [r.d for r in df.filter("i > 0").select("i", T.display("t").alias("d")).orderBy("i").collect()]
     assert shown[0].endswith("a") and shown[1] == "bc"
+
+
+def test_reports_documents_and_category_files(spark, tmp_path):
+    report = spark.createDataFrame([("weapons", 3)], "family string, built int")
+    for run in ("r1", "r2"):
+        store.write_report(report, str(tmp_path / "reports"), run)
+    assert sorted(r.run_id for r in spark.read.parquet(str(tmp_path / "reports")).collect()) == ["r1", "r2"]
+    quests = spark.createDataFrame([(1, "a"), (2, "b")], "pos int, title string")
+    parts = store.quest_document(quests.filter("pos = 1"), quests, "list")
+    assert (parts["header"].first().quest_count, parts["header"].first().list_title, parts["index"].count(), parts["quests"].count()) == (2, "list", 1, 2)
+    (tmp_path / "lists").mkdir()
+    (tmp_path / "lists" / "武器.json").write_text('["b", "a"]', encoding="utf-8")
+    got = rows(payloads.category_members(spark, str(tmp_path / "lists")).select("pos", "title"), "pos")
+    assert got == [(0, "b"), (1, "a")]
+
+
+def test_series_without_detail_links_fall_back_to_sections(spark):
+    from pagemill.operators import context
+
+    df = spark.createDataFrame([("== 简介 ==\nx\n== 寻宝 ==\n{{任务|a}}\n== 第一章 ==\n[[q]]\n",), ("* 详细任务内容：[[A]]\n== B ==\n[[x]]\n",)], "t string")
+    assert [r.x for r in df.select(context.leaf_titles(F.col("t")).alias("x")).collect()] == [["寻宝"], ["A"]]
