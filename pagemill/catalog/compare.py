@@ -10,7 +10,7 @@ from pagemill.catalog.registry import query
 from pagemill.catalog.rendered import fill, joined, part_pages
 from pagemill.functions import predicates as B
 from pagemill.functions import text as T
-from pagemill.operators import compare, intervals, links, quality, scan, trees
+from pagemill.operators import compare, intervals, links, nested, quality, scan, trees
 from pagemill.operators import lines as LN
 from pagemill.operators import versions as V
 from pagemill.operators.pages import page_model
@@ -376,6 +376,46 @@ def change_reasons(spark, folder):
     return compare.explained_changes(pairs, "old_event_id", "new_event_id", reason).select("user_id", "event_type", "n", "reason")
 
 
+@query("""
+select o_orderkey, u.path, u.before, u.after from orders, lateral (values
+  ('$.a.price', cast(o_custkey as varchar), cast(o_custkey + 1 as varchar)), ('$.list[1].k', o_orderpriority, null), ('$.list[0].k', o_orderstatus, o_orderstatus || '!')) u(path, before, after)
+where o_orderkey % 3 = 0
+union all select o_orderkey, '$.extra', null, 'new' from orders where o_orderkey % 3 = 1
+""")
+def deep_differences(spark, folder):
+    """Paths into nested records with their values before and after."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    k = F.col("o_orderkey") % 3
+
+    def record(price, first, second, *more):
+        items = F.array_compact(F.array(F.struct(first.alias("k")), F.when(second, F.struct(F.col("o_orderpriority").alias("k")))))
+        return F.to_json(F.struct(F.struct(price.alias("price"), F.lit("same").alias("kept")).alias("a"), items.alias("list"), *more))
+
+    status = F.col("o_orderstatus")
+    old = orders.select("o_orderkey", record(F.col("o_custkey"), status, F.lit(True)).alias("document"))
+    new = orders.select("o_orderkey", record(F.col("o_custkey") + F.when(k == 0, 1).otherwise(0), F.when(k == 0, F.concat(status, F.lit("!"))).otherwise(status), k != 0,
+                                             F.when(k == 1, "new").alias("extra")).alias("document"))
+    return nested.differences(old, new, "o_orderkey", "document")
+
+
+@query("""
+select c_custkey, 'top' as level, 'name' as field, '' as subfield, cast(null as integer) as item from customer where c_custkey % 4 = 0
+union all select c_custkey, 'nested', 'info', 'segment', null from customer where c_custkey % 4 = 1
+union all select c_custkey, 'item', 'lines', 'text', 1 from customer where c_custkey % 4 = 2
+""")
+def record_rules(spark, folder):
+    """M3, M4: required top, nested and list-item fields, with one planted fault in three of four records."""
+    k = F.col("c_custkey") % 4
+    line = lambda text: F.struct(F.lit("s").alias("speaker"), text.alias("text"))
+    document = F.to_json(F.struct(
+        F.when(k == 0, "").otherwise(F.col("c_name")).alias("name"), F.struct(F.when(k != 1, F.col("c_mktsegment")).alias("segment"), F.lit("x").alias("other")).alias("info"),
+        F.array(line(F.lit("hello")), line(F.when(k == 2, "").otherwise("bye"))).alias("lines")))
+    records = table(spark, folder, "customer").select("c_custkey", F.lit("characters").alias("family"), document.alias("document"))
+    rules = spark.createDataFrame([("characters", "top", "name", ""), ("characters", "nested", "info", "segment"), ("characters", "item", "lines", "text"),
+                                   ("weapons", "top", "story", "")], "family string, level string, field string, subfield string")
+    return nested.rule_failures(records, rules, "c_custkey", "document")
+
+
 @query("""
 select source || ' ' || (doc_id % 50) as title, count(*) as files from documents group by 1 having count(*) > 1
 """)

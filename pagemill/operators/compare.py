@@ -12,7 +12,7 @@ from pagemill.operators import scan
 
 
 def record_diff(old: DataFrame, new: DataFrame, key: str, fields: Sequence[str], version: str | None = None) -> DataFrame:
-    """Full join by identity; names of the fields that differ and why.
+    """full join by identity; names of the fields that differ and why.
 
     A version that was set and changes is a conflict; a version that was empty may be filled in."""
     a = old.select(F.col(key), F.struct(*fields).alias("o"))

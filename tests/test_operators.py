@@ -290,3 +290,13 @@ def test_series_without_detail_links_fall_back_to_sections(spark):
 
     df = spark.createDataFrame([("== 简介 ==\nx\n== 寻宝 ==\n{{任务|a}}\n== 第一章 ==\n[[q]]\n",), ("* 详细任务内容：[[A]]\n== B ==\n[[x]]\n",)], "t string")
     assert [r.x for r in df.select(context.leaf_titles(F.col("t")).alias("x")).collect()] == [["寻宝"], ["A"]]
+
+
+def test_replay_reports_planted_faults(pages):
+    p = pages("== 剧情 ==\n甲：你好\n{{剧情选项|选项1=去|剧情1=乙：好}}\n丙：再见")
+    found = story.units(p).cache()
+    assert story.replay_failures(found, p).count() == 0
+    planted = found.withColumn("speaker", F.when(F.col("speaker") == "甲", "别人").otherwise(F.col("speaker")))
+    planted = planted.withColumn("text", F.when(F.col("text") == "再见", "改").otherwise(F.col("text"))).withColumn(
+        "group_at", F.when(F.col("speaker") == "乙", F.col("end")).otherwise(F.col("group_at")))
+    assert sorted(r.fault for r in story.replay_failures(planted, p).collect()) == ["branch", "speaker", "text"]
