@@ -6,7 +6,8 @@ found by their shingles, which pairs do link by an R-tree.
 1. Shingles are ordered by hash. A linked pair shares at least a sixth to a quarter of the first half of either set (see
    ``prefix_length`` and ``least_shared``). So only the first halves are counted, and a document with too few shingles that stand
    elsewhere has no links. Of the shingles that do, each document may leave out its most frequent ones, as many as can be spared.
-2. Documents that share a shingle left are in one block. A linked pair is always in one block.
+2. Documents that share a shingle left are in one block. A linked pair is always in one block. Blocks are the components of
+   links to the least document with each of a document's first shingles, and of what all other shingles add to these.
 3. A block's sets go to one task. Their shingles are hashed into groups; the counts by group are points of an R-tree. The sum of
    the coordinate-wise least of a point and a node's upper corner bounds the overlap with anything in the node; pairs that no bound
    rules out are verified on the sets. Pairs already connected are not looked at again, so a group of copies costs about one look each.
@@ -38,8 +39,8 @@ from pagemill.session import table, written
 SHINGLE = 5
 #: Jaccard similarity in percent.
 PERCENT = 75
-#: Shingles of the documents that one task joins at most; first shingles tried for a large block.
-LOAD, TRIES = 4_000_000, 3
+#: Shingles of the documents that one task joins at most, where a short document counts as ``LEAST_LOAD``; first shingles tried for a large block.
+LOAD, LEAST_LOAD, TRIES = 4_000_000, 200, 3
 #: Children of a node of the tree.
 FANOUT = 16
 
@@ -183,10 +184,19 @@ def documents_of(shared: DataFrame) -> DataFrame:
     return shared.select("doc_rid", "doc_n", "doc_low", "doc_high").filter("doc_rid is not null").mapInArrow(rows, "rid long, n long, low long, high long")
 
 
-def kept_shingles(shared: DataFrame, sizes: DataFrame, buckets: int, percent: int) -> DataFrame:
-    """token, rid by bucket of the tokens: what documents with enough shared shingles keep, rarest first.
+def packed_by_rid(rows: DataFrame, buckets: int, names: tuple[str, str]) -> DataFrame:
+    """Two long columns, the first a rid, as bytes in the buckets of the rids."""
+
+    def pack(batches):
+        for batch in batches:
+            rid, value = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            yield by_bucket((mixed(rid.view(np.uint64)) % np.uint64(buckets)).astype(np.int64), dict(zip(names, (rid, value))))
 
-    ``sizes`` gives n by rid and travels in the same buckets."""
+    return rows.mapInArrow(pack, f"bucket int, {names[0]} binary, {names[1]} binary")
+
+
+def kept_shingles(shared: DataFrame, sizes: DataFrame, buckets: int, percent: int) -> DataFrame:
+    """rid, token by bucket of the rids: what documents with enough shared shingles keep, their most frequent ones left out."""
 
     def choose(batches):
         values = joined(batches, {"rid": np.int64, "token": np.uint8, "n_docs": np.uint32, "doc_rid": np.int64, "doc_n": np.int64})
@@ -203,22 +213,36 @@ def kept_shingles(shared: DataFrame, sizes: DataFrame, buckets: int, percent: in
         place = np.arange(len(rid)) - np.repeat(edges[:-1], size)
         keep = (np.repeat(size, size) >= np.repeat(least, size)) & (place <= np.repeat(size - least, size))
         rid, token = rid[keep], token[keep]
-        bucket = (mixed(token) % np.uint64(buckets)).astype(np.int64)
-        packed = by_bucket(bucket, {"token": token, "rid": rid})
+        packed = by_bucket((mixed(rid.view(np.uint64)) % np.uint64(buckets)).astype(np.int64), {"rid": rid, "token": token})
         if packed.num_rows:
             yield packed
 
     parts = int(shared.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tokens = shared.filter("doc_rid is null").select("bucket", "rid", "token", "n_docs")
+    together = tokens.unionByName(packed_by_rid(sizes.select("rid", "n"), buckets, ("doc_rid", "doc_n")), allowMissingColumns=True)
+    return together.repartition(parts, "bucket").mapInArrow(choose, "bucket int, rid binary, token binary")
 
-    def pack(batches):
+
+def first_kept(kept: DataFrame, tries: int = TRIES) -> DataFrame:
+    """rid, token: the ``tries`` least tokens that each document keeps."""
+
+    def find(batches):
         for batch in batches:
-            rid, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            yield by_bucket((mixed(rid.view(np.uint64)) % np.uint64(buckets)).astype(np.int64), {"doc_rid": rid, "doc_n": n})
+            for rids, tokens in zip(batch.column(1), batch.column(2)):
+                rid, token = np.frombuffer(rids.as_py(), np.int64), np.frombuffer(tokens.as_py(), np.uint64)
+                order = np.lexsort((token, rid))
+                rid, token = rid[order], token[order]
+                edges = np.flatnonzero(np.r_[True, rid[1:] != rid[:-1], True])
+                few = np.arange(len(rid)) - np.repeat(edges[:-1], np.diff(edges)) < tries
+                yield pa.RecordBatch.from_pydict({"rid": pa.array(rid[few]), "token": pa.array(token[few].view(np.int64))})
 
-    packed_sizes = sizes.select("rid", "n").mapInArrow(pack, "bucket int, doc_rid binary, doc_n binary")
-    tokens = shared.filter("doc_rid is null").select("bucket", "rid", "token", "n_docs")
-    together = tokens.unionByName(packed_sizes, allowMissingColumns=True)
-    return together.repartition(parts, "bucket").mapInArrow(choose, "bucket int, token binary, rid binary")
+    return kept.mapInArrow(find, "rid long, token long")
+
+
+def hubs_of(tried: DataFrame) -> DataFrame:
+    """rid, hub: for each token tried the least document with it, where that is another."""
+    hubs = written(tried.groupBy("token").agg(F.min("rid").alias("hub")))
+    return tried.join(hubs, "token").filter("rid <> hub").select("rid", "hub").distinct()
 
 
 def forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -240,21 +264,40 @@ def forest(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def meetings(kept: DataFrame) -> DataFrame:
-    """a, b: links that connect all documents that share a token; as few of each part as do so."""
+def meetings(kept: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
+    """a, b: links between the labels (rid, label; else a document's own rid) of documents that share a token."""
+    parts = int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def label(batches):
+        values = joined(batches, {"rid": np.int64, "token": np.uint64, "label_rid": np.int64, "label": np.int64})
+        rid, token = values["rid"], values["token"]
+        if not len(rid):
+            return
+        order = np.argsort(values["label_rid"])
+        known, own = values["label_rid"][order], values["label"][order]
+        if len(known):
+            at = np.minimum(np.searchsorted(known, rid), len(known) - 1)
+            rid = np.where(known[at] == rid, own[at], rid)
+        order = np.lexsort((rid, token))
+        rid, token = rid[order], token[order]
+        new = np.r_[True, (token[1:] != token[:-1]) | (rid[1:] != rid[:-1])]
+        rid, token = rid[new], token[new]
+        yield by_bucket((mixed(token) % np.uint64(buckets)).astype(np.int64), {"token": token, "rid": rid})
 
     def find(batches):
         values = joined(batches, {"token": np.uint64, "rid": np.int64})
         token, rid = values["token"], values["rid"]
         order = np.lexsort((rid, token))
         token, rid = token[order], rid[order]
-        same = np.flatnonzero(token[1:] == token[:-1]) if len(token) else np.empty(0, np.int64)
+        same = np.flatnonzero((token[1:] == token[:-1]) & (rid[1:] != rid[:-1])) if len(token) else np.empty(0, np.int64)
         pairs = np.unique(np.stack([rid[same], rid[same + 1]], 1), axis=0) if len(same) else np.empty((0, 2), np.int64)
         links = np.array(forest(list(map(tuple, pairs.tolist()))), np.int64).reshape(-1, 2)
         for i in range(0, len(links), 50_000):
             yield pa.RecordBatch.from_pydict({"a": pa.array(links[i : i + 50_000, 0]), "b": pa.array(links[i : i + 50_000, 1])})
 
-    return kept.mapInArrow(find, "a long, b long")
+    together = kept.unionByName(packed_by_rid(labels, buckets, ("label_rid", "label")), allowMissingColumns=True)
+    tokens = together.repartition(parts, "bucket").mapInArrow(label, "bucket int, token binary, rid binary")
+    return tokens.repartition(parts, "bucket").mapInArrow(find, "a long, b long")
 
 
 class CountTree:
@@ -295,10 +338,12 @@ class CountTree:
 
 
 def joined_pairs(rids: np.ndarray, sets: list[np.ndarray], labels: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Links that connect what is linked among ``sets``; equal ``labels`` are connected already."""
+    """Links that connect what is linked among ``sets``; equal ``labels`` are connected already.
+
+    Each label joined to others is linked once, by one of its documents, to the least such document."""
     order = np.lexsort(([len(s) for s in sets], [int(s[0]) for s in sets]))  # sets with the least hash in common lie together
     rids, sets, labels = rids[order], [sets[i] for i in order], np.unique(labels[order], return_inverse=True)[1]
-    tree, out = CountTree(sets), []
+    tree, first = CountTree(sets), labels.copy()
     after = np.arange(len(sets))
     for i in range(len(sets) - 1):
         wanted = (labels != labels[i]) & (after > i)
@@ -316,8 +361,13 @@ def joined_pairs(rids: np.ndarray, sets: list[np.ndarray], labels: np.ndarray, p
             union = len(sets[i]) + tree.sizes[some] - hits
             for j in some[100 * hits >= percent * union].tolist():
                 if labels[j] != labels[i]:
-                    out.append((int(rids[i]), int(rids[j])))
                     labels[labels == labels[j]] = labels[i]
+    out = []
+    one = np.unique(first, return_index=True)[1]  # a document of each label
+    one = one[np.lexsort((rids[one], labels[one]))]
+    edges = np.flatnonzero(np.r_[True, np.diff(labels[one]) != 0, True])
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        out += [(int(rids[one[a]]), int(rids[k])) for k in one[a + 1 : b].tolist()]
     return out
 
 
@@ -361,15 +411,7 @@ def large_links(rows: DataFrame, members: DataFrame, kept: DataFrame, load: int,
     """a, b: links within blocks of more than ``load`` shingles (rid, n, block)."""
     sets = written(sets_of(rows, members.select("rid", F.col("block").alias("task"), F.col("rid").alias("label"))))
 
-    def unpack(batches):
-        for batch in batches:
-            for token, rid in zip(batch.column(1), batch.column(2)):
-                yield pa.RecordBatch.from_pydict({"token": pa.array(np.frombuffer(token.as_py(), np.uint64).view(np.int64)), "rid": pa.array(np.frombuffer(rid.as_py(), np.int64))})
-
-    own = kept.mapInArrow(unpack, "token long, rid long").join(members.select("rid", "n"), "rid")
-    tried = written(own.groupBy("rid").agg(F.slice(F.sort_array(F.collect_list("token")), 1, TRIES).alias("tokens")).select("rid", F.explode("tokens").alias("token")))
-    hubs = written(tried.groupBy("token").agg(F.min("rid").alias("hub")))
-    pairs = tried.join(hubs, "token").select("rid", "hub").filter("rid <> hub").distinct()
+    pairs = hubs_of(first_kept(kept).join(members.select("rid"), "rid"))
 
     def longs(batches):
         for batch in batches:
@@ -385,7 +427,7 @@ def large_links(rows: DataFrame, members: DataFrame, kept: DataFrame, load: int,
     groups = labelled.groupBy("block", "label").agg(F.count(F.lit(1)).alias("docs"))
     largest = groups.groupBy("block").agg(F.max(F.struct("docs", "label")).alias("top")).select("block", F.col("top.label").alias("top"))
     banded = labelled.join(largest, "block").withColumn("top", F.col("label") == F.col("top")).withColumn("band", F.floor(F.log("n") / F.log(F.lit(1.15))))
-    weights = banded.groupBy("block", "top", "band").agg(F.ceil(2 * F.sum("n") / load).cast("int").alias("cuts"))
+    weights = banded.groupBy("block", "top", "band").agg(F.ceil(2 * F.sum(F.greatest("n", F.lit(LEAST_LOAD))) / load).cast("int").alias("cuts"))
     banded = written(banded.join(weights, ["block", "top", "band"]).withColumn("cut", F.pmod(F.xxhash64("rid"), F.col("cuts")).cast("int")))
     cuts = written(weights.select("block", "top", "band", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut")).withColumn("id", F.xxhash64("block", "top", "band", "cut")))
     # sets that can link differ by 4/3 at most, that is by three bands
@@ -406,15 +448,19 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     # equal sets are one document, the first of them
     same = written(sizes.filter("n > 0").groupBy("low", "high", "n").agg(F.min("rid").alias("first")))
     kept = written(kept_shingles(shared, sizes, buckets, percent))
-    blocks = components(written(meetings(kept.repartition(parts, "bucket"))))
+    # most copies meet at the hub of one of their first tokens, so few labels are left to meet by all tokens
+    hubs = written(hubs_of(first_kept(kept)))
+    labels = hubs.groupBy("rid").agg(F.min("hub").alias("label"))
+    blocks = components(written(meetings(kept, labels, buckets).unionByName(hubs.select(F.col("rid").alias("a"), F.col("hub").alias("b")))))
     members = written(blocks.select(F.col("node").alias("rid"), F.col("root").alias("block")).join(same.select(F.col("first").alias("rid"), "n"), "rid"))
-    loads = written(members.groupBy("block").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("load")).filter("docs > 1"))
+    loads = written(members.groupBy("block").agg(F.count(F.lit(1)).alias("docs"), F.sum(F.greatest("n", F.lit(LEAST_LOAD))).alias("load")).filter("docs > 1"))
     small = members.join(loads.filter(F.col("load") <= load).select("block"), "block")
+    # a small block is whole in one task, so its links already lead to the least document of each component
     links = written(tree_links(sets_of(rows, small.select("rid", F.col("block").alias("task"), F.col("rid").alias("label"))), percent))
+    roots = links.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(links.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
     if not loads.filter(F.col("load") > load).isEmpty():
         large = written(members.join(loads.filter(F.col("load") > load).select("block"), "block").select("rid", "n", "block"))
-        links = links.unionByName(written(large_links(rows, large, kept, load, percent)))
-    roots = written(components(links))
+        roots = roots.unionByName(components(large_links(rows, large, kept, load, percent)))
 
     placed = sizes.join(same, ["low", "high", "n"], "left").select("rid", "n", F.coalesce("first", "rid").alias("first"))
     placed = placed.join(roots, placed["first"] == roots["node"], "left").select("rid", "n", F.coalesce("root", "first").alias("root"))
