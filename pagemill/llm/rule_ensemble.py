@@ -197,7 +197,9 @@ def accepted(docs: DataFrame, model: RuleEnsemble, threshold: float = THRESHOLD)
     """The rows of ``docs`` that the model doesn't reject, as they are."""
     names = docs.columns
     rows = statistics(docs.select(F.struct(*names).alias("row"), F.col("text")))
-    return rows.filter(model.score() >= threshold).select("row.*")
+    # Rejected rows drop out by an outer explode: a filter would be pushed below the statistics and repeat them for every rule.
+    kept = F.when(model.score() >= threshold, F.array("row"))
+    return rows.select(F.explode_outer(kept).alias("kept")).filter("kept is not null").select("kept.*")
 
 
 @query()
