@@ -20,7 +20,10 @@ U+2581 in a text decodes as a space, as the model has it; an empty table gives a
 
 from __future__ import annotations
 
+import math
 import zlib
+from bisect import bisect_right
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -36,8 +39,10 @@ from pagemill.session import table
 VOCABULARY, SAMPLES = "piece_bpe_32k.model", 3
 #: Log-weight of a character written in bytes.
 BYTES = -14.0
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 3 << 20
 SPACE = "▁"
+#: Low bits of a hash that find a beginning of a piece at once.
+SLOT = np.uint64((1 << 21) - 1)
 #: Codes above all pieces stand for characters written in bytes.
 CODE = 1 << 24
 
@@ -64,6 +69,10 @@ class Pieces:
         hashes = np.array([self.hash(b) for b in begins], np.uint64)
         order = np.argsort(hashes)
         self.hashes = hashes[order]
+        slot = (self.hashes & SLOT).astype(np.int64)
+        self.slots = np.zeros(int(SLOT) + 1, np.int32)
+        self.slots[slot] = np.arange(len(slot))
+        self.slots[slot[np.bincount(slot, minlength=len(self.slots))[slot] > 1]] = -1
         self.ids = np.array([pieces.get(b, -1) for b in begins], np.int64)[order]
         self.weights = np.array([weight.get(b, -np.inf) for b in begins])[order]
         chars = [p.replace(SPACE, " ") for p in self.text]
@@ -73,6 +82,13 @@ class Pieces:
         self.starts = np.r_[0, np.cumsum(self.sizes)[:-1]]
         self.chars = np.frombuffer("".join(chars).encode("utf-32-le"), np.uint32)
 
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The row of each hash, any row for a hash that has none: by its low bits, or by search where several share these."""
+        row = self.slots[h & SLOT]
+        shared = np.flatnonzero(row < 0)
+        row[shared] = np.minimum(np.searchsorted(self.hashes, h[shared]), len(self.hashes) - 1)
+        return row
+
     def hash(self, text: str) -> int:
         h = np.zeros(1, np.uint64)
         for c in text:
@@ -136,7 +152,7 @@ class Lattices:
             if not len(at):
                 break
             h = pieces.step(h[inside], chars[at + k])
-            row = np.minimum(np.searchsorted(pieces.hashes, h), len(pieces.hashes) - 1)
+            row = pieces.find(h)
             known = pieces.hashes[row] == h
             at, h, row = at[known], h[known], row[known]
             found.append((at, row))
@@ -168,9 +184,22 @@ class Lattices:
             total = onward.sum(1)
             mass[here] = top + np.log(total)
             self.p[here, :reach] = onward / total[:, None]
-        self.sums = np.cumsum(self.p, 1, dtype=np.float32)
-        last = width - 1 - np.argmax(self.p[:, ::-1] > 0, 1)
-        self.sums[np.arange(n), last] = 2.0  # the last piece takes what rounding leaves
+        # most draws take the likeliest piece, which needs one number; the sums are those of the others
+        rows = np.arange(n)
+        self.best = self.p.argmax(1)
+        self.best_p = self.p[rows, self.best]
+        self.best_code = self.code[rows, self.best]
+        others = weight  # in its place
+        others[:] = self.p
+        others[rows, self.best] = 0
+        last = np.where(others.any(1), width - 1 - np.argmax(others[:, ::-1] > 0, 1), self.best)
+        self.sums = np.cumsum(others, 1, out=others)
+        self.sums[rows, last] = 2.0  # the last piece takes what rounding leaves
+
+    def pick(self, at: int, u: float) -> int:
+        """The length, less one, of the piece that ``u`` picks at a character."""
+        p = float(self.best_p[at])
+        return int(self.best[at]) if u < p else bisect_right(self.sums[at].tolist(), u - p)
 
     def draw(self, kinds: np.ndarray, noise: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """A path through each word: pieces of all words in order (code, probability, character), and where words begin in them."""
@@ -179,8 +208,13 @@ class Lattices:
         count = np.zeros(len(kinds), np.int64)
         while len(who):
             u = uniform(noise[who] + np.uint64(len(steps))).astype(np.float32)
-            k = (self.sums[at] < u[:, None]).sum(1)
-            steps.append((who, self.code[at, k], self.p[at, k], at))
+            k, p, code = self.best[at], self.best_p[at], self.best_code[at]
+            other = np.flatnonzero(u >= p)
+            if len(other):
+                spot = at[other]
+                k[other] = i = (self.sums[spot] > (u[other] - p[other])[:, None]).argmax(1)
+                p[other], code[other] = self.p[spot, i], self.code[spot, i]
+            steps.append((who, code, p, at))
             count[who] += 1
             at = at + k + 1
             more = at < end
@@ -213,88 +247,119 @@ class Draw:
 
     def __init__(self, code: np.ndarray, p: np.ndarray, place: np.ndarray, begin: np.ndarray):
         self.code, self.place, self.begin = code, place, begin
-        self.log_p = np.log(p.astype(float))
-        self.sums = np.concatenate([[0.0], np.cumsum(self.log_p)])
+        self.log_p = np.log(p, dtype=float)
+        self.cost = np.concatenate([[0.0], np.cumsum(-self.log_p)])
 
 
 class Path:
     """Some pieces of its own (code, log-probability, character, word), then what a draw has from a word on."""
 
     def __init__(self, head: tuple, draw: Draw, word: int, stop: int):
-        self.head, self.draw, self.stop = head, draw, stop
+        self.head, self.draw, self.word = head, draw, word
         self.a, self.b = int(draw.begin[word]), int(draw.begin[stop])
-        self.size = len(head[0]) + self.b - self.a
-        self.log_p = float(head[1].sum() + draw.sums[self.b] - draw.sums[self.a])
+        self.own = float(head[1].sum()) if len(head[1]) else 0.0
+        self.log_p = self.own + float(draw.cost[self.a] - draw.cost[self.b])
+
+    def size_to(self, log_p: float) -> int:
+        """How many pieces it takes until the probability of the beginning falls below ``log_p``, all of them if it never does."""
+        at = int(np.searchsorted(self.draw.cost[self.a : self.b + 1], self.draw.cost[self.a] + self.own - log_p))
+        return len(self.head[0]) + min(at, self.b - self.a)
 
     def first(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         a, b = self.a, min(self.b, self.a + max(0, n - len(self.head[0])))
-        word = np.searchsorted(self.draw.begin, np.arange(a, b), side="right") - 1
-        parts = zip(self.head, (self.draw.code[a:b], self.draw.log_p[a:b], self.draw.place[a:b], word))
-        return tuple(np.concatenate(x)[:n] for x in parts)
+        begin = self.draw.begin[self.word : self.word + b - a + 1]
+        word = self.word - 1 + np.searchsorted(begin, np.arange(a, b), side="right")
+        tail = (self.draw.code[a:b], self.draw.log_p[a:b], self.draw.place[a:b], word)
+        return tail if not len(self.head[0]) else tuple(np.concatenate(x)[:n] for x in zip(self.head, tail))
 
     def codes(self) -> np.ndarray:
         return np.concatenate([self.head[0], self.draw.code[self.a : self.b]])
 
 
-def distinct_paths(lattices: Lattices, kinds: np.ndarray, draws: list[Draw], words: slice, seed: int, k: int) -> tuple[list[tuple[np.ndarray, float, float]], float]:
-    """The k paths of one text with the largest perturbed values (codes, log-probability, value), and the next value.
+class Noise:
+    """Uniform numbers of one text, from its seed, one after another or as arrays."""
 
-    ``draws`` has an independent path through every word of the slice for each sample, ``words`` says which are the text's."""
-    counter = [seed]
+    def __init__(self, seed: int):
+        self.seed = seed
 
-    def noise(n: int) -> np.ndarray:
-        counter[0] = (counter[0] + 0x632BE59BD9B4E019) & (2**64 - 1)
+    def array(self, n: int) -> np.ndarray:
+        self.seed = (self.seed + 0x632BE59BD9B4E019) & MASK
         with np.errstate(over="ignore"):
-            return uniform(np.uint64(counter[0]) + np.arange(n, dtype=np.uint64) * ODD)
+            return uniform(np.uint64(self.seed) + np.arange(n, dtype=np.uint64) * ODD)
+
+    def one(self) -> float:
+        self.seed = x = (self.seed + 0x632BE59BD9B4E019) & MASK
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & MASK
+        x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & MASK
+        return ((x ^ (x >> 31)) >> 11) * 2.0**-53 + 2.0**-54
+
+
+MASK = 2**64 - 1
+NOTHING = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0, np.int64))
+
+
+def distinct_paths(lattices: Lattices, kinds: np.ndarray, draws: list[Draw], words: slice, seed: int, k: int) -> tuple[list[tuple[np.ndarray, float, float]], float]:
+    """The k paths of one text with the largest perturbed values (codes, log-probability, value), and the next value.
 
-    nothing = (np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64), np.empty(0, np.int64))
-    value = float(-np.log(-np.log(noise(1)[0])))
-    out, bundles = [], []
-    path, fixed = Path(nothing, draws[0], words.start, words.stop), 0
+    ``draws`` has an independent path through every word of the slice for each sample, ``words`` says which are the text's."""
+    noise = Noise(seed)
+    value = -math.log(-math.log(noise.one()))
+    out, bundles, most = [], [], []
+    path, fixed = Path(NOTHING, draws[0], words.start, words.stop), 0
     while True:
         out.append((path.codes(), path.log_p, value))
-        rivals = max((b[0].max(initial=-np.inf) for b in bundles), default=-np.inf)
-        n = fixed + 256
-        while True:  # regions after the n-th piece matter while they can still have the largest value
+        # The best region has no less than a little below its mass or the value it was cut off at, so later ones matter only
+        # as far as noise can lift them.
+        n = fixed + 16
+        code, log_p, place, word = path.first(n)
+        before = np.concatenate([[0.0], np.cumsum(log_p)])
+        mass = before[fixed:-1] + log_rest(log_p[fixed:])
+        least = min(value, max([*most, float(mass.max(initial=-np.inf))])) - REACH - 5.0
+        if (n := path.size_to(least)) > len(code):
             code, log_p, place, word = path.first(n)
             before = np.concatenate([[0.0], np.cumsum(log_p)])
-            with np.errstate(divide="ignore"):
-                mass = before[fixed:-1] + np.log(-np.expm1(np.minimum(log_p[fixed:], 0.0)))
-            reached = max(rivals, mass.max(initial=-np.inf))  # a region's value is no less than a few below its mass
-            if n >= path.size or before[-1] < min(reached, value) - REACH - 5.0:
-                break
-            n *= 2
-        values = below(mass, value, noise(len(mass))) if len(mass) else np.empty(0)
-        values[~np.isfinite(mass)] = -np.inf
-        bundles.append([values, (code, log_p, place, word), fixed, {}, before])
-        best = max(range(len(bundles)), key=lambda i: bundles[i][0].max(initial=-np.inf))
-        value = float(bundles[best][0].max(initial=-np.inf))
-        if len(out) == k or value == -np.inf:
+            mass = before[fixed:-1] + log_rest(log_p[fixed:])
+        values = below(mass, value, noise.array(len(mass)))
+        values[mass == -np.inf] = -np.inf
+        bundles.append((values, (code, log_p, place, word), fixed, {}, before))
+        most.append(float(values.max(initial=-np.inf)))
+        value = max(most)
+        if len(out) == k or value == -math.inf:
             return out, value
+        best = most.index(value)
         values, (code, log_p, place, word), fixed, gone, before = bundles[best]
         t = fixed + int(values.argmax())
-        spot, taken = int(place[t]), gone.setdefault(t, [int(code[t])])
+        spot, own_word = int(place[t]), int(word[t])
+        taken = gone.setdefault(t, {int(code[t])})
         # a piece that was not taken here, the rest of the word, and the words after it
-        p_here, codes = lattices.p[spot].astype(float), lattices.code[spot]
-        free = np.flatnonzero((p_here > 0) & ~np.isin(codes, taken))
-        weights = np.cumsum(p_here[free])
-        pick = int(free[min(int(np.searchsorted(weights, noise(1)[0] * weights[-1])), len(free) - 1)])
-        new = [(int(codes[pick]), float(p_here[pick]), spot)]
-        taken.append(int(codes[pick]))
-        end = int(lattices.start[kinds[word[t]] + 1])
-        at = spot + pick + 1
+        free = [(i, p, c) for i, (p, c) in enumerate(zip(lattices.p[spot].tolist(), lattices.code[spot].tolist())) if p > 0 and c not in taken]
+        left = noise.one() * sum(p for _, p, _ in free)
+        for i, p, c in free:
+            left -= p
+            if left < 0:
+                break
+        new = [(c, p, spot)]
+        taken.add(c)
+        end, at = int(lattices.start[kinds[own_word] + 1]), spot + i + 1
         while at < end:
-            step = int((lattices.sums[at] < noise(1)[0]).sum())
+            step = lattices.pick(at, noise.one())
             new.append((int(lattices.code[at, step]), float(lattices.p[at, step]), at))
             at += step + 1
-        rest = float(p_here[(p_here > 0) & ~np.isin(codes, taken)].sum())
-        values[t - fixed] = below(np.array([before[t] + np.log(rest)]), value, noise(1))[0] if rest > 0 else -np.inf
+        rest = sum(p for _, p, c in free if c not in taken)
+        values[t - fixed] = below(np.array([before[t] + math.log(rest)]), value, np.array([noise.one()]))[0] if rest > 0 else -np.inf
+        most[best] = float(values.max(initial=-np.inf))
         a, b, c = (np.array(x) for x in zip(*new))
-        head = (np.concatenate([code[:t], a]), np.concatenate([log_p[:t], np.log(b)]), np.concatenate([place[:t], c]), np.concatenate([word[:t], np.full(len(new), word[t])]))
-        path = Path(head, draws[len(out)], int(word[t]) + 1, words.stop)
+        head = (np.concatenate([code[:t], a]), np.concatenate([log_p[:t], np.log(b)]), np.concatenate([place[:t], c]), np.concatenate([word[:t], np.full(len(new), own_word)]))
+        path = Path(head, draws[len(out)], own_word + 1, words.stop)
         fixed = t + 1  # what differs from here on is new; before it stand the regions there already
 
 
+def log_rest(log_p: np.ndarray) -> np.ndarray:
+    """Log of one less the probabilities."""
+    with np.errstate(divide="ignore"):
+        return np.log(-np.expm1(np.minimum(log_p, 0.0)))
+
+
 _PIECES: dict[str, Pieces] = {}
 
 
@@ -305,12 +370,20 @@ def pieces_of(path: str) -> Pieces:
     return _PIECES[path]
 
 
+class Numbers(dict):
+    """Words by the order in which they come."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 def sample_slice(pieces: Pieces, keys: list, data: list[str], k: int):
     """For every text: (codes, log-probability, value) of its samples, and the value that was next."""
-    number: dict[str, int] = {}
-    lists = [[number.setdefault(w, len(number)) for w in words_of(x)] for x in data]
+    number = Numbers()
+    lists = [list(map(number.__getitem__, words_of(x))) for x in data]
     lattices = Lattices(pieces, list(number))
-    kinds = np.array([w for x in lists for w in x], np.int64)
+    kinds = np.fromiter(chain.from_iterable(lists), np.int64)
     sizes = np.array([len(x) for x in lists], np.int64)
     begin = np.concatenate([[0], np.cumsum(sizes)])
     seeds = np.array([xxhash.xxh3_64_intdigest(repr(key)) for key in keys], np.uint64)
