@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -55,9 +57,23 @@ def written(df: DataFrame) -> DataFrame:
 
     Cuts the lineage like ``cut_lineage``, and later reads take only the columns they need. A
     lost executor costs its running tasks, never what was written."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    _remove_with_the_run(spark, path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove_with_the_run(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` when the driver's process ends in good order; results that read it are done by then."""
+    def remove() -> None:
+        try:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        except (Py4JError, OSError):  # the gateway may be gone already; the folder of the run then stays
+            pass
+
+    atexit.register(remove)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
