@@ -140,12 +140,13 @@ def suffix_runs(candidates: DataFrame, window: int, anchor: int, members: int, b
             order = np.argsort(bucket, kind="stable")
             out: dict[str, list] = {name.split(" ")[0]: [] for name in RUNS.split(", ")}
             edges = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0, True])
+            found = merged(rid[ranges], start[ranges], counts[ranges])
             for a, b in zip(edges[:-1], edges[1:]):
                 these = order[a:b]
                 rows = keep[these]
-                local = ranges if a == 0 else ranges[:0]
+                local = found if a == 0 else tuple(x[:0] for x in found)
                 values = (int(bucket[these[0]]), keys[rows], rid[rows], start[rows], counts[rows], lead[rows], twice[these],
-                          b"".join(kept_words[i] for i in these), rid[local], start[local], counts[local])
+                          b"".join(kept_words[i] for i in these), *local)
                 for name, value in zip(out, values):
                     out[name].append(value.tobytes() if isinstance(value, np.ndarray) else value)
             yield pa.RecordBatch.from_pydict({n: pa.array(v, pa.int32() if n == "bucket" else pa.binary()) for n, v in out.items()})
@@ -153,6 +154,16 @@ def suffix_runs(candidates: DataFrame, window: int, anchor: int, members: int, b
     return candidates.mapInArrow(cut, RUNS)
 
 
+def merged(rid: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of windows, those of a document that follow one another as one."""
+    if not len(rid):
+        return rid, start, count
+    order = np.lexsort((start, rid))
+    rid, start, count = rid[order], start[order], count[order]
+    first = np.flatnonzero(np.r_[True, (rid[1:] != rid[:-1]) | (start[1:] != start[:-1] + count[:-1])])
+    return rid[first], start[first], np.add.reduceat(count, first).astype(np.int32)
+
+
 def subtree_repeats(words: np.ndarray, at: np.ndarray, prefix: np.ndarray, window: int) -> np.ndarray:
     """Which of the suffixes of ``words`` (rows of 6 bytes) at ``at`` lie below a node of full depth in the tree of their ``prefix``."""
     depth = 6 * window
@@ -226,7 +237,7 @@ def repeats(runs: DataFrame, window: int) -> DataFrame:
             trees()
         whole = np.array(whole, np.int64)
         found.append((rid[whole], start[whole], count[whole]))
-        r, s, c = (np.concatenate(x) for x in zip(*found))
+        r, s, c = merged(*(np.concatenate(x) for x in zip(*found)))
         for at in range(0, len(r), 100_000):
             yield pa.RecordBatch.from_pydict({"rid": pa.array(r[at : at + 100_000]), "start": pa.array(s[at : at + 100_000]), "count": pa.array(c[at : at + 100_000])})
 
