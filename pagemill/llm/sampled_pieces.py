@@ -8,8 +8,8 @@ region it came from. The best region is opened, a path is drawn in it, and the r
 threshold from which the logarithm of a sampled path's inclusion probability follows. Noise comes from hashes of the row's key, the sample and the place, so
 that a row has the same samples wherever and whenever it runs.
 
-Pieces do not cross spaces or line feeds, so the lattice of a text is a chain of the lattices of its words. These are built for
-the distinct words of a slice of rows at once, in arrays. A character without a piece is written in bytes.
+Spaces stand in pieces only as a run at their beginning, and line feeds in none, so the lattice of a text is a chain of the lattices
+of its words, where a word begins with all the spaces before it. These are built for the distinct words of a slice of rows at once, in arrays. A character without a piece is written in bytes.
 
 Weights: pieces of the model are ranked; the r-th weighs 1 / (r + 10), bytes weigh ``BYTES``.
 
@@ -60,7 +60,9 @@ class Pieces:
         for i, piece in enumerate(self.text):
             if model.is_byte(i):
                 self.byte[int(piece[3:5], 16)] = i
-            elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or SPACE in piece[1:]):
+            elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
+                if SPACE in piece.lstrip(SPACE) or "\n" in piece:
+                    raise ValueError(f"piece {piece!r} crosses the ends of words")
                 pieces[piece] = i
         ranked = sorted(pieces, key=lambda p: (-model.get_score(pieces[p]), pieces[p]))
         weight = {p: -np.log(10.0 + r) for r, p in enumerate(ranked)}
@@ -132,8 +134,13 @@ class Pieces:
 
 
 def words_of(text: str) -> list[str]:
-    """A text as words: a space and what follows it, a line feed, what follows a line feed. The text itself begins with a space."""
-    return [w for w in (SPACE + text.replace(" ", f" {SPACE}").replace("\n", " \n ")).split(" ") if w] if text else []
+    """A text as words: a run of spaces and what follows it, a line feed, what follows a line feed. The text itself begins with a space."""
+    if not text:
+        return []
+    marked = SPACE + text.replace(SPACE, " ").replace(" ", f" {SPACE}")
+    if SPACE * 2 in marked.replace(" ", ""):
+        marked = marked.replace(f"{SPACE} {SPACE}", SPACE * 2).replace(f"{SPACE} {SPACE}", SPACE * 2)  # what one pass leaves lies between its pairs
+    return [w for w in marked.replace("\n", " \n ").split(" ") if w]
 
 
 class Lattices:
@@ -194,8 +201,14 @@ class Lattices:
         others[rows, self.best] = 0
         last = np.where(others.any(1), width - 1 - np.argmax(others[:, ::-1] > 0, 1), self.best)
         self.sums = np.cumsum(others, 1, out=others)
+        self.others = self.sums[:, -1].copy()
         self.sums[rows, last] = 2.0  # the last piece takes what rounding leaves
 
+    def log_rest(self, code: np.ndarray, log_p: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Log of the probability of all other pieces where a path takes one; that of the likeliest can be too close to 1 to take it from 1."""
+        with np.errstate(divide="ignore"):
+            return np.where(code == self.best_code[place], np.log(self.others[place], dtype=float), np.log(-np.expm1(np.minimum(log_p, 0.0))))
+
     def pick(self, at: int, u: float) -> int:
         """The length, less one, of the piece that ``u`` picks at a character."""
         p = float(self.best_p[at])
@@ -313,12 +326,12 @@ def distinct_paths(lattices: Lattices, kinds: np.ndarray, draws: list[Draw], wor
         n = fixed + 16
         code, log_p, place, word = path.first(n)
         before = np.concatenate([[0.0], np.cumsum(log_p)])
-        mass = before[fixed:-1] + log_rest(log_p[fixed:])
+        mass = before[fixed:-1] + lattices.log_rest(code[fixed:], log_p[fixed:], place[fixed:])
         least = min(value, max([*most, float(mass.max(initial=-np.inf))])) - REACH - 5.0
         if (n := path.size_to(least)) > len(code):
             code, log_p, place, word = path.first(n)
             before = np.concatenate([[0.0], np.cumsum(log_p)])
-            mass = before[fixed:-1] + log_rest(log_p[fixed:])
+            mass = before[fixed:-1] + lattices.log_rest(code[fixed:], log_p[fixed:], place[fixed:])
         values = below(mass, value, noise.array(len(mass)))
         values[mass == -np.inf] = -np.inf
         bundles.append((values, (code, log_p, place, word), fixed, {}, before))
@@ -354,12 +367,6 @@ def distinct_paths(lattices: Lattices, kinds: np.ndarray, draws: list[Draw], wor
         fixed = t + 1  # what differs from here on is new; before it stand the regions there already
 
 
-def log_rest(log_p: np.ndarray) -> np.ndarray:
-    """Log of one less the probabilities."""
-    with np.errstate(divide="ignore"):
-        return np.log(-np.expm1(np.minimum(log_p, 0.0)))
-
-
 _PIECES: dict[str, Pieces] = {}
 
 

@@ -331,6 +331,30 @@ def test_sampled_pieces_follow_the_weights():
         assert abs(weighed[k] / n - p) < 0.02  # inclusion scores make the sample unbiased
 
 
+@pytest.mark.parametrize("text", ["a   b", "  if\n    x  ", "     ", "e▁▁ f\n\n   g", "ab" + " " * 7 + "c"])
+def test_sampled_pieces_of_runs_of_spaces(text):
+    """All segmentations of the whole text, from the pieces of the model itself."""
+    import sentencepiece
+
+    path = public_tokenizers.path(sampled_pieces.VOCABULARY)
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    normal = [i for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
+    weight = {model.id_to_piece(i): (i, -np.log(10.0 + r)) for r, i in enumerate(sorted(normal, key=lambda i: (-model.get_score(i), i)))}
+    whole = "▁" + text.replace(" ", "▁")
+    ends = [[((), 0.0)]]  # the ways to write each beginning
+    for j in range(1, len(whole) + 1):
+        steps = [(i, *weight[whole[i:j]]) for i in range(j) if whole[i:j] in weight]
+        if whole[j - 1] not in weight:
+            steps.append((j - 1, model.piece_to_id(f"<0x{ord(whole[j - 1]):02X}>"), sampled_pieces.BYTES))
+        ends.append([((*path, code), w + step) for i, code, step in steps for path, w in ends[i]])
+    total = np.logaddexp.reduce([w for _, w in ends[-1]])
+    expected = {path: w - total for path, w in ends[-1]}
+    (paths, _), = sampled_pieces.sample_slice(sampled_pieces.pieces_of(path), [1], [text], len(expected) + 1)
+    got = {tuple(codes.tolist()): log_p for codes, log_p, _ in paths}
+    assert len(paths) == len(got) and got.keys() == expected.keys() and tuple(model.encode(text)) in got
+    assert all(abs(got[k] - w) < 1e-4 for k, w in expected.items())
+
+
 def auc(score, y):
     rank = np.argsort(np.argsort(score)) + 1
     return (rank[y == 1].sum() - (y == 1).sum() * ((y == 1).sum() + 1) / 2) / ((y == 1).sum() * (y == 0).sum())
