@@ -10,6 +10,9 @@ without encoding anything again.
 A vocabulary with word ends spells the last letter of a piece differently. The pass therefore keeps
 two counts: of the prefix that goes on (``open``) and of the prefix as a whole piece (``closed``).
 
+Normalising may join characters, so a prefix of a long word can end in others than the whole word has there. Its counts come from the
+tables up to where nothing joins any more, and from its own last characters after that.
+
 Edge cases: a null text counts as empty and has no tokens; a text without white space is one word,
 whose table is linear in it; strings of special tokens count as one token; repeated rows and ties
 give equal results; an empty table gives an empty result; other columns are not read.
@@ -19,6 +22,9 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+import unicodedata
+from bisect import bisect_left
 
 import public_tokenizers
 import pyarrow as pa
@@ -45,6 +51,20 @@ def byte_letters() -> list[str]:
 LETTERS = byte_letters()
 
 
+def joining() -> set[str]:
+    """Characters that normalising (NFC) may join with what stands before them."""
+    out = {*map(chr, range(0x1161, 0x1176)), *map(chr, range(0x11A8, 0x11C3))}  # Hangul vowels and finals
+    odd = [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.combining(c) or unicodedata.decomposition(c)]
+    first = {c: unicodedata.normalize("NFD", c)[0] for c in odd}
+    for c in odd:
+        parts = unicodedata.decomposition(c).split()
+        if unicodedata.combining(first[c]):
+            out.add(c)
+        elif len(parts) == 2 and not parts[0].startswith("<"):
+            out.add(chr(int(parts[1], 16)))
+    return out | {c for c in odd if first[c] in out}
+
+
 class PrefixCounts:
     """Counts of one vocabulary file of byte-pair encoding with word ends."""
 
@@ -69,6 +89,7 @@ class PrefixCounts:
         self.pairs: dict[tuple[str, str], bool] = {}
         self.words: dict[bytes, int] = {}
         self.known: dict[str, int] = {}
+        self.joining: set[str] | None = None
 
     def merged(self, symbols: list[str]) -> list[str]:
         while len(symbols) > 1:
@@ -101,6 +122,10 @@ class PrefixCounts:
 
     def table(self, piece: str, every: bool = True) -> list[int]:
         """The number of tokens of piece[:j] as a whole piece for j from 0; with ``every`` false only the last is filled."""
+        return self.tables(piece, every)[2]
+
+    def tables(self, piece: str, every: bool = True) -> tuple[list[str], list[int], list[int]]:
+        """The last token and the number of tokens of every piece[:j] that goes on, and ``table``."""
         size, vocabulary = len(piece), self.vocabulary
         last, open_, closed = [""] * (size + 1), [0] * (size + 1), [0] * (size + 1)
         pairs, reached = self.pairs, self.reached
@@ -122,7 +147,20 @@ class PrefixCounts:
                             continue
                     last[j], open_[j] = token, open_[i] + 1
                     break
-        return closed
+        return last, open_, closed
+
+    def ended(self, piece: str, at: int, last: list[str], open_: list[int], more: str) -> int:
+        """The number of tokens of piece[:at] + more as a whole piece, from the ``tables`` of ``piece``."""
+        begin = max(0, at - self.longest)
+        text, last, open_ = piece[begin:at] + more, last[begin : at + 1], open_[begin : at + 1]
+        for j in range(at - begin + 1, len(text) + 1):
+            end = self.end if j == len(text) else ""
+            for i in range(max(0, j - self.longest), j):
+                token = text[i:j] + end
+                if token in self.vocabulary and self.is_token(token) and (not last[i] or self.fits(last[i], token)):
+                    last.append(token), open_.append(open_[i] + 1)
+                    break
+        return open_[-1]
 
     def pieces(self, text: str) -> list[str]:
         plain = PLAIN.fullmatch(text)
@@ -174,26 +212,73 @@ class PrefixCounts:
         return head + [head[-1] + x for x in self.table(plain[2])[1:]]
 
     def long_prefixes(self, word: str) -> list[int]:
-        """The same for a long word: tables of its pieces, one after the other.
-
-        Where normalising changes the length, counts are filled in at every 64th character only and
-        those between are given as over any budget."""
-        plain = self.library.normalizer.normalize_str(word)
-        if len(plain) != len(word) or (self.special and self.special.search(word)):
-            ends = {*range(64, len(word), 64), len(word)}
-            return [0] + [self.count(word[:k]) if k in ends else 1 << 60 for k in range(1, len(word) + 1)]
-        out = [0]
-        for piece, (begin, end) in self.library.pre_tokenizer.pre_tokenize_str(plain):
-            out += [out[-1]] * (begin - len(out) + 1)  # white space beyond ASCII
+        """The same for a long word: strings of special tokens count one, what stands between them by tables."""
+        out, begin, before = [0], 0, 0
+        for match in self.special.finditer(word) if self.special else ():
+            # a special string that is not whole yet is plain text
+            counts = self.plain_prefixes(word[begin : match.end() - 1])
+            out += [before + c for c in counts[1:]]
+            before += counts[match.start() - begin] + 1
+            out.append(before)
+            begin = match.end()
+        return out + [before + c for c in self.plain_prefixes(word[begin:])[1:]]
+
+    def plain_prefixes(self, text: str) -> list[int]:
+        """The exact number of tokens of text[:k] for every k from 0, without special strings.
+
+        Normalising works on parts that begin where nothing joins with the character before. Where a part's beginning is normalised to
+        a beginning of the whole part, the tables of the pieces have its count; where it isn't, the last
+        piece is ended with what it is normalised to."""
+        if self.joining is None:
+            self.joining = joining()
+        normal = self.library.normalizer.normalize_str
+        starts = [k for k, c in enumerate(text) if not k or c not in self.joining] + [len(text)]
+        parts = [normal(text[a:b]) for a, b in zip(starts, starts[1:])]
+        plain = "".join(parts)
+        if re.sub(" +", " ", plain) != normal(text):  # the library knows other characters than this Python
+            return [self.count_plain(text[:k]) for k in range(len(text) + 1)]
+        cut = self.library.pre_tokenizer.pre_tokenize_str
+        found = [(piece, begin, end) for piece, (begin, end) in cut(plain)]
+        begins = [begin for _, begin, _ in found]
+        counts, tables = [0], []  # of plain[:m]
+        for piece, begin, end in found:
+            counts += [counts[-1]] * (begin - len(counts) + 1)  # white space beyond ASCII
+            last, open_, closed = self.tables(piece)
+            places = [0]
+            for c in plain[begin:end]:
+                places.append(places[-1] + len(c.encode()))
+            tables.append((last, open_, places, counts[begin]))
             if piece[0] == "'" and len(piece) > 1:
-                counts = [self.count_plain(plain[begin:k]) for k in range(begin + 1, end + 1)]
+                counts += [counts[begin] + self.count_plain(plain[begin:m]) for m in range(begin + 1, end + 1)]
             else:
-                closed, at, counts = self.table(piece), 0, []
-                for c in plain[begin:end]:
-                    at += len(c.encode())
-                    counts.append(closed[at])
-            out += [out[begin] + c for c in counts]
-        return out + [out[-1]] * (len(word) + 1 - len(out))
+                counts += [counts[begin] + closed[place] for place in places[1:]]
+        counts += [counts[-1]] * (len(plain) + 1 - len(counts))
+
+        def forked(m: int, tail: str) -> int:
+            """Tokens of plain[:m] + tail."""
+            at = bisect_left(begins, m) - 1  # the piece that begins before m
+            if at < 0 or found[at][2] < m:
+                return counts[m] + self.count_plain(tail)  # nothing or white space before the tail
+            piece, begin, _ = found[at]
+            if "'" in plain[max(0, m - 2) : m]:  # an apostrophe may take the tail's letters
+                while at and found[at - 1][2] == begin and "'" in plain[max(begin - 2, 0) : begin]:
+                    at, begin = at - 1, begins[at - 1]
+                return counts[begin] + self.count_plain(plain[begin:m] + tail)
+            last, open_, places, before = tables[at]
+            (_, (_, end)), *rest = cut(plain[m - 1 : m] + tail)
+            more = "".join(LETTERS[b] for b in tail[: end - 1].encode())
+            place = places[m - begin]
+            ends = self.ended(piece, place, last, open_, more) if more else counts[m] - before
+            return before + ends + sum(self.piece(p) for p, _ in rest)
+
+        out, m = [0], 0
+        for a, b, part in zip(starts, starts[1:], parts):
+            for k in range(a + 1, b):
+                tail = normal(text[a:k])
+                out.append(counts[m + len(tail)] if part.startswith(tail) else forked(m, tail))
+            m += len(part)
+            out.append(counts[m])
+        return out
 
     def within(self, text: str, budget: int) -> int:
         """How many leading characters of a text take ``budget`` tokens at most; white space is free."""

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import string
+import unicodedata
 import zlib
 
 import numpy as np
@@ -142,6 +143,25 @@ def test_prefix_tables_of_odd_words():
         assert own.prefixes(w) == [count(w[:k]) for k in range(len(w) + 1)], w
 
 
+def test_prefix_tables_of_long_words_that_normalising_changes():
+    own = prefix_counts.counter(public_tokenizers.path(prefix_counts.VOCABULARY))
+    count = lambda t: len(own.library.encode(t, add_special_tokens=False).ids)
+    rng = random.Random(3)
+    han = "".join(chr(rng.randint(0x4E00, 0x9FA5)) for _ in range(300))
+    jamo = unicodedata.normalize("NFD", "".join(chr(rng.randint(0xAC00, 0xD7A3)) for _ in range(120)))
+    long_ = [
+        han[:150] + "\u3000\u3000" + han[150:], jamo, unicodedata.normalize("NFD", "éàüñçőǖệ" * 40), "İxẞ" * 100, "x" * 150 + "<|endoftext|>" + han + "!<|startoftext|><|endoftext|>b<|endof",
+        "é" * 100 + "İ" + "z" * 100, "'" + "l\u0301" * 150 + "'l\u0301'll" * 20, "\u3000" * 250 + "a", "\u0301" * 210 + "b\u0301\u0323" * 20, "a" + "\u0323\u0301" * 110, "\u0958\u0344\u2126\u212b" * 60, "=\u0338<\u0338'\u0338" * 70,
+    ]
+    long_ += ["".join(rng.choice("abcé'sltdm.,!#日\u0301\u0338\u1100\u1161\u11a8İ\u3000\u09c7\u09be<|>=12Ⅷ\x1c") for _ in range(220)) for _ in range(20)]
+    long_ += ["".join(rng.choice(["'l", "l", "'", "\u0301", "\u0338", "e", "<|endoftext|>", "<|endof", "<", "漢", "\u2003"]) for _ in range(220)) for _ in range(20)]
+    for w in long_:
+        got, want = own.prefixes(w), [count(w[:k]) for k in range(len(w) + 1)]
+        assert got == want, (w, next((k, a, b) for k, (a, b) in enumerate(zip(got, want)) if a != b))
+    word = long_[0]
+    assert own.within(word, count(word[:217])) == max(k for k in range(len(word) + 1) if count(word[:k]) <= count(word[:217]))
+
+
 def test_byte_pairs_and_packing(docs, rows, none):
     library, own = Tokenizer.from_file(public_tokenizers.path(best_fit.VOCABULARY)), byte_pairs.byte_pairs(public_tokenizers.path(best_fit.VOCABULARY))
     rng = random.Random(2)
