@@ -1,7 +1,7 @@
 """Documents to packed training sequences, stage by stage.
 
 Each stage works on all rows that the one before it kept and returns the columns of ``documents``; the last returns
-pieces with their places in sequences. Rows are told apart by their place in the table a stage reads, so ids may repeat or be null.
+pieces with their places in sequences. Rows are told apart by numbers that a stage writes with them, so ids may repeat or be null.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.llm import best_fit, block_naming, count_tree, rule_ensemble, suffix_trees
-from pagemill.session import table, written
+from pagemill.session import numbered_rows, table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -21,22 +21,20 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return rule_ensemble.accepted(docs, rule_ensemble.fit(docs, table(spark, folder, "labels")))
 
 
-def placed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("rid"), *COLUMNS)
-
-
 def exact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of equal texts the document with the largest id."""
-    kept = block_naming.exact_groups(docs).filter("kept").select("rid")
-    return placed(docs).join(kept, "rid").select(*COLUMNS)
+    docs = numbered_rows(docs, *COLUMNS)
+    kept = block_naming.exact_groups(docs, rid_column="rid").filter("kept").select("rid")
+    return docs.join(kept, "rid").select(*COLUMNS)
 
 
 def near(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of each component of near-duplicates the document with the smallest id."""
-    groups = count_tree.near_groups(docs)
+    docs = numbered_rows(docs, *COLUMNS)
+    groups = count_tree.near_groups(docs, rid_column="rid")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "rid"))
     kept = groups.groupBy("root").agg(first.alias("first")).select(F.col("first.rid").alias("rid"))
-    return placed(docs).join(kept, "rid").select(*COLUMNS)
+    return docs.join(kept, "rid").select(*COLUMNS)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -85,9 +85,12 @@ def both_hashes(block: Column) -> Column:
     return F.struct(F.xxhash64(block).alias("wide"), F.hash(block).alias("narrow"))
 
 
-def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = BLOCK, key=both_hashes) -> DataFrame:
-    """One row per row of ``docs``: rid (its place), doc_id, keep_id, group_size, kept, text_sha256."""
-    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")).withColumn("rid", F.monotonically_increasing_id())
+def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = BLOCK, key=both_hashes, rid_column: str | None = None) -> DataFrame:
+    """One row per row of ``docs``: rid (its number), doc_id, keep_id, group_size, kept, text_sha256.
+
+    ``rid_column``: numbers that ``docs`` has already, from ``numbered_rows``."""
+    rid = F.col(rid_column) if rid_column else F.monotonically_increasing_id()
+    rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), rid.alias("rid"))
     for by_block in (False, True):
         rows = written(rows) if by_block else rows  # the ids of the rows must hold between the reads
         data = rows.select("rid", "doc_id", normal(F.col("text")).cast("binary").alias("data"))

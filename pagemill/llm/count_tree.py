@@ -19,7 +19,7 @@ Equal sets are one document until the end. Hashes have 64 bits (128 where sets a
 
 Edge cases: a null or blank text has an empty set and is linked with nothing; of fewer than five words the sequence is the one shingle;
 ties need no order, repeated rows are equal sets; a null id counts for no component unless all are null; an empty table gives an empty
-result; other columns are not read. Documents are read twice, so their rows must come from a table, in a stable order.
+result; other columns are not read. Documents are read once and written with a number for each row, which all later reads share.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pagemill.llm.arrow import WordHashes, mixed, window_hashes
 from pagemill.llm.graph import components
 from pagemill.llm.registry import query
 from pagemill.llm.suffix_trees import text_slices
-from pagemill.session import table, written
+from pagemill.session import numbered_rows, table, written
 
 SHINGLE = 5
 #: Jaccard similarity in percent.
@@ -438,11 +438,14 @@ def large_links(rows: DataFrame, members: DataFrame, kept: DataFrame, load: int,
     return links.unionByName(tree_links(placed.join(sets.select("rid", "shingles"), "rid"), percent))
 
 
-def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT, load: int = LOAD) -> DataFrame:
-    """One row per row of ``docs``: rid (its place), root (the place of its component's first), doc_id, n_shingles, component_id."""
+def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT, load: int = LOAD, rid_column: str | None = None) -> DataFrame:
+    """One row per row of ``docs``: rid (its number), root (the number of its component's first), doc_id, n_shingles, component_id.
+
+    ``rid_column``: numbers that ``docs`` has already, from ``numbered_rows``."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     buckets = 4 * parts
-    rows = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    columns = F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text")
+    rows = docs.select(F.col(rid_column).alias("rid"), *columns) if rid_column else numbered_rows(docs, *columns)
     shared = written(shared_shingles(first_shingles(rows, buckets, percent).repartition(parts, "bucket"), buckets))
     sizes = written(documents_of(shared))
     # equal sets are one document, the first of them

@@ -8,7 +8,8 @@ import tempfile
 import uuid
 
 from py4j.protocol import Py4JError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(name: str = "pagemill", cpus: str = "8", **extra: str) -> SparkSession:
@@ -52,7 +53,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, **options: str) -> DataFrame:
     """``df`` as a Parquet table below the shared folder, read back.
 
     Cuts the lineage like ``cut_lineage``, and later reads take only the columns they need. A
@@ -60,10 +61,17 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     _remove_with_the_run(spark, path)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered_rows(docs: DataFrame, *columns: Column | str) -> DataFrame:
+    """``columns`` of ``docs`` after a number ``rid`` for each row, written once.
+
+    How files are cut follows the cores alive when a read is planned, so numbers made in every read could name other rows in each."""
+    return written(docs.select(F.monotonically_increasing_id().alias("rid"), *columns), compression="zstd")
+
+
 def _remove_with_the_run(spark: SparkSession, path: str) -> None:
     """Delete ``path`` when the driver's process ends in good order; results that read it are done by then."""
     def remove() -> None:

@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from pagemill import session
 from pagemill.llm import best_fit, block_naming, byte_pairs, count_tree, graph, line_cleaning, prefix_counts, rule_ensemble, sampled_pieces, suffix_trees, text_convolution, warc_index
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, rid long, words string, label int"
@@ -375,6 +376,33 @@ def test_sampled_pieces_of_runs_of_spaces(text):
     assert all(abs(got[k] - w) < 1e-4 for k, w in expected.items())
 
 
+def test_rows_keep_their_numbers_when_files_are_cut_anew(spark, docs, monkeypatch):
+    columns = docs.select(*corpus_pipeline.COLUMNS)
+    runs = {
+        "repeats": lambda: suffix_trees.without_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256"),
+        "groups": lambda: count_tree.near_groups(docs).select("doc_id", "n_shingles", "component_id"),
+        "exact": lambda: corpus_pipeline.exact(spark, columns, ""), "near": lambda: corpus_pipeline.near(spark, columns, ""), "substrings": lambda: corpus_pipeline.substrings(spark, columns, ""),
+    }
+    expected = {name: bag(run().collect()) for name, run in runs.items()}
+    parts = set()
+
+    def moved(df, written=session.written, **options):
+        out = written(df, **options)
+        spark.conf.set("spark.sql.files.minPartitionNum", {"1": "12", "12": "1"}[spark.conf.get("spark.sql.files.minPartitionNum")])
+        parts.add(docs.select("text").rdd.getNumPartitions())
+        return out
+
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        for module in (suffix_trees, count_tree, block_naming, session):
+            monkeypatch.setattr(module, "written", moved)
+        for name, run in runs.items():
+            assert bag(run().collect()) == expected[name], name
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert len(parts) > 1
+
+
 def auc(score, y):
     rank = np.argsort(np.argsort(score)) + 1
     return (rank[y == 1].sum() - (y == 1).sum() * ((y == 1).sum() + 1) / 2) / ((y == 1).sum() * (y == 0).sum())
