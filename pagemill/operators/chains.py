@@ -81,11 +81,17 @@ def group_index(records: DataFrame, index: DataFrame, *described_by: str) -> Dat
 def reached(roots: DataFrame, step: DataFrame) -> DataFrame:
     """root, at, depth: every page that a root leads to, at its least depth. A page met before is not followed again, so walks end.
 
-    ``roots``: title. ``step``: at, target of the dependencies to follow. Each round adds the pairs of one more step."""
-    pairs = cut_lineage(roots.select(F.col("title").alias("root"), F.col("title").alias("at"), F.lit(0).alias("depth")).distinct())
+    ``roots``: title, the name of the root where it is another (``root``) and a page it never enters (``home``). ``step``: at, target of
+    the dependencies to follow. Each round adds the pairs of one more step."""
+    root, home = F.col("root" if "root" in roots.columns else "title"), F.col("home") if "home" in roots.columns else F.lit(None).cast("string")
+    begun = roots.select(root.alias("root"), F.col("title").alias("at"), F.lit(0).alias("depth"), home.alias("home")).distinct()
+    homes = cut_lineage(begun.filter("home is not null").select("root", "home").distinct()) if "home" in roots.columns else None
+    pairs = cut_lineage(begun.filter(~F.col("at").eqNullSafe(F.col("home"))).drop("home"))
     newest, depth, found = pairs, 1, [pairs]
     while True:
         fresh = newest.join(step, "at").select("root", F.col("target").alias("at")).distinct()
+        if homes is not None:
+            fresh = fresh.join(homes.withColumnRenamed("home", "at"), ["root", "at"], "left_anti")
         newest = cut_lineage(fresh.join(pairs.select("root", "at"), ["root", "at"], "left_anti").withColumn("depth", F.lit(depth)))
         if newest.isEmpty():
             return pairs

@@ -300,3 +300,11 @@ def test_replay_reports_planted_faults(pages):
     planted = planted.withColumn("text", F.when(F.col("text") == "再见", "改").otherwise(F.col("text"))).withColumn(
         "group_at", F.when(F.col("speaker") == "乙", F.col("end")).otherwise(F.col("group_at")))
     assert sorted(r.fault for r in story.replay_failures(planted, p).collect()) == ["branch", "speaker", "text"]
+
+
+def test_units_of_bodies_called_by_bodies(pages):
+    found = pages(
+        "== 剧情 ==\n=== S ===\n{{选项|选项1=opt|剧情1={{:Body}}}}\n", "甲：one\n{{:Deep}}\n<noinclude>{{:Other}}</noinclude>", "乙：two\n{{:Body}}\n{{:Gone}}\n{{:U}}", "丙：three",
+        titles=["U", "Body", "Deep", "Other"])
+    got = [(r.target, r.scene, r.branch, r.speaker, r.text) for r in story.transcluded_units(found).collect() if r.consumer == "U"]
+    assert sorted(got) == [("Body", "S", ["opt"], "甲", "one"), ("Deep", "S", ["opt"], "乙", "two")]
