@@ -23,6 +23,7 @@ def local_session(name: str = "pagemill", cpus: str = "8", **extra: str) -> Spar
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # call sites of every column cost more than building the plans
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("PAGEMILL_DRIVER_MEMORY", "12g"))
     )
@@ -53,14 +54,43 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Tables:
+    """The tables written while it is open, which ``drop`` deletes once nobody reads them any more."""
+
+    _open: list["Tables"] = []
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> "Tables":
+        Tables._open.append(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        Tables._open.remove(self)
+
+    def drop(self) -> None:
+        for path in self.paths:
+            _remove(self.spark, path)
+        self.paths = []
+
+
+def table_path(spark: SparkSession) -> str:
+    """Where to write a new table below the shared folder; it goes with the run, or with the ``Tables`` that are open."""
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    for tables in Tables._open:
+        tables.paths.append(path)
+    return path
+
+
 def written(df: DataFrame, **options: str) -> DataFrame:
     """``df`` as a Parquet table below the shared folder, read back.
 
     Cuts the lineage like ``cut_lineage``, and later reads take only the columns they need. A
     lost executor costs its running tasks, never what was written."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    _remove_with_the_run(spark, path)
+    path = table_path(spark)
     df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -72,16 +102,13 @@ def numbered_rows(docs: DataFrame, *columns: Column | str) -> DataFrame:
     return written(docs.select(F.monotonically_increasing_id().alias("rid"), *columns), compression="zstd")
 
 
-def _remove_with_the_run(spark: SparkSession, path: str) -> None:
-    """Delete ``path`` when the driver's process ends in good order; results that read it are done by then."""
-    def remove() -> None:
-        try:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-        except (Py4JError, OSError):  # the gateway may be gone already; the folder of the run then stays
-            pass
-
-    atexit.register(remove)
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` if it is there: when the driver's process ends in good order, or earlier."""
+    try:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    except (Py4JError, OSError):  # the gateway may be gone already; the folder of the run then stays
+        pass
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
