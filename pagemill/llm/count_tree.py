@@ -34,7 +34,8 @@ from pagemill.llm.arrow import WordHashes, mixed, window_hashes
 from pagemill.llm.graph import components
 from pagemill.llm.registry import query
 from pagemill.llm.suffix_trees import text_slices
-from pagemill.session import numbered_rows, table, written
+from pagemill.llm.rows import numbered_rows
+from pagemill.session import table, written
 
 SHINGLE = 5
 #: Jaccard similarity in percent.

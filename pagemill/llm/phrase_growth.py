@@ -57,10 +57,10 @@ class Numbers(dict):
         self.words.append(word)
         return number
 
-    def of(self, text: bytes) -> Iterator[np.ndarray]:
+    def of(self, text: bytes, size: int) -> Iterator[np.ndarray]:
         data, at = text.translate(PLAIN), 0
         while at < len(data):
-            edge = EDGE.search(data, at + BYTES)
+            edge = EDGE.search(data, at + size)
             end = edge.start() if edge else len(data)
             parts = data[at:end].replace(b"\n", b" \n ").split(b" ")
             numbers = np.fromiter(map(self.__getitem__, parts), np.int64, len(parts))
@@ -68,17 +68,17 @@ class Numbers(dict):
             at = end
 
 
-def counted_words(batches: Iterator[pa.RecordBatch], count) -> Iterator[pa.RecordBatch]:
-    """What ``count`` makes of each language's words, some million at a time."""
+def counted_words(batches: Iterator[pa.RecordBatch], count, most: int, split: int) -> Iterator[pa.RecordBatch]:
+    """What ``count`` makes of each language's words, ``most`` at a time."""
     numbers, read, size = Numbers(), {}, 0
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
-            for part in numbers.of(text):
+            for part in numbers.of(text, split):
                 read.setdefault(lang, []).append(part)
                 size += len(part) + 1
             if text:
                 read[lang].append(np.zeros(1, np.int64))
-            if size >= WORDS:
+            if size >= most:
                 for lang, parts in read.items():
                     yield from count(lang, np.concatenate(parts), numbers.words)
                 numbers, read, size = Numbers(), {}, 0
@@ -111,13 +111,13 @@ def words_and_pairs(lang: str, read: np.ndarray, words: list[bytes]) -> Iterator
     yield from rows_of(lang, words, [pairs >> 32, pairs & 0xFFFFFFFF], n)
 
 
-def places(lang: str, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """The bits of prefixes, from the hashes of their two words."""
+def places(lang: str, first: np.ndarray, second: np.ndarray, bits: int) -> np.ndarray:
+    """The places of prefixes among 2 ** ``bits``, from the hashes of their two words."""
     with np.errstate(over="ignore"):
-        return mixed(first * ODD + second + np.uint64(xxhash.xxh3_64_intdigest(lang.encode()))) >> np.uint64(64 - BITS)
+        return mixed(first * ODD + second + np.uint64(xxhash.xxh3_64_intdigest(lang.encode()))) >> np.uint64(64 - bits)
 
 
-def bits_of(prefixes: DataFrame) -> np.ndarray:
+def bits_of(prefixes: DataFrame, bits: int) -> np.ndarray:
     """One bit for each of ``prefixes`` (lang, phrase); the table's size is fixed, whatever their number."""
     hashed = xxhash.xxh3_64_intdigest
 
@@ -125,23 +125,24 @@ def bits_of(prefixes: DataFrame) -> np.ndarray:
         for batch in batches:
             pairs = [x.encode().split(b" ") for x in batch.column(1).to_pylist()]
             first, second = (np.array([hashed(p[i]) for p in pairs], np.uint64) for i in (0, 1))
-            at = np.array([int(places(lang, first[i : i + 1], second[i : i + 1])[0]) for i, lang in enumerate(batch.column(0).to_pylist())], np.int64)
+            at = np.array([int(places(lang, first[i : i + 1], second[i : i + 1], bits)[0]) for i, lang in enumerate(batch.column(0).to_pylist())], np.int64)
             yield pa.RecordBatch.from_pydict({"at": pa.array(at >> 6), "bits": pa.array(np.left_shift(np.int64(1), at & 63))})
 
     found = prefixes.select("lang", "phrase").mapInArrow(find, "at long, bits long").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(1 << (BITS - 6), np.int64)
+    out = np.zeros(1 << (bits - 6), np.int64)
     out[found["at"].to_numpy()] = found["bits"].to_numpy()
     return out
 
 
 def triples(bits: np.ndarray):
     """Counts the three-word phrases whose first two words have their bit in ``bits``."""
+    size = len(bits).bit_length() + 5
 
     def count(lang: str, read: np.ndarray, words: list[bytes]) -> Iterator[pa.RecordBatch]:
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         first = np.flatnonzero((read[:-2] > 0) & (read[1:-1] > 0) & (read[2:] > 0))
         pairs, pair = np.unique(read[first] << 32 | read[first + 1], return_inverse=True)
-        at = places(lang, hashes[pairs >> 32], hashes[pairs & 0xFFFFFFFF]).astype(np.int64)
+        at = places(lang, hashes[pairs >> 32], hashes[pairs & 0xFFFFFFFF], size).astype(np.int64)
         wanted = (bits[at >> 6] >> (at & 63) & 1).astype(bool)[pair]
         grams, n = np.unique(pair[wanted] << 32 | read[first[wanted] + 2], return_counts=True)
         pairs = pairs[grams >> 32]
@@ -150,9 +151,9 @@ def triples(bits: np.ndarray):
     return count
 
 
-def phrase_counts(docs: DataFrame, count) -> DataFrame:
+def phrase_counts(docs: DataFrame, count, most: int, split: int) -> DataFrame:
     """words, lang, phrase, a: sums of what ``count`` finds in ``docs`` (lang, text)."""
-    return docs.mapInArrow(lambda batches: counted_words(batches, count), COUNTS).groupBy("words", "lang", "phrase").agg(F.sum("n").alias("a"))
+    return docs.mapInArrow(lambda batches: counted_words(batches, count, most, split), COUNTS).groupBy("words", "lang", "phrase").agg(F.sum("n").alias("a"))
 
 
 def score(a: str, left: str, right: str) -> Column:
@@ -199,16 +200,20 @@ def deciding(pairs: DataFrame, opening: DataFrame, swallowed: int) -> DataFrame:
     return hopeful.unionByName(listed.select("lang", "phrase")).unionByName(ahead.select("lang", "phrase")).distinct()
 
 
-def phrases(docs: DataFrame, lang_column: str = "lang", text_column: str = "text", least: int = LEAST, top: int = TOP, swallowed: int = SWALLOWED) -> DataFrame:
-    """lang, rank, phrase, a, l, r, n, score: the first ``top`` phrases of every language."""
+def phrases(
+    docs: DataFrame, lang_column: str = "lang", text_column: str = "text", least: int = LEAST, top: int = TOP, swallowed: int = SWALLOWED, first: int = FIRST, words: int = WORDS, split: int = BYTES, bits: int = BITS,
+) -> DataFrame:
+    """lang, rank, phrase, a, l, r, n, score: the first ``top`` phrases of every language.
+
+    ``first``: candidates of the first opening, in units of ``top``. ``words``, ``split``, ``bits``: words counted at once, bytes split at once, size of the table of prefixes."""
     rows = docs.select(F.coalesce(F.col(lang_column), F.lit("und")).alias("lang"), F.col(text_column).alias("text"))
-    found = written(phrase_counts(rows, words_and_pairs).filter(f"words = 0 or a >= {least}"))
+    found = written(phrase_counts(rows, words_and_pairs, words, split).filter(f"words = 0 or a >= {least}"))
     counts = {k: found.filter(F.col("words") == k).select("lang", "phrase", "a") for k in (1, 2)}
     total = found.filter("words = 0").select("lang", F.col("a").alias("n"))
     bound = F.expr("(cast(1000000 as decimal(7, 0)) * cast(a as decimal(16, 0))) div cast(l as decimal(16, 0))")
     pairs = written(with_parts(counts[2], 2, counts).withColumn("bound", bound))
 
-    triple_table, expanded, settled, waiting, number = None, None, [], total.select("lang"), FIRST * top
+    triple_table, expanded, settled, waiting, number = None, None, [], total.select("lang"), first * top
     while True:
         candidates = pairs.select("lang", "phrase", "a", "l", "r", "score")
         if triple_table is not None:
@@ -221,8 +226,8 @@ def phrases(docs: DataFrame, lang_column: str = "lang", text_column: str = "text
             frontier = frontier.join(expanded, ["lang", "phrase"], "left_anti")
         frontier = written(frontier)
         expanded = frontier if expanded is None else expanded.unionByName(frontier)
-        bits = docs.sparkSession.sparkContext.broadcast(bits_of(frontier))
-        grown = phrase_counts(rows.join(opening.select("lang"), "lang", "left_semi"), lambda *read, bits=bits: triples(bits.value)(*read)).filter(F.col("a") >= least)
+        shared = docs.sparkSession.sparkContext.broadcast(bits_of(frontier, bits))
+        grown = phrase_counts(rows.join(opening.select("lang"), "lang", "left_semi"), lambda *read, shared=shared: triples(shared.value)(*read), words, split).filter(F.col("a") >= least)
         grown = grown.withColumn("prefix", start("phrase", 2)).join(frontier.select("lang", F.col("phrase").alias("prefix")), ["lang", "prefix"], "left_semi")
         more = written(with_parts(grown.select("lang", "phrase", "a"), 3, counts))
         triple_table = more if triple_table is None else triple_table.unionByName(more)

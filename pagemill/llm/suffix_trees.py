@@ -13,7 +13,7 @@ a slice of documents are one run with a mark, so a passage that stands in very m
 
 Edge cases: a null or blank text has no words; texts of fewer words than a window have no repeats; a document's own
 windows count too; very long texts are taken whole, their arrays are linear in them; rows with one id are told apart;
-an empty table gives an empty result; other columns are not read. Documents are read once and written with a number for each row, which all later reads share.
+an empty table gives an empty result; other columns are not read. Documents are read once and written with a number for each row, in buckets by that number, which all later reads share.
 """
 
 from __future__ import annotations
@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 
 from pagemill.llm.arrow import WordHashes, texts, window_hashes
 from pagemill.llm.registry import query
-from pagemill.session import numbered_rows, table, written
+from pagemill.llm.rows import numbered_buckets
+from pagemill.session import Tables, table, written
 
 #: Words of a repeat at least; words of an anchor; suffixes of one prefix at most.
 WINDOW, ANCHOR, MEMBERS = 35, 8, 10_000
@@ -250,11 +251,13 @@ def without_repeats(
     maximal repeat) and the columns named in ``keep``."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = numbered_rows(docs, F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), *[F.col(c).alias(f"own_{c}") for c in keep])
-    found = written(anchors(rows, window, anchor))
-    counted = written(found.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    rows = numbered_buckets(docs, F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"), *[F.col(c).alias(f"own_{c}") for c in keep])
+    with Tables(spark) as counting:
+        found = written(anchors(rows, window, anchor))
+        counted = written(found.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     placed = found.select("rid", F.explode(F.arrays_zip("hashes", "places")).alias("a")).select("rid", F.col("a.hashes").alias("hash"), F.col("a.places").alias("place"))
-    wanted = placed.join(counted, "hash").groupBy("rid").agg(F.collect_list(F.struct("place", "n")).alias("wanted"))
+    wanted = written(placed.join(counted, "hash").groupBy("rid").agg(F.collect_list(F.struct("place", "n")).alias("wanted")))
+    counting.drop()
     candidates = rows.join(wanted, "rid")
     runs = suffix_runs(candidates.select("rid", "doc_id", "text", "wanted"), window, anchor, members, 4 * parts).repartition(parts, "bucket")
     ranges = repeats(runs, window).groupBy("rid").agg(F.collect_list(F.struct("start", "count")).alias("ranges"))
