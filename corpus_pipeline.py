@@ -6,21 +6,43 @@ pieces with their places in sequences. Rows are told apart by numbers that a sta
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.llm import best_fit, block_naming, count_tree, rule_ensemble, suffix_trees
-from pagemill.session import numbered_rows, table, written
+from pagemill.llm.rows import numbered_rows
+from pagemill.session import Tables, table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
+#: What the stage before wrote for itself. Its rows are written when the next one begins, and nobody reads these tables any more.
+_INNER: list[Tables] = []
+
+
+def of_stage(function):
+    """``function`` with its inner tables kept until the next stage begins."""
+
+    @functools.wraps(function)
+    def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+        while _INNER:
+            _INNER.pop().drop()
+        with Tables(spark) as inner:
+            _INNER.append(inner)
+            return function(spark, docs, folder)
+
+    return stage
+
 
+@of_stage
 def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the classifier, learned from the labels outside the held-out fold, doesn't reject."""
     docs = docs.select(*COLUMNS)
     return rule_ensemble.accepted(docs, rule_ensemble.fit(docs, table(spark, folder, "labels")))
 
 
+@of_stage
 def exact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of equal texts the document with the largest id."""
     docs = numbered_rows(docs, *COLUMNS)
@@ -28,6 +50,7 @@ def exact(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return docs.join(kept, "rid").select(*COLUMNS)
 
 
+@of_stage
 def near(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Of each component of near-duplicates the document with the smallest id."""
     docs = numbered_rows(docs, *COLUMNS)
@@ -37,12 +60,14 @@ def near(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return docs.join(kept, "rid").select(*COLUMNS)
 
 
+@of_stage
 def substrings(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents without the words of passages that stand elsewhere too; ``n_chars`` counts what is left."""
     left = suffix_trees.without_repeats(docs, keep=("lang", "source"))
     return left.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", F.char_length("kept_text").cast("long").alias("n_chars"))
 
 
+@of_stage
 def packing(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents in sequences of 2048 ids."""
     return best_fit.packed(written(best_fit.token_pieces(docs)))
