@@ -299,9 +299,10 @@ def found_by(spark: SparkSession, asked: DataFrame, entries: DataFrame, blocks:
     reads = sent(asked, shared, ratio).drop("block").join(blocks, ["band", "list"])
     reads = reads.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*entries.columns)
     each = best_of_blocks(entries.unionByName(reads), width, most)
-    # a query reads at most all blocks, and each leaves it ``most`` entries; copies of a point score the same wherever they lie
-    gathered = each.groupBy("query").agg(F.flatten(F.collect_list("found")).alias("found"))
-    return written(gathered.select("query", F.slice(F.sort_array(F.array_distinct("found")), 1, most).alias("found")))
+    # a query reads at most all blocks, and each leaves it ``most`` entries; copies of a point score the same wherever they lie, so they follow one another
+    gathered = each.groupBy("query").agg(F.sort_array(F.flatten(F.collect_list("found"))).alias("found"))
+    single = F.filter("found", lambda x, i: (i == 0) | (x != F.get("found", i - 1)))
+    return written(gathered.select("query", F.slice(single, 1, most).alias("found")))
 
 
 def nearest(
