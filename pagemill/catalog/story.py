@@ -110,7 +110,7 @@ def issue_ledger(spark, folder):
                    "== 剧情 ==\n甲：{{odd|<name>}} more\ntold <seg>\n乙：said {{黑幕|n<nation>}}\n丙：plain", name="c_name", seg="c_mktsegment", nation="c_nationkey")
     found = Y.read_lines(pages)
     listed = recovery.issues(found, recovery.route(pages.withColumn("missing", F.lit(False))))
-    states = recovery.regions(found).filter("disposition <> 'metadata'")
+    states = recovery.unit_regions(found)
     return listed.join(states, ["page_key", "start", "end"]).select(F.col("page_key").alias("page_id"), "rule", "raw", "disposition")
 
 
@@ -217,6 +217,62 @@ def transcluded_units(spark, folder):
     return found.select(F.expr("substring(consumer, 2)").cast("bigint").alias("page_id"), "speaker", "text", "scene", F.array_join("branch", "/").alias("branch"))
 
 
+CALLS_SQL = """
+with c as (
+  select c_custkey, u.* from customer,
+  lateral (values ('{{旁白' || c_nationkey || '}}', '一', '', '模板:旁白' || c_nationkey), ('{{旁白' || c_nationkey || '}}', '二', '甲' || c_mktsegment, '模板:旁白' || c_nationkey),
+                  ('{{:Body ' || c_nationkey || '}}', '二', '乙', 'Body ' || c_nationkey)) u(name, scene, branch, target))
+"""
+
+
+def call_pages(spark, folder):
+    """Customers that call the template and the body of their nation by name, twice and once; every second nation has a template."""
+    callers = render(table(spark, folder, "customer"), "concat('c', c_custkey)", "concat('C', c_custkey)",
+                     "== 剧情 ==\n=== 一 ===\n{{旁白<nation>}}\n{{旁白<nation>|x}}\n=== 二 ===\n{{选项|选项1=甲<seg>|剧情1={{旁白<nation>}}|选项2=乙|剧情2={{:Body <nation>}}}}\n", nation="c_nationkey", seg="c_mktsegment")
+    templates = render(table(spark, folder, "nation").filter("n_nationkey % 2 = 0"), "concat('t', n_nationkey)", "concat('模板:旁白', n_nationkey)",
+                       "<noinclude>{{任务|任务剧情=*派蒙：doc}}</noinclude><onlyinclude>told <key>\n{{任务|任务剧情=*派蒙：said <name>}}</onlyinclude>", key="n_nationkey", name="n_name")
+    bodies = render(table(spark, folder, "nation"), "concat('b', n_nationkey)", "concat('Body ', n_nationkey)", "甲：body <key>\n{{旁白<key>}}", key="n_nationkey")
+    return callers.unionByName(templates).unionByName(bodies)
+
+
+@query(CALLS_SQL + """
+, f as (select c_custkey as page_id, scene, branch, target from c where target like 'Body%' or cast(substr(target, 6) as int) % 2 = 0),
+deep as (select page_id, scene, branch, '模板:旁白' || substr(target, 6) from f where target like 'Body%' and cast(substr(target, 6) as int) % 2 = 0)
+select * from f union all select * from deep
+""")
+def call_consumers(spark, folder):
+    """Who consumes which body, calls by bare names and bodies called in bodies included, with scene and branch."""
+    _, links = Y.transcluded(call_pages(spark, folder))
+    return links.filter("consumer like 'C%'").select(F.expr("substring(consumer, 2)").cast("bigint").alias("page_id"), "scene", F.array_join("branch", "/").alias("branch"), "target")
+
+
+@query("""
+with used as (select distinct c_nationkey from customer)
+select 'Body ' || c_nationkey as target, 'dialogue' as type, '甲' as speaker, 'body ' || c_nationkey as text from used
+union all select '模板:旁白' || n_nationkey, u.type, u.speaker, u.text from nation,
+lateral (values ('narration', null, 'told ' || n_nationkey), ('dialogue', '派蒙', 'said ' || n_name)) u(type, speaker, text) where n_nationkey % 2 = 0
+""")
+def called_units(spark, folder):
+    """The units of called bodies, each once however many pages call it."""
+    found, _ = Y.transcluded(call_pages(spark, folder))
+    return found.select("target", "type", "speaker", "text")
+
+
+@query(CALLS_SQL + """
+select 'C' || c_custkey as root, 'C' || c_custkey as node, target, case when name like '{{:%' then 'transclusion' else 'template' end as kind, cast(1 as int) as depth, 'consumed' as status from c
+where target like 'Body%' or cast(substr(target, 6) as int) % 2 = 0 group by all
+union all select 'C' || c_custkey, 'Body ' || c_nationkey, '模板:旁白' || c_nationkey, 'template', 2, 'met' from customer where c_nationkey % 2 = 0
+union all select 'Body ' || n_nationkey, 'Body ' || n_nationkey, '模板:旁白' || n_nationkey, 'template', 1, 'consumed' from nation where n_nationkey % 2 = 0
+union all select 'S' || s_suppkey, 'S' || s_suppkey, 'S' || s_suppkey || '语音', 'character_voice', 1, case when s_suppkey % 2 = 0 then 'consumed' else 'needs_source' end from supplier
+""")
+def dependency_kinds(spark, folder):
+    """template, transclusion and voice edges beside redirects, followed from every page that is no template."""
+    owners = render(table(spark, folder, "supplier"), "concat('s', s_suppkey)", "concat('S', s_suppkey)", "{{角色资料|全名=<n>}}", n="s_name")
+    voices = render(table(spark, folder, "supplier").filter("s_suppkey % 2 = 0"), "concat('v', s_suppkey)", "concat('S', s_suppkey, '语音')", "{{角色/语音|语音内容=<n>}}", n="s_name")
+    pages = Y.with_called(call_pages(spark, folder).unionByName(owners).unionByName(voices))
+    return recovery.dependencies(pages).select("root", F.col("at").alias("node"), "target", "kind", F.col("depth").cast("int").alias("depth"), "status")
+
+
 @query(TURNS_SQL + f"""
 , d as (select conv_id, turn, case when role = 'user' then 'traveler' when role = 'system' then 'option' else 'character' end as dialogue_type,
         case when role = 'user' then '旅行者' when role = 'system' then '' else 'NPC' end as speaker,

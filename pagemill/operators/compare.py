@@ -77,10 +77,15 @@ def ambiguous_titles(pages: DataFrame, title: str) -> DataFrame:
     return pages.groupBy(title).agg(F.count("*").alias("files")).filter("files > 1")
 
 
+def unit_consumers(units: DataFrame, identity: str, *consumer: str) -> DataFrame:
+    """Who consumes which unit, every distinct pair in a row of its own, so no list grows without bound."""
+    return units.select(identity, *consumer).filter(F.col(consumer[0]).isNotNull()).distinct()
+
+
 def merge_units(units: DataFrame, identity: str, consumer: str, *kept: str) -> DataFrame:
-    """One row per unit id. Consumers are distinct pairs in their own rows, so no list grows without bound."""
+    """One row per unit id, with the number of its consumers; ``unit_consumers`` lists them."""
     one = units.groupBy(identity).agg(*[F.min(k).alias(k) for k in kept])
-    links_ = units.select(identity, consumer).filter(F.col(consumer).isNotNull()).distinct()
+    links_ = unit_consumers(units, identity, consumer)
     counts = links_.groupBy(identity).agg(F.count("*").alias("consumers"), F.min(consumer).alias("first_consumer"))
     return one.join(counts, identity, "left").withColumn("consumers", F.coalesce("consumers", F.lit(0).cast("bigint")))
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagemill.operators import scan
+from pagemill.operators import display, scan
 from pagemill.operators import spans as S
 from pagemill.session import by_page
 
@@ -54,11 +54,58 @@ def han_count(text: Column) -> Column:
 COMMENT_TEXT = r"(?s)^.*?<!--(.*)-->$"
 
 
+# Tags whose text is no text of the page, and voice fields in other languages.
+TAG_ROLES = {"style": "style", "script": "style", "ref": "reference", "references": "reference"}
+DOCUMENTATION_TAG = "noinclude"
+OTHER_VOICE = r"^语音(?:内容|文件)(?:日语|英语|韩语)$"
+MEDIA = ("file:", "image:", "文件:")
+
+
+# What stands for the characters of a tag, so that all offsets stay.
+BLANK = "\x00"
+TAG_MARK = r"</?(?!nowiki\b)[A-Za-z][^<>]*>"
+
+
+def without_tags(text: Column) -> Column:
+    """Tags as blanks; comments and raw blocks stay as they are."""
+    parts = F.regexp_extract_all(text, F.lit(rf"(?s).*?(?:<!--.*?-->|<nowiki>.*?</nowiki>|{TAG_MARK}|\z)"), F.lit(0))
+    bare = F.array_join(F.transform(parts, lambda p: F.rpad(F.regexp_replace(p, rf"{TAG_MARK}\z", ""), F.char_length(p), F.lit(BLANK))), "")
+    return F.when(text.contains("<"), bare).otherwise(text)
+
+
+def surroundings(pages: DataFrame) -> DataFrame:
+    """page_key, around: the ranges that give text another role or silence it, of the pages that have any."""
+    tokens = S.markup(pages)
+    tags = display.paired_tags(pages)
+    role = F.coalesce(*[F.when(F.col("tag") == t, F.lit(r)) for t, r in TAG_ROLES.items()])
+    inside = tags.withColumn("role", role).filter(F.col("role").isNotNull() | (F.col("tag") == DOCUMENTATION_TAG)).select(
+        "page_key", F.col("open_end").alias("start"), F.col("close_start").alias("end"), "role", (F.col("tag") == DOCUMENTATION_TAG).alias("silent"))
+    media = F.lit(False)
+    for prefix in MEDIA:
+        media = media | F.col("begin").startswith(prefix)
+    captions = display.link_rows(pages, tokens).filter(media & F.col("bar").isNotNull()).select(
+        "page_key", (F.col("bar") + 1).alias("start"), (F.col("end") - 2).alias("end"), F.lit("media_caption").alias("role"), F.lit(False).alias("silent"))
+    values = S.all_pieces(pages, tokens).filter("piece > 0").select(
+        "page_key", F.col("vstart").alias("start"), F.col("vend").alias("end"), F.lit("text").alias("role"), F.col("key").rlike(OTHER_VOICE).alias("silent"))
+    marked = inside.unionByName(captions)
+    kept = values.filter("silent").unionByName(values.filter("not silent").join(marked.select("page_key").distinct(), "page_key", "left_semi")).unionByName(marked)
+    return kept.groupBy("page_key").agg(F.collect_list(F.struct("start", "end", "role", "silent")).alias("around"))
+
+
+def with_surroundings(found: DataFrame, pages: DataFrame) -> DataFrame:
+    held = F.filter("around", lambda a: (a["start"] <= F.col("start")) & (a["end"] >= F.col("end")))
+    rows = found.join(surroundings(pages), "page_key", "left").withColumn("held", F.coalesce(held, F.slice("around", 1, 0)))
+    inner = F.array_max(F.transform(F.filter("held", lambda a: a["role"].isNotNull()), lambda a: F.struct(a["start"].alias("start"), (-a["end"]).alias("end"), a["role"].alias("role"))))["role"]
+    role = F.when((F.col("role") == "text") & inner.isNotNull(), inner).otherwise(F.col("role"))
+    return rows.select("page_key", "start", "end", role.alias("role"), "text", F.coalesce(F.exists("held", lambda a: a["silent"]), F.lit(False)).alias("silent"))
+
+
 def candidates(pages: DataFrame) -> DataFrame:
     """Every line piece with a Chinese character, its offsets and its role in the markup.
 
-    This inventory reads the tokens only; it shares nothing with the extraction of units."""
-    found = F.regexp_extract_all("text", F.lit(S.TOKEN), F.lit(0))
+    Text takes the role of the innermost style, reference or caption around it; an argument of a template is text again. ``silent``: inside
+    documentation, or a voice field in another language. This inventory reads the tokens only; it shares nothing with the extraction of units."""
+    found = F.regexp_extract_all("bare", F.lit(S.TOKEN), F.lit(0))
 
     def token(t: Column) -> Column:
         kind = S._kind(t)
@@ -71,7 +118,7 @@ def candidates(pages: DataFrame) -> DataFrame:
 
     order = Window.partitionBy("page_key").orderBy("i")
     rows = (
-        pages.select("page_key", "text").transform(by_page)
+        pages.select("page_key", "text").transform(by_page).withColumn("bare", without_tags(F.col("text")))
         .select("page_key", F.posexplode(F.transform(found, token)).alias("i", "t"))
         .select("page_key", "i", "t.*").withColumn("end", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("begin", F.col("end") - F.col("n")).withColumn("start", F.col("end") - F.char_length(F.coalesce("kind", F.lit("")))))
@@ -93,25 +140,25 @@ def candidates(pages: DataFrame) -> DataFrame:
     texts = both.filter("body is not null").select("page_key", F.col("begin").alias("at"), "body", role.alias("role"))
     notes = rows.filter("comment is not null").select(
         "page_key", (F.col("end") - 3 - F.char_length("comment")).alias("at"), F.col("comment").alias("body"), F.lit("comment").alias("role"))
-    pieces = F.transform(F.split("body", r"\n"), lambda x: F.struct(F.char_length(x).alias("n"), x.alias("x")))
+    pieces = F.transform(F.split("body", rf"[\n{BLANK}]"), lambda x: F.struct(F.char_length(x).alias("n"), x.alias("x")))
     cut = texts.unionByName(notes).select("page_key", "at", "role", F.posexplode(pieces).alias("k", "p"))
     within = Window.partitionBy("page_key", "at", "role").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
     cut = cut.withColumn("start", F.col("at") + F.sum(F.col("p.n") + 1).over(within) - 1 - F.col("p.n"))
-    return cut.filter(F.col("p.x").rlike(HAN)).select(
-        "page_key", "start", (F.col("start") + F.col("p.n")).alias("end"), "role", F.col("p.x").alias("text"))
+    return with_surroundings(cut.filter(F.col("p.x").rlike(HAN)).select(
+        "page_key", "start", (F.col("start") + F.col("p.n")).alias("end"), "role", F.col("p.x").alias("text")), pages)
 
 
 INTRINSIC = {"template_name": "metadata", "parameter_name": "metadata", "heading": "metadata", "link_target": "metadata",
              "comment": "non_story", "style": "non_story", "reference": "non_story", "media": "needs_source", "media_caption": "needs_source"}
 
 
-def cover(found: DataFrame, segments: DataFrame) -> DataFrame:
-    """Chinese characters of every candidate by the disposition that covers them.
+def pieces_by_state(found: DataFrame, segments: DataFrame) -> DataFrame:
+    """candidates cut at the segments' boundaries: page_key, c (the candidate), start, end, text, characters, state.
 
     Candidates and segment boundaries of a page are ordered together; between two boundaries one
     state holds, so the characters are counted per piece and never spread to one row each."""
     starts = found.select("page_key", F.col("start").alias("pos"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias("state"),
-                          F.struct("start", "end", "role", "text").alias("c"))
+                          F.struct("start", "end", "role", "text", "silent").alias("c"))
     bounds = segments.select("page_key", "pos", F.lit(0).alias("kind"), "state", F.lit(None).cast(starts.schema["c"].dataType).alias("c"))
     order = Window.partitionBy("page_key").orderBy("pos", "kind")
     here = order.rowsBetween(Window.unboundedPreceding, 0)
@@ -120,10 +167,15 @@ def cover(found: DataFrame, segments: DataFrame) -> DataFrame:
     rows = rows.withColumn("c", F.last("c", ignorenulls=True).over(here)).withColumn("until", F.lead("pos").over(order))
     rows = rows.withColumn("stop", F.least(F.coalesce("until", F.col("c.end")), F.col("c.end"))).filter(F.col("c").isNotNull() & (F.col("pos") < F.col("stop")))
     piece = F.substring(F.col("c.text"), (F.col("pos") - F.col("c.start") + 1).cast("int"), (F.col("stop") - F.col("pos")).cast("int"))
+    return rows.select("page_key", "c", F.col("pos").alias("start"), F.col("stop").alias("end"), piece.alias("text"), han_count(piece).cast("bigint").alias("characters"), "state").filter("characters > 0")
+
+
+def cover(found: DataFrame, segments: DataFrame) -> DataFrame:
+    """Chinese characters of every candidate by the disposition that covers them."""
     lookup = F.create_map(*[F.lit(x) for pair in INTRINSIC.items() for x in pair])
-    state = F.coalesce(F.element_at(lookup, F.col("c.role")), F.col("state"))
-    return rows.groupBy("page_key", F.col("c.start").alias("start"), F.col("c.role").alias("role"), F.col("c.end").alias("end"), state.alias("state")).agg(
-        F.sum(han_count(piece)).cast("bigint").alias("characters")).filter("characters > 0")
+    state = F.when(F.col("c.silent"), "non_story").otherwise(F.coalesce(F.element_at(lookup, F.col("c.role")), F.col("state")))
+    return pieces_by_state(found, segments).groupBy("page_key", F.col("c.start").alias("start"), F.col("c.role").alias("role"), F.col("c.end").alias("end"), state.alias("state")).agg(
+        F.sum("characters").alias("characters"))
 
 
 def candidate_disposition(covered: DataFrame) -> DataFrame:

@@ -186,11 +186,10 @@ def read_pieces(pages: DataFrame, pieces: DataFrame) -> DataFrame:
     return joined.select("page_key", F.inline(F.transform("ps", read)))
 
 
-def template_pieces(pages: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
-    """Names (piece 0) and parameters of all closed templates, nested ones included.
+def all_pieces(pages: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
+    """Names (piece 0) and parameters of all closed templates, nested ones included, with the first and last piece of each key.
 
-    Unnamed parameters are numbered from 1; a later duplicate key replaces the value but keeps the
-    place of the first (``key_pos``)."""
+    Unnamed parameters are numbered from 1."""
     tokens = markup(pages) if tokens is None else tokens
     pieces = read_pieces(pages, _pieces(tokens))
     by_template = Window.partitionBy("page_key", "tstart").orderBy("piece")
@@ -202,10 +201,13 @@ def template_pieces(pages: DataFrame, tokens: DataFrame | None = None) -> DataFr
         "name", F.first(F.when(F.col("piece") == 0, strip(F.col("raw"))), ignorenulls=True).over(whole))
     numbered = numbered.withColumn("key", F.when(F.col("piece") > 0, F.coalesce("named", F.col("position").cast("string"))))
     same_key = Window.partitionBy("page_key", "tstart", "key")
+    return numbered.withColumns({"key_pos": F.min("piece").over(same_key), "last_piece": F.max("piece").over(same_key)})
+
+
+def template_pieces(pages: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
+    """``all_pieces`` where a later duplicate key replaces the value but keeps the place of the first (``key_pos``)."""
     return (
-        numbered.withColumn("key_pos", F.min("piece").over(same_key))
-        .withColumn("last_piece", F.max("piece").over(same_key))
-        .filter("piece = last_piece")
+        all_pieces(pages, tokens).filter("piece = last_piece")
         .select("page_key", "tstart", "tend", "name", "depth", "piece", "key_pos", "key", strip(F.col("raw")).alias("value"),
                 "raw", "vstart", "vend", F.col("named").isNull().alias("positional"))
     )

@@ -86,6 +86,7 @@ def library_nodes(pages: DataFrame) -> DataFrame:
         "page_key", "node", "parent", "depth", "kind", "title", T.first_text(F.col("own"), F.coalesce("text", F.lit(""))).alias("text"))
 
 
+# Words of sentences about factions.
 FACTION_WORDS = ("势力", "阵营", "王朝", "王庭", "政权", "统治", "统一", "分裂", "联盟", "城邦", "执政", "秩序", "覆灭", "灭亡", "崛起", "退守", "版图")
 
 
@@ -106,6 +107,7 @@ def timeline_rows(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_key", "title", "text").transform(by_page).select(
         "page_key", F.col("title").alias("page_title"), F.posexplode(F.split("text", "\n")).alias("line_no", "raw")).withColumn("raw", T.strip("raw"))
     skipped = F.col("raw").rlike(rf"^(?:{T.CATEGORY_LINK}|__NOEDITSECTION__|(?i)</?div\b[^>]*>)$")
+    # fixed formats of headings, bold items and dated bullets
     heading = r"^(={3,5})\s*(.*?)\s*\1$"
     bold = r"^'''(.+?)'''(?:\s*[：:]\s*(.*))?$"
     dated = r"^\*\s*(.+?)(?:\s{2,}|\t+|[：:])\s*(.+)$"
@@ -171,10 +173,8 @@ def timeline_records(pages: DataFrame) -> DataFrame:
         "page_key", "block", T.first_text(F.array_join("path", " / "), F.col("page_title")).alias("era"), "year", "background", "events", "factions", "related")
 
 
-def timeline_tree(pages: DataFrame) -> DataFrame:
-    """Sections and items as adjacency rows: node, parent, level, title, content, entries, related names.
-
-    An item hangs below its section; one without a section below the page node 0."""
+def _timeline_nodes(pages: DataFrame) -> DataFrame:
+    """Timeline rows with the node they belong to, null before the first, and the parent of those that open one."""
     rows = timeline_rows(pages)
     order = Window.partitionBy("page_key").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     rows = _path(rows).withColumn("node", F.last(F.when(F.col("kind").isin("heading", "item") & (F.col("label") != ""), F.col("line_no") + 1), ignorenulls=True).over(order))
@@ -189,6 +189,19 @@ def timeline_tree(pages: DataFrame) -> DataFrame:
     in_item = F.coalesce(F.col("node") != F.col("section"), F.col("node").isNotNull())
     rows = rows.withColumn("kind", F.when((F.col("kind") == "entry") & ~in_item, "text").otherwise(F.col("kind"))).withColumn(
         "body", F.when((F.col("kind") == "text") & F.col("raw").startswith("*"), F.concat(F.lit("* "), "body")).otherwise(F.col("body")))
+    return rows
+
+
+def timeline_intro(pages: DataFrame) -> DataFrame:
+    """page_key, intro: bullets and text that stand before the first section and item of a page, if any."""
+    return _gather(_timeline_nodes(pages).filter("node is null"), ["page_key"]).select("page_key", T.clean_field(_joined("texts"), "story").alias("intro"))
+
+
+def timeline_tree(pages: DataFrame) -> DataFrame:
+    """Sections and items as adjacency rows: node, parent, level, title, content, entries, related names.
+
+    An item hangs below its section; one without a section below the page node 0."""
+    rows = _timeline_nodes(pages)
     heads = rows.filter(F.col("parent").isNotNull() & (F.col("label") != "")).select(
         "page_key", "node", F.col("parent").cast("bigint").alias("parent"), "kind", "level", F.col("label").alias("title"))
     body = _gather(rows, ["page_key", "node"]).select(

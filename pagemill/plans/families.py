@@ -380,14 +380,17 @@ def event_records(model: DataFrame, events: DataFrame) -> DataFrame:
     return with_dialogues(quests, model)
 
 
+def main_keys() -> Column:
+    """the context keys of a main-story quest in the order they are tried."""
+    return F.concat(F.reverse(F.transform("series", T.quest_title)), F.array("subtitle.chapter_name", T.quest_title("title")))
+
+
 def main_records(model: DataFrame, series: DataFrame) -> DataFrame:
     """Main-story quests with the index entry of their series and their dialogues; speakers are cast members too.
 
     ``series``: key and entry, as ``context.context_table`` gives them. A quest's series are tried from the last to the first,
     then its chapter name, then its own title."""
-    quests = main_quests(model)
-    keys = F.concat(F.reverse(F.transform("series", T.quest_title)), F.array("subtitle.chapter_name", T.quest_title("title")))
-    quests = context.lookup(quests, "page_key", keys, series, "entry")
+    quests = context.lookup(main_quests(model), "page_key", main_keys(), series, "entry")
     told = with_dialogues(quests, model, flow=True)
     return told.withColumn("roles", F.array_distinct(F.concat("related_npcs", "speakers")))
 
@@ -409,9 +412,10 @@ def character_pages(model: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def chronicles(model: DataFrame) -> DataFrame:
-    """A timeline page with its sections and items as adjacency rows."""
-    nodes = trees.timeline_tree(model).groupBy("page_key").agg(F.array_sort(F.collect_list(F.struct("node", "parent", "level", "title", "content", "entries"))).alias("nodes"))
-    return model.select(*KEPT).join(nodes, "page_key", "left")
+    """A timeline page with its intro, and its sections and items as adjacency rows."""
+    nodes = trees.timeline_tree(model).groupBy("page_key").agg(F.array_sort(F.collect_list(F.struct("node", "parent", "level", "title", "content", "entries", "related"))).alias("nodes"))
+    intro = trees.timeline_intro(model)
+    return model.select(*KEPT).join(nodes, "page_key", "left").join(intro, "page_key", "left").withColumn("intro", F.coalesce("intro", F.lit("")))
 
 
 def library(model: DataFrame) -> DataFrame:
@@ -439,9 +443,8 @@ STANDARD: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "namecards": ("名片", namecards),
     "secret-items": ("秘境", secret_items),
 }
-# Families that need other pages.
-CONTEXT = {"characters": characters, "event-quests": event_quests, "archon-quests": main_quests, "character-quests": character_quests,
-           "chronicles": chronicles, "north-library": library}
+# Families that need other pages; ``context_runs`` gives them their context.
+CONTEXT = ("characters", "event-quests", "archon-quests", "character-quests", "chronicles", "north-library")
 
 
 def family_of(model: DataFrame) -> DataFrame:
@@ -471,21 +474,11 @@ def resolve_families(wanted: list[str] | None) -> list[str]:
     return [f for f in known if f in (wanted or known)]
 
 
-def run_family(family: str, pages: DataFrame, members: DataFrame, category: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Members joined to pages by title, built, and the members without a page as failures."""
-    wanted = members if category is None else members.filter(F.col("category") == category)
-    wanted = wanted.select("title").distinct()
-    found = pages.join(wanted, "title", "left_semi").filter(B.has_text(F.col("text")))
-    missing = wanted.join(pages.filter(B.has_text(F.col("text"))), "title", "left_anti").select(
-        F.lit(family).alias("family"), "title", F.lit("missing_page_payload").alias("reason"))
-    build = STANDARD[family][1] if family in STANDARD else CONTEXT[family]
-    return build(page_model(found)), missing
-
-
 def family_models(pages: DataFrame, members: DataFrame, names: list[str]) -> tuple[DataFrame, DataFrame]:
     """The page model of all members with their family, and the members without a page.
 
-    Pages are read and parsed once for all families; the model is a written table that families filter."""
+    ``members``: category and title; the category of a context family is its own name. Pages are read and parsed once for all families;
+    the model is a written table that families filter."""
     category = {f: STANDARD[f][0] if f in STANDARD else f for f in names}
     place = F.coalesce(*[F.when(F.col("category") == c, F.lit(f)) for f, c in category.items()])
     wanted = members.select("title", place.alias("family")).filter("family is not null").distinct()
@@ -495,15 +488,8 @@ def family_models(pages: DataFrame, members: DataFrame, names: list[str]) -> tup
     return written(model.join(wanted, "title")), missing
 
 
-def run_all(pages: DataFrame, members: DataFrame, wanted: list[str] | None = None) -> DataFrame:
-    """One summary row per family, in run order."""
-    names = resolve_families(wanted)
-    model, missing = family_models(pages, members, names)
-    rows = missing.select("family", F.lit("missing").alias("state"), F.lit("").alias("version"))
-    for family in names:
-        build = STANDARD[family][1] if family in STANDARD else CONTEXT[family]
-        built = build(model.filter(F.col("family") == family).drop("family"))
-        rows = rows.unionByName(built.select(F.lit(family).alias("family"), F.lit("built").alias("state"), F.col("version")))
+def run_counts(rows: DataFrame, names: list[str]) -> DataFrame:
+    """One summary row per family, in run order. ``rows``: family, state (built, missing), version."""
 
     def count(condition: Column) -> Column:
         return F.count(F.when(condition, 1))
@@ -511,7 +497,7 @@ def run_all(pages: DataFrame, members: DataFrame, wanted: list[str] | None = Non
     counts = rows.groupBy("family").agg(
         count(F.col("state") == "built").alias("built"), count((F.col("state") == "built") & (F.col("version") != "")).alias("with_version"),
         count(F.col("state") == "missing").alias("missing"))
-    order = pages.sparkSession.createDataFrame(list(enumerate(names)), "place int, family string")
+    order = rows.sparkSession.createDataFrame(list(enumerate(names)), "place int, family string")
     return order.join(counts, "family", "left").na.fill(0, ["built", "with_version", "missing"])
 
 
