@@ -9,6 +9,7 @@ from pagemill.catalog.rendered import fill, joined, part_pages, render
 from pagemill.operators import context
 from pagemill.operators import records as R
 from pagemill.operators.pages import page_model
+from pagemill.plans import context_runs
 from pagemill.plans import families as E
 from pagemill.session import table
 
@@ -333,14 +334,14 @@ select cast(place as integer) as place, family, cast(built as bigint) as built,
   select 11, 'items', count(*) filter (p_size % 2 = 1 and p_partkey % 10 <> 0), 0, count(*) filter (p_size % 2 = 1 and p_partkey % 10 = 0) from part)
 """)
 def family_runs(spark, folder):
-    """Members joined to pages, built per family; members without a page are counted."""
+    """Members of two wanted families joined to pages and built; members without a page are counted."""
     part = table(spark, folder, "part")
     pages = part.filter(F.col("p_partkey") % 10 != 0).select(
         F.col("p_partkey").alias("page_key"), F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("title"),
         F.when(F.col("p_size") % 2 == 0, fill("{{武器|名称=<n>|版本=1.0}}", n="p_name")).otherwise(fill("{{道具|名称=<n>}}", n="p_name")).alias("text"))
     members = part.select(F.when(F.col("p_size") % 2 == 0, "武器").otherwise("道具").alias("category"),
                           F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("title"))
-    return E.run_all(pages, members, ["items", "weapons"]).select(
+    return context_runs.run_all(pages, members, ["items", "weapons"]).select(
         F.when(F.col("family") == "weapons", 4).otherwise(11).alias("place"), "family", "built", "with_version", "missing")
 
 

@@ -353,12 +353,12 @@ def character_quests(model: DataFrame) -> DataFrame:
         *[c.alias(n) for n, c in neighbours.items()])
 
 
-def with_dialogues(quests: DataFrame, pages: DataFrame, flow: bool = False) -> DataFrame:
+def with_dialogues(quests: DataFrame, pages: DataFrame, flow: bool = False, found: DataFrame | None = None) -> DataFrame:
     """Each quest with the entries of its story in order, and the distinct speakers in order of appearance.
 
-    ``flow``: the main story's form instead (P3), lines with their type and the part of the quest they belong to.
-    Lines of a page are one array, as a page is one row."""
-    found = Y.units(pages)
+    ``flow``: the main story's form instead (P3), lines with their type and the part of the quest they belong to. ``found``: the units of the
+    pages, if they are at hand. Lines of a page are one array, as a page is one row."""
+    found = Y.units(pages) if found is None else found
     found = Y.main_dialogues(found) if flow else Y.entries(found)
     line = F.struct("start", "speaker", "text", "dialogue_type", "task_flow") if flow else F.struct("scene_at", "start", "entry", "scene", "kind", "speaker", "text")
     lines = F.array_sort(F.collect_list(line))
@@ -369,7 +369,7 @@ def with_dialogues(quests: DataFrame, pages: DataFrame, flow: bool = False) -> D
     return out.withColumn("speakers", speakers)
 
 
-def event_records(model: DataFrame, events: DataFrame) -> DataFrame:
+def event_records(model: DataFrame, events: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """Event quests with their event page's name, period and description, and their dialogues.
 
     ``events``: the page model that holds event pages. A period of the quest itself wins over that of the event."""
@@ -377,7 +377,7 @@ def event_records(model: DataFrame, events: DataFrame) -> DataFrame:
         F.col("title").alias("event_title"), "event_name", F.col("event_period").alias("whole_period"), "event_description")
     quests = context.with_event(event_quests(model), about).drop("event_title")
     quests = quests.withColumn("event_period", T.first_text(F.col("event_period"), F.coalesce("whole_period", F.lit("")))).drop("whole_period")
-    return with_dialogues(quests, model)
+    return with_dialogues(quests, model, found=found)
 
 
 def main_keys() -> Column:
@@ -385,23 +385,23 @@ def main_keys() -> Column:
     return F.concat(F.reverse(F.transform("series", T.quest_title)), F.array("subtitle.chapter_name", T.quest_title("title")))
 
 
-def main_records(model: DataFrame, series: DataFrame) -> DataFrame:
+def main_records(model: DataFrame, series: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """Main-story quests with the index entry of their series and their dialogues; speakers are cast members too.
 
     ``series``: key and entry, as ``context.context_table`` gives them. A quest's series are tried from the last to the first,
     then its chapter name, then its own title."""
     quests = context.lookup(main_quests(model), "page_key", main_keys(), series, "entry")
-    told = with_dialogues(quests, model, flow=True)
+    told = with_dialogues(quests, model, flow=True, found=found)
     return told.withColumn("roles", F.array_distinct(F.concat("related_npcs", "speakers")))
 
 
-def character_records(model: DataFrame, listed: DataFrame) -> DataFrame:
+def character_records(model: DataFrame, listed: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """Character quests with the list entry that names them or their series, and their dialogues.
 
     ``listed``: key and entry, as ``context.context_table`` gives them."""
     quests = character_quests(model)
     keys = F.array(T.quest_title("title"), "related_quest", "chapter_name")
-    return with_dialogues(context.lookup(quests, "page_key", keys, listed, "entry"), model)
+    return with_dialogues(context.lookup(quests, "page_key", keys, listed, "entry"), model, found=found)
 
 
 def character_pages(model: DataFrame, pages: DataFrame) -> DataFrame:
