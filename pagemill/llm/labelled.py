@@ -24,5 +24,11 @@ def training_ids(labels: DataFrame, label: str, most: int, id_column: str = "doc
 
 
 def labelled(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` (with doc_id) that ``training_ids`` chose, one row an id; the ids are few by its bound and are broadcast."""
-    return docs.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    """``docs`` (with doc_id and text) that ``training_ids`` chose; the ids are few by its bound and are broadcast.
+
+    One row an id, that whose text has the least hash: the same one however the rows are dealt."""
+    names = docs.columns
+    rows = docs.join(F.broadcast(ids), "doc_id")
+    order = F.struct(F.sha2("text", 256).alias("text"), F.xxhash64(*names).alias("row"))
+    picked = rows.groupBy("doc_id").agg(F.min_by(F.struct(*[c for c in rows.columns if c != "doc_id"]), order).alias("r"))
+    return picked.select("doc_id", "r.*").select(*rows.columns)

@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -447,6 +448,59 @@ def test_text_convolution_on_held_out_rows(spark, docs, none):
     assert {r.score for r in text_convolution.scored(docs, text_convolution.fit(docs, labels.filter("doc_id < 0"))).collect()} == {0.5}
 
 
+def slow_score(model, text):
+    """The score of one text, word by word and window by window."""
+    ends = text_convolution.ENDS.decode()
+    hashes = np.array([xxhash.xxh3_64_intdigest(w.decode().strip(ends).lower().encode()) for w in words(text)], np.uint64)
+    known = set(model.known.tolist())
+    zero = np.zeros(text_convolution.SIZE, np.float32)
+    x = []
+    for h in hashes:
+        one, two = (int(text_convolution.mixed(np.array([v], np.uint64))[0]) % text_convolution.ROWS for v in (h, h ^ np.uint64(0xABCDEF)))
+        x.append(model.tables[0][one] + model.tables[1][two] if int(h) in known else zero)
+    x += [zero] * max(text_convolution.WIDTHS)
+    pooled = []
+    for w, b in zip(model.filters, model.biases):
+        pooled.append(np.max([b + sum(x[i + j] @ w[j] for j in range(len(w))) for i in range(len(hashes) + 1)], axis=0))
+    logit = float(np.maximum(np.concatenate(pooled), 0) @ model.out + model.intercept)
+    return 1 / (1 + np.exp(-np.clip(model.scale[0] * logit + model.scale[1], -50, 50)))
+
+
+def test_convolution_scores_by_a_slow_way_and_alone(spark, docs):
+    documents, labels = tables(spark)
+    long_ = F.when(F.col("doc_id") % 7 == 1, F.repeat(F.concat("text", F.lit(" ")), 60)).otherwise(F.col("text"))
+    model = text_convolution.fit(documents.withColumn("text", long_), labels)
+    assert model.tables
+    some = documents.limit(40).collect() + [r for r in docs.collect() if len(r.text or "") < 20000]
+    texts = [r.text for r in some]
+    own = text_convolution.PlainWords()
+    lists = [own.of((t or "").encode().split()) for t in texts]
+    slow = np.array([slow_score(model, t) for t in texts])
+    together = model.scores(*text_convolution.padded(lists))
+    assert np.allclose(together, slow, atol=1e-5)
+    alone = np.array([model.scores(*text_convolution.padded([x]))[0] for x in lists])
+    assert np.allclose(alone, together, atol=1e-6)
+    short = [text_convolution.distinct_windows(np.concatenate([x, x, x])) for x in lists]
+    whole = model.scores(*text_convolution.padded([np.concatenate([x, x, x]) for x in lists]))
+    assert np.allclose(model.scores(*text_convolution.padded(*map(list, zip(*short)))), whole, atol=1e-6)
+    assert all(len(h) <= max(2 * len(x) + 6, 0) for (h, _), x in zip(short, lists))
+
+
+def test_repeated_ids_train_on_the_same_text_however_dealt(spark):
+    documents, labels = tables(spark, "sf0.001")
+    twice = documents.unionByName(documents.withColumn("text", F.reverse("text")))
+    ids = text_convolution.training_ids(labels, "quality", 100)
+    one, other = (text_convolution.labelled(rows.select("doc_id", "text"), ids) for rows in (twice.repartition(3), twice.repartition(7, "text")))
+    assert one.count() == ids.join(documents, "doc_id").select("doc_id").distinct().count() > 0
+    assert one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+
+
+def test_words_of_the_sample_are_bounded_and_long_texts_stay(spark):
+    documents, labels = tables(spark, "sf0.001")
+    model = text_convolution.fit(documents, labels, most_words=0)
+    assert model.tables is None and model.intercept == 0.0
+
+
 def test_pipeline_against_brute_force(spark, tmp_path, monkeypatch):
     documents, labels = tables(spark)
     rows = [r for r in documents.collect() if len(r.text) < 4000]
