@@ -71,3 +71,14 @@ def validation_stats(results: DataFrame, family: str, *, crawled: Column, parsed
     counts = counts.withColumn("pass_rate", rate.cast("double")).withColumn(family, named)
     texts = texts.withColumn(family, named)
     return counts.join(texts, family, "left").withColumn("reasons", F.coalesce("reasons", F.lit("")))
+
+
+def integrity_totals(results: DataFrame, issues: Column, warnings: Column) -> DataFrame:
+    """How many records were asked for, are in order, have warnings, have critical issues; zeros when there are none.
+
+    ``issues``, ``warnings``: arrays of names. A record is in order without critical issues, whatever its warnings."""
+    def count(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.coalesce(condition, F.lit(False)).cast("bigint")), F.lit(0).cast("bigint"))
+
+    critical = F.coalesce(F.size(issues), F.lit(0)) > 0
+    return results.agg(F.count("*").alias("requested"), count(~critical).alias("ok"), count(F.size(warnings) > 0).alias("with_warnings"), count(critical).alias("critical"))
