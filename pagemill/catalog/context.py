@@ -230,6 +230,19 @@ def character_list(spark, folder):
         F.col("page_key").alias("page_id"), "title", "chapter_name", "act", "act_name", "region", "quest_type", "group_name", "related_character")
 
 
+@query("""
+select o_orderkey as page_id, u.title, u.related_character from orders,
+lateral (values ('Q' || o_orderkey, 'Own' || o_custkey), ('R', 'Img' || o_custkey), ('S', 'Wait' || o_custkey), ('U', '')) u(title, related_character)
+""")
+def icon_list(spark, folder):
+    """Entries by quest icons: their own character, the one of their image, the one that waits; icons that lack a part are no entries."""
+    pages = render(table(spark, folder, "orders"), "o_orderkey", "concat('O', o_orderkey)",
+                   "=== Reg ===\n[[文件:任务-x-Other.png]]\n* {{图标|任务|Own<cust>|40|Ch·第一幕|Q<key>}}\n{{图标|任务|自定义|40|Ch·第二幕|R（任务）|UI-x-Img<cust>}}\n"
+                   "[[文件:任务-x-Wait<cust>.png]]\n{{图标|任务||40||T}}{{图标|道具|a|40|Ch·第一幕|no}}\n{{图标|任务|自定义|40|Ch·第三幕|S}} [[x|Ch·第九幕]] [[no]]\n"
+                   "{{图标|任务||40|Ch·第四幕|U}}\n{{图标|任务|Late|40|Ch·第五幕|R}}\n== 邀约事件 ==\n{{图标|任务|a|40|Ch·第一幕|late}}\n", key="o_orderkey", cust="o_custkey")
+    return context.character_entries(pages).select(F.col("page_key").alias("page_id"), "title", "related_character")
+
+
 @query("""
 with c as (select p_type as category, count(*) as n from part group by p_type),
 s as (select category, n, case when category in ('PROMO') then 100 else

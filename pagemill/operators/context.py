@@ -155,10 +155,28 @@ def list_entries(pages: DataFrame) -> DataFrame:
 
 
 LIST_STOPS = ("邀约事件", "热点事件")
+# The kind of icons that name quests, and the word of an icon whose image is given in full.
+QUEST_ICON, OWN_IMAGE = "任务", "自定义"
+
+
+def icon_entry(raw: Column) -> Column:
+    """Title, part (chapter and act) and who (a character, or null) of a line's first quest icon that names all of chapter, act and quest.
+
+    An icon's words: kind, character, size, chapter and act, quest, image. An image's character is the last piece of its name."""
+    def read(words: Column) -> Column:
+        own, image = F.get(words, F.lit(1)), F.get(words, F.lit(5))
+        shown = F.when((own != "") & (own != OWN_IMAGE), own).when(image != "", F.element_at(F.split(image, "-"), -1))
+        return F.struct(T.quest_title(F.get(words, F.lit(4))).alias("title"), titles.split_act(F.get(words, F.lit(3))).alias("part"), F.nullif(T.quest_title(shown), F.lit("")).alias("who"))
+
+    icons = F.filter(R.icons(raw), lambda w: (F.size(w) >= 5) & (F.get(w, F.lit(0)) == QUEST_ICON))
+    whole = F.filter(F.transform(icons, read), lambda e: (e["title"] != "") & (e["part"]["act"] != "") & (e["part"]["chapter_name"] != ""))
+    return F.get(whole, F.lit(0))
 
 
 def character_entries(pages: DataFrame) -> DataFrame:
-    """Region, quest type and group filled down; a character named by a file line waits for the next entry."""
+    """Region, quest type and group filled down; a character named by a file line waits for the next entry.
+
+    An entry is a line with a quest icon, else one with two links; an icon's own character goes before the one that waits."""
     line = F.posexplode(F.split("text", "\n")).alias("line_no", "raw")
     rows = pages.select("page_key", "text").transform(by_page).select("page_key", line).withColumn("raw", T.strip("raw"))
     marks = F.char_length(F.regexp_extract("raw", r"^(=+)\s*(.*?)\s*\1\s*$", 1))
@@ -180,14 +198,19 @@ def character_entries(pages: DataFrame) -> DataFrame:
     rows = rows.withColumn("named", F.nullif(T.clean_field(named), F.lit(""))).withColumn("targets", targets)
     chapter = titles.split_act(label(F.get("targets", F.lit(0))))
     rows = rows.withColumn("chapter", F.when((F.size("targets") >= 2) & heading.isNull() & F.col("named").isNull(), chapter))
-    is_entry = F.coalesce((F.col("chapter.act") != "") & (F.col("chapter.chapter_name") != ""), F.lit(False))
+    rows = rows.withColumn("icon", F.when(F.col("raw").contains("{{") & heading.isNull() & F.col("named").isNull(), icon_entry(F.col("raw"))))
+    linked = F.coalesce((F.col("chapter.act") != "") & (F.col("chapter.chapter_name") != ""), F.lit(False))
+    by_icon = F.col("icon").isNotNull()
+    is_entry = by_icon | linked
     # an entry row clears the waiting name for the rows after it
     waiting = F.when(F.col("named").isNotNull(), F.col("named")).when(is_entry, "")
     rows = rows.withColumn("related_character", F.coalesce(F.last(waiting, ignorenulls=True).over(before), F.lit("")))
     last = F.element_at("targets", -1)
     each = rows.filter(is_entry).select(
-        "page_key", "line_no", T.quest_title(F.substring_index(F.substring_index(last, "|", 1), "#", 1)).alias("title"),
-        F.col("chapter.chapter_name").alias("chapter_name"), F.col("chapter.act").alias("act"), T.quest_title(label(last)).alias("act_name"),
-        "region", "quest_type", "group_name", "related_character")
+        "page_key", "line_no", F.when(by_icon, F.col("icon.title")).otherwise(T.quest_title(F.substring_index(F.substring_index(last, "|", 1), "#", 1))).alias("title"),
+        F.when(by_icon, F.col("icon.part.chapter_name")).otherwise(F.col("chapter.chapter_name")).alias("chapter_name"),
+        F.when(by_icon, F.col("icon.part.act")).otherwise(F.col("chapter.act")).alias("act"),
+        F.when(by_icon, F.col("icon.title")).otherwise(T.quest_title(label(last))).alias("act_name"),
+        "region", "quest_type", "group_name", F.coalesce("icon.who", "related_character").alias("related_character"))
     rest = [c for c in each.columns if c not in ("page_key", "title")]
     return each.groupBy("page_key", "title").agg(F.min(F.struct(*rest)).alias("e")).select("page_key", "title", "e.*")

@@ -4,7 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from pagemill.operators import chains, gates, indexes, quality
+from pagemill.operators import chains, context, gates, indexes, quality
 from pagemill.plans import publish
 
 RECORD = "key string, name string, tags array<string>, version string"
@@ -126,3 +126,12 @@ def test_totals_count_records_once(spark):
     found = spark.createDataFrame([(["i", "j"], ["w"]), ([], ["w", "v"]), ([], []), (None, None)], "issues array<string>, warnings array<string>")
     assert rows(quality.integrity_totals(found, F.col("issues"), F.col("warnings"))) == [(4, 3, 2, 1)]
     assert rows(quality.integrity_totals(found.limit(0), F.col("issues"), F.col("warnings"))) == [(0, 0, 0, 0)]
+
+
+def test_entries_of_icons_and_of_links(spark, pages):
+    text = ("=== A ===\n==== 部族纪闻 ====\n===== G =====\n[[文件:任务-x-W.png]]\n{{图标|任务||40|Ch·第一幕|One（任务）}}\n{{图标|任务|自定义|40|Ch·第二幕|Two|UI-a-I}}\n* [[x|Ch 第三幕]] [[Three#a|T]]\n"
+            "{{图标|任务|Own|40|no act|Four}} [[x|Ch 第四幕]] [[Five]]\n{{图标|任务|Own|40|Ch·第一幕|One}}\n{{图标|任务|Own|40}}\nplain {{other|任务|a|b|Ch·第一幕|x}}")
+    found = context.character_entries(pages(text, "", "== 邀约事件 ==\n{{图标|任务|a|40|Ch·第一幕|late}}"))
+    assert rows(found.orderBy("line_no"), "title", "chapter_name", "act", "act_name", "quest_type", "group_name", "related_character") == sorted([
+        ("One", "Ch", "第一幕", "One", "部族纪闻", "G", "W"), ("Two", "Ch", "第二幕", "Two", "部族纪闻", "G", "I"),
+        ("Three", "Ch", "第三幕", "T", "部族纪闻", "G", ""), ("Five", "Ch", "第四幕", "Five", "部族纪闻", "G", "")], key=str)
