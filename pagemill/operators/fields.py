@@ -8,42 +8,36 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.functions import text as T
-from pagemill.operators import spans as S
+from pagemill.operators import cutting
+from pagemill.session import by_page
 
 Groups = Sequence[Sequence[str]]
 
 
-def page_templates(pages: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
-    """One row per page: its templates with ordered keys and the normalised and plain values.
+def page_templates(pages: DataFrame) -> DataFrame:
+    """One row per page with a template: its templates with ordered keys and the normalised and plain values."""
+    return with_templates(pages.select("page_key", "text").transform(by_page)).select("page_key", "templates").filter(F.size("templates") > 0)
 
-    Values are cleaned once per parameter, before they are gathered into the page's row."""
-    pieces = S.template_pieces(pages, tokens)
-    is_param = F.col("piece") > 0
-    entry = F.struct("key_pos", "key", "value", F.when(is_param, T.normalize("value")).alias("norm"),
-                     F.when(is_param, T.plain("value")).alias("plain"))
-    one = pieces.withColumn("entry", F.when(is_param, entry)).groupBy("page_key", "tstart").agg(
-        F.max("tend").alias("tend"), F.min("depth").alias("depth"), F.min("name").alias("name"),
-        F.array_sort(F.collect_list("entry")).alias("ps"))
-    first_seen = F.min("tstart").over(Window.partitionBy("page_key", "name"))
-    item = F.struct("first_start", "tstart", "tend", "depth", "name", "ps")
-    rows = one.withColumn("first_start", first_seen).groupBy("page_key").agg(
-        F.array_sort(F.collect_list(item)).alias("ts"))
 
+def with_templates(pages: DataFrame) -> DataFrame:
+    """``pages`` with ``templates``, in the page's own row; empty where there is none."""
     def shape(t: Column) -> Column:
-        def as_map(field: str) -> Column:
-            return F.map_from_entries(F.transform(t["ps"], lambda p: F.struct(p["key"], p[field])))
+        ps = F.filter(t["ps"], lambda p: p["piece"] > 0)
+
+        def as_map(value) -> Column:
+            return F.map_from_entries(F.transform(ps, lambda p: F.struct(p["key"], value(p["raw"]))))
 
         return F.struct(
-            t["name"].alias("name"), t["depth"].alias("depth"), t["tstart"].alias("start"), t["tend"].alias("end"),
-            F.transform(t["ps"], lambda p: p["key"]).alias("keys"),
-            as_map("value").alias("raw"), as_map("norm").alias("norm"), as_map("plain").alias("plain"),
+            t["name"].alias("name"), t["depth"].alias("depth"), t["start"].alias("start"), t["end"].alias("end"),
+            F.transform(ps, lambda p: p["key"]).alias("keys"),
+            as_map(T.strip).alias("raw"), as_map(T.normalize).alias("norm"), as_map(T.plain).alias("plain"),
         )
 
-    return rows.select("page_key", F.transform("ts", shape).alias("templates"))
+    return pages.withColumn("templates", cutting.in_visiting_order("text")).withColumn("templates", F.transform("templates", shape))
 
 
 def pick(params: Column, aliases: Sequence[str]) -> Column:

@@ -8,20 +8,11 @@ from pyspark.sql import functions as F
 from pagemill.operators import fields, links, sections, versions
 from pagemill.session import by_page
 
-NO_TEMPLATES = (
-    "array<struct<name:string,depth:bigint,start:bigint,end:bigint,keys:array<string>,"
-    "raw:map<string,string>,norm:map<string,string>,plain:map<string,string>>>"
-)
-
-
 def page_model(pages: DataFrame, *, with_sections: bool = True) -> DataFrame:
     """``pages`` needs ``page_key``, ``title`` and ``text``; further columns are kept.
 
-    The templates come from the same hash partitioning by ``page_key``, so the join below only
-    sorts."""
-    found = fields.page_templates(pages)
-    out = pages.transform(by_page).join(found, "page_key", "left").withColumn(
-        "templates", F.coalesce("templates", F.array().cast(NO_TEMPLATES)))
+    Everything is read in the page's own row, so the one shuffle spreads the texts over the tasks."""
+    out = fields.with_templates(pages.transform(by_page))
     payload = F.col("payload_categories") if "payload_categories" in pages.columns else None
     out = out.withColumn("categories", links.categories("text", payload))
     if with_sections:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions.text import strip
+from pagemill.operators import cutting
 from pagemill.session import by_page
 
 # One token = a run without markup characters plus the delimiter that ends it. Comments and
@@ -204,23 +205,24 @@ def all_pieces(pages: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
     return numbered.withColumns({"key_pos": F.min("piece").over(same_key), "last_piece": F.max("piece").over(same_key)})
 
 
-def template_pieces(pages: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
+def template_pieces(pages: DataFrame) -> DataFrame:
     """``all_pieces`` where a later duplicate key replaces the value but keeps the place of the first (``key_pos``)."""
-    return (
-        all_pieces(pages, tokens).filter("piece = last_piece")
-        .select("page_key", "tstart", "tend", "name", "depth", "piece", "key_pos", "key", strip(F.col("raw")).alias("value"),
-                "raw", "vstart", "vend", F.col("named").isNull().alias("positional"))
-    )
+    rows = pages.select("page_key", "text").transform(by_page).select("page_key", cutting.in_order("text").alias("ts"))
+    rows = rows.select("page_key", F.inline_outer("ts")).select(
+        "page_key", F.col("start").alias("tstart"), F.col("end").alias("tend"), "name", "depth", F.inline_outer("ps"))
+    return rows.filter("piece is not null").select(
+        "page_key", "tstart", F.when(F.col("piece") == 0, F.col("tend")).alias("tend"), "name", "depth", "piece", "key_pos", "key",
+        strip(F.col("raw")).alias("value"), "raw", "vstart", "vend", "positional")
 
 
-def params(pages: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
+def params(pages: DataFrame) -> DataFrame:
     """One row per parameter."""
-    return template_pieces(pages, tokens).filter("piece > 0").drop("tend")
+    return template_pieces(pages).filter("piece > 0").drop("tend")
 
 
-def templates(pages: DataFrame, tokens: DataFrame | None = None) -> DataFrame:
+def templates(pages: DataFrame) -> DataFrame:
     """One row per template, with its order in the page and the order its name first appears in."""
-    heads = template_pieces(pages, tokens).filter("piece = 0")
+    heads = template_pieces(pages).filter("piece = 0")
     numbered = heads.withColumn("seq", F.row_number().over(Window.partitionBy("page_key").orderBy("tstart")))
     return numbered.withColumn("name_first_seq", F.min("seq").over(Window.partitionBy("page_key", "name"))).select(
         "page_key", "tstart", "tend", "name", "depth", "seq", "name_first_seq")
