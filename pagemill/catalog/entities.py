@@ -118,7 +118,7 @@ def wiki_entity_set(spark, folder):
         F.col("p_partkey").alias("page_key"), F.lit("").alias("title"),
         F.concat(fill("{{圣遗物属性|生之花=<n>|生之花描述=d <s>|死之羽名称=<b>|死之羽故事=s<br><n>|理之冠=<t>", n="p_name", s="p_size", b="p_brand", t="p_type"),
                  way, F.lit("}}")).alias("text"))
-    built = E.artifact_sets(page_model(pages)).select("page_key", "obtaining_method", F.explode("pieces").alias("p"))
+    built = E.artifact_sets(page_model(pages)).select("page_key", "obtaining_method", F.explode_outer("pieces").alias("p")).filter("p is not null")
     return built.select(page_id(), "p.slot", "p.name", "p.description", "p.story", "obtaining_method")
 
 
@@ -158,7 +158,7 @@ def wiki_entity_domain(spark, folder):
     pages = table(spark, folder, "part").select(
         F.col("p_partkey").alias("page_key"), F.lit("").alias("title"),
         F.concat(F.lit("{{秘境副本|秘境类型="), kind, fill("|秘境名称=<n>|难度1掉落=low|难度4掉落=", n="p_name"), drops, F.lit("}}")).alias("text"))
-    built = E.secret_items(page_model(pages, with_sections=True)).select("page_key", "name", F.explode("drops").alias("slot", "value"))
+    built = E.secret_items(page_model(pages, with_sections=True)).select("page_key", "name", F.explode_outer("drops").alias("slot", "value")).filter("slot is not null")
     return built.select(page_id(), "name", "slot", "value")
 
 

@@ -110,9 +110,13 @@ ICON = r"\{\{\s*图标\s*\|[^{}|]*\|([^{}|]+)(?:\|[^{}]*)?\}\}"
 ICON_ONE = r"\{\{\s*图标\s*\|([^{}|]+)\|?\}\}"
 
 
+# What the rules of ``plain`` look for; those of ``normalize`` look for part of it.
+MARKED = r"[\r\n\t\x0b\f\\{&\xa0<　\[|'=*#:;]|  "
+
+
 def plain(value: Column | str) -> Column:
     """K2: normalised text, icons as their label, file links, tags, tab marks and markup removed."""
-    return _guarded(value, r"[\r\n\t\x0b\f\\{&\xa0<　\[|'=*#:;]|  ", _plain)
+    return _guarded(value, MARKED, _plain)
 
 
 def _plain(value: Column) -> Column:

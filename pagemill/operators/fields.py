@@ -26,18 +26,21 @@ def page_templates(pages: DataFrame) -> DataFrame:
 def with_templates(pages: DataFrame) -> DataFrame:
     """``pages`` with ``templates``, in the page's own row; empty where there is none."""
     def shape(t: Column) -> Column:
-        ps = F.filter(t["ps"], lambda p: p["piece"] > 0)
+        keys = F.transform(t["params"], lambda p: p["key"])
 
         def as_map(value) -> Column:
-            return F.map_from_entries(F.transform(ps, lambda p: F.struct(p["key"], value(p["raw"]))))
+            return F.map_from_arrays(keys, F.transform(t["params"], value))
 
         return F.struct(
-            t["name"].alias("name"), t["depth"].alias("depth"), t["start"].alias("start"), t["end"].alias("end"),
-            F.transform(ps, lambda p: p["key"]).alias("keys"),
-            as_map(T.strip).alias("raw"), as_map(T.normalize).alias("norm"), as_map(T.plain).alias("plain"),
+            t["name"].alias("name"), t["depth"].alias("depth"), t["start"].alias("start"), t["end"].alias("end"), keys.alias("keys"),
+            as_map(lambda p: p["value"]).alias("raw"),
+            as_map(lambda p: F.when(p["marked"], T.normalize(p["raw"])).otherwise(p["value"])).alias("norm"),
+            as_map(lambda p: F.when(p["marked"], T.plain(p["raw"])).otherwise(p["value"])).alias("plain"),
         )
 
-    return pages.withColumn("templates", cutting.in_visiting_order("text")).withColumn("templates", F.transform("templates", shape))
+    # through a generator, so that filters on fields are not pushed below and repeat the values' rules
+    built = F.struct(F.transform("cut", shape).alias("templates"))
+    return pages.withColumn("cut", cutting.in_visiting_order("text")).select(*pages.columns, F.inline_outer(F.array(built)))
 
 
 def pick(params: Column, aliases: Sequence[str]) -> Column:

@@ -36,3 +36,11 @@ def test_page_without_templates_and_null_text(spark, pages):
     found = {r.page_key: r.templates for r in page_model(p, with_sections=False).collect()}
     assert found["p0"] == [] and found["n"] == []
     assert [(t["name"], t["keys"], t["raw"]) for t in found["p1"]] == [("a", ["", "k"], {"": "e", "k": "2"})]
+
+
+def test_a_filter_on_a_field_does_not_repeat_the_rules(pages):
+    p = pages("{{a|b='''c'''}}", "{{a|b=d}}")
+    model = page_model(p, with_sections=False).filter(F.element_at(F.get("templates", F.lit(0))["plain"], "b") == "c")
+    assert [r.page_key for r in model.collect()] == ["p0"]
+    plan = model._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "regexp" in line.lower()]
