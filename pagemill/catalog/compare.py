@@ -14,7 +14,7 @@ from pagemill.operators import compare, intervals, links, nested, quality, scan,
 from pagemill.operators import lines as LN
 from pagemill.operators import versions as V
 from pagemill.operators.pages import page_model
-from pagemill.session import table
+from pagemill.session import spread, table
 
 CHUNK = 65536
 DEPTH_SQL = "case l_linenumber % 6 when 0 then 6 else l_linenumber % 6 end"
@@ -492,7 +492,7 @@ def list_fields(spark, folder):
     listed = links.split_list(raw)
     merged = links.merge_lists(listed, F.array("p_brand", "p_type", F.lit("描述")), F.array(F.lit("描述")))
     related = links.related_names(fill("[[<b>#part|x]] [[a:b]] [[Y]] [[<b>]]", b="p_brand"))
-    return table(spark, folder, "part").select(
+    return spread(table(spark, folder, "part"), "p_partkey").select(
         F.col("p_partkey").alias("page_id"), joined(listed).alias("listed"), joined(merged).alias("merged"), joined(related).alias("related"),
         D.first_item(fill("\n * N<s>\n* z", s="p_size")).alias("first_item"), D.labelled(fill("x\n来源：\n来源： <t>\n", t="p_type"), ("来源", "获取")).alias("labelled"))
 
@@ -507,7 +507,7 @@ def text_cleanup(spark, folder):
     def of(pattern: str):
         return fill(pattern, n="p_name", b="p_brand", t="p_type", s="p_size")
 
-    return table(spark, folder, "part").select(
+    return spread(table(spark, folder, "part"), "p_partkey").select(
         F.col("p_partkey").alias("page_id"), T.plain(of("'''<n>''' {{图标|a|<b>}}[[File:x.png]]<ref>{{q|{{z}}}}</ref><!-- c -->")).alias("plain"),
         T.clean_field(of("「{{注音|<n>|R<s>}}」")).alias("field"), T.clean_field(of("{{注音|<n>|R<s>}}"), "nickname").alias("nickname"),
         T.clean_field(of("{{黑幕|<n>（R<s>）}}"), "nickname").alias("spoiler_nick"), T.clean_breaks(of("<n><br><br><br><br><t>")).alias("breaks"),
@@ -524,7 +524,7 @@ def display_text(spark, folder):
     deep = fill("{{颜色|red|{{注音|{{颜色|描述=<n>|a}}|x}} {{黑幕|<br>}}}} <b>'''[[x|<t>]]'''</b><ref>no</ref> {{!}}[[File:a.png]]", n="p_name", br="p_brand", t="p_type")
     odd = F.concat(F.lit("{{odd|"), "p_name", F.lit("}}<br/><span class=\"x\">"), "p_brand", F.lit("</span>{{颜色|1|}}"))
     shown = T.display(F.when(F.col("p_size") % 2 == 0, deep).otherwise(odd))
-    out = table(spark, folder, "part").select(F.col("p_partkey").alias("page_id"), shown.alias("shown"))
+    out = spread(table(spark, folder, "part"), "p_partkey").select(F.col("p_partkey").alias("page_id"), shown.alias("shown"))
     return out.withColumn("unknown", T.has_unknown_markup(F.col("shown")))
 
 

@@ -107,10 +107,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition short rows by ``keys`` into ``spark.sql.shuffle.partitions`` parts before long rules read them.
+
+    Files are cut by bytes, so a table of some MB would be one task however long its rules take."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def by_page(pages: DataFrame) -> DataFrame:
     """Hash-partition by ``page_key`` into ``spark.sql.shuffle.partitions`` parts.
 
     The number is given on purpose: reading markup costs far more time per byte than a plain
     shuffle, so these partitions must not be merged by their size. All page tables share it, and
     joins and windows that start with ``page_key`` find their rows in place."""
-    return pages.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")), "page_key")
+    return spread(pages, "page_key")
