@@ -11,7 +11,7 @@ from pagemill.functions import text as T
 from pagemill.functions import titles as TT
 from pagemill.operators import chains, compare, context, quality, scan
 from pagemill.operators import records as R
-from pagemill.session import table
+from pagemill.session import spread, table
 from pagemill.sources import payloads, store
 
 
@@ -266,10 +266,11 @@ union all select p_partkey, '7', p_brand from part where p_size % 3 = 0
 """)
 def reward_summary(spark, folder):
     """Integers add up; any other amount replaces, and is replaced."""
-    part = table(spark, folder, "part")
+    part = spread(table(spark, folder, "part"), "p_partkey")
     odd = part.filter("p_size % 3 <> 0").select("p_partkey", F.posexplode(R.rewards(fill("{{图标|原石|<s>}}{{图标|石|x}}{{图标|原石|5}}{{图标|原石|<s>}}{{图标|石|1}}{{图标|石|<b>}}", s="p_size", b="p_brand"))).alias("pos", "r"))
     reset = part.filter("p_size % 3 = 0").select("p_partkey", F.posexplode(R.rewards(fill("{{图标|原石|<s>}}{{图标|原石|some}}{{图标|原石|3}}{{图标|原石|4}}{{图标|石|<b>}}", s="p_size", b="p_brand"))).alias("pos", "r"))
     flat = odd.unionByName(reset).select("p_partkey", "pos", F.col("r.name").alias("name"), F.col("r.amount").alias("amount"))
+    flat = spread(flat, "p_partkey", "name")  # both aggregates and their join find the rows in place, and what was parsed is read twice
     folded = R.reward_summary(flat, ["p_partkey"], F.col("pos"), "name", "amount")
     return folded.groupBy("p_partkey").agg(
         F.max(F.when(F.col("name") == "原石", F.col("amount"))).alias("total"), F.max(F.when(F.col("name") == "石", F.col("amount"))).alias("last_amount"))
