@@ -179,7 +179,7 @@ def character_entries(pages: DataFrame) -> DataFrame:
     An entry is a line with a quest icon, else one with two links; an icon's own character goes before the one that waits."""
     line = F.posexplode(F.split("text", "\n")).alias("line_no", "raw")
     rows = pages.select("page_key", "text").transform(by_page).select("page_key", line).withColumn("raw", T.strip("raw"))
-    marks = F.char_length(F.regexp_extract("raw", r"^(=+)\s*(.*?)\s*\1\s*$", 1))
+    marks = F.when(F.col("raw").startswith("="), F.char_length(F.regexp_extract("raw", r"^(=+)\s*(.*?)\s*\1\s*$", 1))).otherwise(0)
     rows = rows.withColumn("level", marks).withColumn("heading", F.when(marks > 0, T.plain(F.regexp_extract("raw", r"^(=+)\s*(.*?)\s*\1\s*$", 2))))
     here = Window.partitionBy("page_key").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("page_key").orderBy("line_no").rowsBetween(Window.unboundedPreceding, -1)
@@ -189,8 +189,9 @@ def character_entries(pages: DataFrame) -> DataFrame:
     rows = rows.withColumn("region", F.coalesce(F.last(F.when(lvl == 3, heading), ignorenulls=True).over(here), F.lit("")))
     rows = rows.withColumn("quest_type", F.coalesce(F.last(F.when(lvl == 3, "传说任务").when(kind, heading), ignorenulls=True).over(here), F.lit("传说任务")))
     rows = rows.withColumn("group_name", F.coalesce(F.last(F.when((lvl == 3) | kind, "").when(lvl >= 4, heading), ignorenulls=True).over(here), F.lit("")))
-    named = F.regexp_extract("raw", r"(?i)(?:File|Image|文件)\s*:\s*任务-[^-|\]]+-([^.\]|]+)\.(?:png|jpe?g|gif|svg|webp)", 1)
-    targets = F.regexp_extract_all("raw", F.lit(r"\[\[([^\]|]+(?:\|[^\]]+)?)\]\]"), F.lit(1))
+    # patterns run on lines that hold the signs they begin with
+    named = F.when(F.col("raw").contains("任务-"), F.regexp_extract("raw", r"(?i)(?:File|Image|文件)\s*:\s*任务-[^-|\]]+-([^.\]|]+)\.(?:png|jpe?g|gif|svg|webp)", 1)).otherwise("")
+    targets = F.when(F.col("raw").contains("[["), F.regexp_extract_all("raw", F.lit(r"\[\[([^\]|]+(?:\|[^\]]+)?)\]\]"), F.lit(1))).otherwise(F.array().cast("array<string>"))
 
     def label(link: Column) -> Column:
         return F.when(link.contains("|"), F.substring_index(link, "|", -1)).otherwise(link)

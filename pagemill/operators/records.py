@@ -142,7 +142,9 @@ def records_map(records: Column) -> Column:
 def icons(raw: Column) -> Column:
     """Positional arguments of the icon templates inside a value."""
     bodies = F.regexp_extract_all(raw, F.lit(r"\{\{\s*图标\s*\|([^{}]*)\}\}"), F.lit(1))
-    return F.transform(bodies, lambda b: F.transform(F.split(b, r"\|"), lambda x: T.plain(F.regexp_replace(x, r"^\s*\d+\s*=", ""))))
+    ruled = lambda b: F.transform(F.split(b, r"\|"), lambda x: T.plain(F.regexp_replace(x, r"^\s*\d+\s*=", "")))
+    # without a sign that a rule looks for, arguments differ from their text by single blanks at most
+    return F.transform(bodies, lambda b: F.when(b.rlike(T.MARKED.replace("|", "", 1)), ruled(b)).otherwise(F.split(F.btrim(b), r" ?\| ?")))
 
 
 def rewards(raw: Column) -> Column:
