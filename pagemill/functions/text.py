@@ -42,7 +42,11 @@ def line_breaks(value: Column | str) -> Column:
 
 
 def _guarded(value: Column | str, pattern: str, body: Callable[[Column], Column]) -> Column:
-    """Run a chain of rules only on texts that hold a character the rules look for."""
+    """Run a chain of rules only on texts that hold a character the rules look for.
+
+    A named column is looked at before the rules bind it, which compiled code does; other values are worked out once."""
+    if isinstance(value, str):
+        return F.when(F.col(value).rlike(pattern), let(F.col(value), body)).otherwise(strip(value))
     return let(col(value), lambda v: F.when(v.rlike(pattern), body(v)).otherwise(strip(v)))
 
 
