@@ -12,7 +12,7 @@ from pagemill.operators import story as Y
 from pagemill.operators.pages import page_model
 from pagemill.plans import families as E
 from pagemill.plans import recovery
-from pagemill.session import table
+from pagemill.session import table, written
 
 # Lines of a turn without the characters that are markup.
 CLEAN_SQL = r"regexp_replace(text, '[{}\[\]<>|=&''~]', ' ', 'g')"
@@ -108,7 +108,7 @@ def issue_ledger(spark, folder):
     """Every issue with its source; a line with an unknown template keeps its place in the ledger and no unit."""
     pages = render(table(spark, folder, "customer"), "c_custkey", "c_name",
                    "== 剧情 ==\n甲：{{odd|<name>}} more\ntold <seg>\n乙：said {{黑幕|n<nation>}}\n丙：plain", name="c_name", seg="c_mktsegment", nation="c_nationkey")
-    found = Y.read_lines(pages)
+    found = written(Y.read_lines(pages))
     listed = recovery.issues(found, recovery.route(pages.withColumn("missing", F.lit(False))))
     states = recovery.unit_regions(found)
     return listed.join(states, ["page_key", "start", "end"]).select(F.col("page_key").alias("page_id"), "rule", "raw", "disposition")

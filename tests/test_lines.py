@@ -18,3 +18,7 @@ def test_blank_lines_drop_out_before_the_rules(pages):
     lines = story.logical_lines(story._pieces(story.containers(pages(PAGE)))).orderBy("at").collect()
     assert [(r["raw"], r["after_break"], r["branch"]) for r in lines] == [("甲：a", False, []), ("乙：b", True, []), ("丙：c", False, ["可选 x"])]
     assert [PAGE[r["at"]:r["at"] + len(r["raw"])] for r in lines] == ["甲：a", "乙：b", "丙：c"]
+
+
+def test_issue_ledger_reads_lines_once(spark):
+    assert "ArrowEvalPython" not in plan(entry.queries()["issue_ledger"](spark, FOLDER))
