@@ -96,7 +96,7 @@ union all select 'replay_failures', 'all', 0
 def recovery_summary(spark, folder):
     """G1, M2 (text replay): counts of a run and the number of units that do not replay from their source."""
     pages = run_pages(spark, folder)
-    return recovery.summary(Y.units(pages), pages)
+    return recovery.summary(written(Y.units(pages)), pages)
 
 
 @query("""

@@ -22,3 +22,7 @@ def test_blank_lines_drop_out_before_the_rules(pages):
 
 def test_issue_ledger_reads_lines_once(spark):
     assert "ArrowEvalPython" not in plan(entry.queries()["issue_ledger"](spark, FOLDER))
+
+
+def test_recovery_summary_reads_units_once(spark):
+    assert "ArrowEvalPython" not in plan(entry.queries()["recovery_summary"](spark, FOLDER))
