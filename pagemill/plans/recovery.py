@@ -70,7 +70,7 @@ def dependencies(pages: DataFrame) -> DataFrame:
 
     ``pages``: page_key, title, text; with ``called`` (``story.with_called``) calls by bare names count too."""
     redirects = pages.withColumn("target", B.redirect_target(F.col("text"))).filter("target <> ''").select("title", "target", F.lit("redirect").alias("kind"))
-    asked = Y.calls(pages)
+    asked = cut_lineage(Y.calls(pages))
     inner = Y.calls(Y.called_bodies(pages, asked))
     calls = asked.filter(~Y.is_template_page(F.col("consumer"))).unionByName(inner).select(F.col("consumer").alias("title"), "target", "kind")
     voices = Y.voice_pages(pages).select(F.col("consumer").alias("title"), "target", F.lit("character_voice").alias("kind"))

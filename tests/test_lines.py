@@ -26,3 +26,10 @@ def test_issue_ledger_reads_lines_once(spark):
 
 def test_recovery_summary_reads_units_once(spark):
     assert "ArrowEvalPython" not in plan(entry.queries()["recovery_summary"](spark, FOLDER))
+
+
+def test_dependency_kinds_finds_called_names_once(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(recovery, "dependencies", lambda pages: given.append(pages) or pages.selectExpr("title root", "title at", "title target", "title kind", "1 depth", "title status"))
+    entry.queries()["dependency_kinds"](spark, FOLDER)
+    assert "ArrowEvalPython" not in plan(given[0])
