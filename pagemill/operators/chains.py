@@ -86,11 +86,32 @@ def group_index(records: DataFrame, index: DataFrame, *described_by: str) -> Dat
                          *[F.col(f"f.{c}").alias(c) for c in described_by])
 
 
+def distances(step: DataFrame) -> DataFrame:
+    """root, at, depth: every other page that a page with steps leads to, at its least depth (1 or more). ``step``: at, target.
+
+    Each round doubles the depth: what lies up to twice as far is reached by a page that lies exactly so far, so the walks of
+    these pages are put behind their own. A walk of n steps takes log2(n) rounds."""
+    pairs = cut_lineage(step.filter("at <> target").select(F.col("at").alias("root"), F.col("target").alias("at"), F.lit(1).alias("depth")).distinct())
+    span = 1
+    while True:
+        ends = pairs.filter(F.col("depth") == span).select("root", F.col("at").alias("via"))
+        onward = ends.join(pairs.select(F.col("root").alias("via"), "at", "depth"), "via").filter("root <> at")
+        farther = onward.groupBy("root", "at").agg((F.min("depth") + span).cast("int").alias("depth"))
+        newest = cut_lineage(farther.join(pairs.select("root", "at"), ["root", "at"], "left_anti"))
+        if newest.isEmpty():
+            return pairs
+        pairs, span = cut_lineage(pairs.unionByName(newest)), 2 * span
+
+
 def reached(roots: DataFrame, step: DataFrame) -> DataFrame:
     """root, at, depth: every page that a root leads to, at its least depth. A page met before is not followed again, so walks end.
 
     ``roots``: title, the name of the root where it is another (``root``) and a page it never enters (``home``). ``step``: at, target of
-    the dependencies to follow. Each round adds the pairs of one more step."""
+    the dependencies to follow. Where the roots are pages with no page to keep out of, rounds double the depth (``distances``); otherwise each
+    round adds the pairs of one more step."""
+    if "root" not in roots.columns and "home" not in roots.columns:
+        begun = cut_lineage(roots.select(F.col("title").alias("root"), F.col("title").alias("at"), F.lit(0).alias("depth")).distinct())
+        return begun.unionByName(distances(step).join(begun.select("root"), "root", "left_semi"))
     root, home = F.col("root" if "root" in roots.columns else "title"), F.col("home") if "home" in roots.columns else F.lit(None).cast("string")
     begun = roots.select(root.alias("root"), F.col("title").alias("at"), F.lit(0).alias("depth"), home.alias("home")).distinct()
     homes = cut_lineage(begun.filter("home is not null").select("root", "home").distinct()) if "home" in roots.columns else None
