@@ -14,11 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.functions import text as T
-from pagemill.operators import spans as S
+from pagemill.operators import cutting
 from pagemill.session import by_page
 
 # Which argument of an inline template is shown, the first one given; arguments that only set its style; templates shown
-# or hidden as a whole; tags whose contents are shown; link prefixes without text; attributes of #tag templates; tags that need no end.
+# or hidden as a whole; tags whose contents are shown; link prefixes without text; attributes of #tag templates.
 SHOWN_ARGUMENT = {
     "颜色": ("描述", "内容", "2", "3"), "折叠": ("内容", "2"), "折叠框": ("内容", "2"), "注音": ("1",), "黑幕": ("1",), "任务描述": ("1", "描述"), "图标": ("1",), "icon": ("1",),
 }
@@ -28,30 +28,10 @@ HIDDEN_TEMPLATE = ("!", "切换板")
 SHOWN_TAG = tuple(T.VISIBLE_TAGS.split("|"))
 NAMESPACES = ("file:", "image:", "category:", "文件:", "分类:")
 TAG_ATTRIBUTE = ("style", "class", "id", "color", "size", "align", "width", "height")
-VOID_TAG = ("br", "hr", "wbr", "img", "references")
 SPOILER = "黑幕"
 # Ways that a reader follows and the search for spoilers does not.
 ICONS = ("图标", "icon")
 
-INLINE = (
-    r"<!--.*?-->|<nowiki>.*?</nowiki>|</?[A-Za-z][^<>]*>|'{2,5}|^-{4,}|^[*#:;]+|^\{\|.*?^\|\}"
-)
-HEADING = r"^={1,6}[^\n]+?={1,6}[ \t]*$"
-OUTER_LINK = r"\[(?:https?:)?//[^\s\[\]]+[ \t]+[^\[\]\n]*\]"
-
-SPAN = "page_key, start, end, disposition, kind, name, key"
-
-
-def matches(pages: DataFrame, pattern: str) -> DataFrame:
-    """page_key, start, end, found: every match of ``pattern`` in the texts, from left to right."""
-    whole = F.regexp_extract_all("text", F.lit(rf"(?sm).*?(?:{pattern}|\z)"), F.lit(0))
-    tail = rf"(?sm)({pattern})\z"
-    parts = F.transform(whole, lambda p: F.struct(F.char_length(p).alias("n"), F.regexp_extract(p, tail, 1).alias("found")))
-    rows = pages.select("page_key", "text").transform(by_page).select("page_key", F.posexplode(parts).alias("i", "p"))
-    to_here = Window.partitionBy("page_key").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.select("page_key", F.sum("p.n").over(to_here).alias("end"), "p.found").filter("found <> ''")
-    return rows.select("page_key", (F.col("end") - F.char_length("found")).alias("start"), "end", "found")
-
 
 def span(start: Column | str, end: Column | str, disposition: str, kind: str, name: Column | None = None, key: Column | None = None) -> Column:
     text = lambda c: F.lit(None).cast("string") if c is None else c
@@ -63,152 +43,84 @@ def mark(start: Column | str, end: Column | str) -> Column:
     return span(start, end, "metadata", "markup")
 
 
-def flat(rows: DataFrame, spans: Column) -> DataFrame:
-    return rows.select("page_key", F.explode(F.array_compact(spans)).alias("s")).select("page_key", "s.*").filter("start < end")
-
-
-def tag_pairs(tags: DataFrame) -> DataFrame:
-    """page_key, start, open_end, close_start, end, tag: opening tags with the closing tag of their depth."""
-    order = Window.partitionBy("page_key", "tag").orderBy("start")
-    to_here = order.rowsBetween(Window.unboundedPreceding, 0)
-    rows = tags.withColumn("step", F.when(F.col("closing"), -1).otherwise(1)).withColumn("sum", F.sum("step").over(to_here))
-    rows = rows.withColumn("low", F.least(F.lit(0), F.min("sum").over(to_here)))
-    # an end without a beginning takes nothing away
-    rows = rows.withColumn("before", F.col("sum") - F.col("step") - F.coalesce(F.lag("low").over(order), F.lit(0)))
-    rows = rows.withColumn("level", F.when(F.col("closing"), F.col("before")).otherwise(F.col("before") + 1)).filter("level > 0")
-    level = Window.partitionBy("page_key", "tag", "level").orderBy("start")
-    rows = rows.withColumns({"then": F.lead("closing").over(level), "close_start": F.lead("start").over(level), "close_end": F.lead("end").over(level)})
-    return rows.filter("not closing and then").select("page_key", "start", F.col("end").alias("open_end"), "close_start", F.col("close_end").alias("end"), "tag")
-
-
-def _tags(found: DataFrame) -> DataFrame:
-    begins = lambda x: F.col("found").startswith(x)
-    opaque = begins("<!--") | (F.lower("found").startswith("<nowiki>") & (F.char_length("found") > len("<nowiki>")))
-    return found.filter(begins("<") & ~opaque).withColumn("tag", F.lower(F.regexp_extract("found", r"^</?([A-Za-z][A-Za-z0-9]*)", 1)))
-
-
-def _alone() -> Column:
-    return F.col("found").endswith("/>") | F.col("tag").isin(*VOID_TAG)
-
-
-def paired_tags(pages: DataFrame) -> DataFrame:
-    """page_key, start, open_end, close_start, end, tag: the tags of the texts that are opened and closed."""
-    tags = _tags(matches(pages, INLINE))
-    return tag_pairs(tags.filter(~_alone()).withColumn("closing", F.col("found").startswith("</")))
-
-
-def inline_ranges(pages: DataFrame) -> DataFrame:
-    """Comments, tags, quotes, list marks, rules and tables."""
-    found = matches(pages, INLINE)
-    begins = lambda x: F.col("found").startswith(x)
-    comment, raw, table = begins("<!--"), F.lower("found").startswith("<nowiki>") & (F.char_length("found") > len("<nowiki>")), begins("{|")
-    single = F.when(comment, F.array(span("start", "end", "metadata", "comment"))).when(
-        raw, F.array(mark("start", F.col("start") + len("<nowiki>")), mark(F.col("end") - len("</nowiki>"), "end"))).when(
-        table, F.array(span("start", "end", "metadata", "table"))).when(begins("-"), F.array(span("start", "end", "metadata", "rule"))).when(~begins("<"), F.array(mark("start", "end")))
-    shown = F.col("tag").isin(*SHOWN_TAG)
-    lone = _tags(found).filter(_alone()).select("page_key", F.explode(F.array(F.when(shown, mark("start", "end")).otherwise(span("start", "end", "metadata", "tag", F.col("tag"))))).alias("s"))
-    around = F.when(shown, F.array(mark("start", "open_end"), mark("close_start", "end"))).otherwise(F.array(span("start", "end", "metadata", "tag", F.col("tag"))))
-    return flat(found, single).unionByName(lone.select("page_key", "s.*")).unionByName(flat(paired_tags(pages), around))
-
-
-def line_ranges(pages: DataFrame) -> DataFrame:
-    """The signs around headings and the addresses of labelled outer links."""
-    size = F.least(*[F.char_length(F.regexp_extract("found", p, 1)) for p in ("^(=+)", r"(=+)[ \t]*$")])
-    tail = F.char_length("found") - F.char_length(F.rtrim("found"))
-    headings = matches(pages, HEADING).withColumn("size", size)
-    head = F.array(mark("start", F.col("start") + F.col("size")), mark(F.col("end") - F.col("size") - tail, "end"))
-    address = F.char_length(F.regexp_extract("found", r"^\[\S+[ \t]+", 0))
-    links = flat(matches(pages, OUTER_LINK), F.array(mark("start", F.col("start") + address), mark(F.col("end") - 1, "end")))
-    return flat(headings, head).unionByName(links)
-
-
-def link_rows(pages: DataFrame, tokens: DataFrame) -> DataFrame:
-    """page_key, start, end, bar, begin: links with the place of their label's bar and how their target begins, in lower case."""
-    links = tokens.filter((F.col("family") == "l") & F.col("opened")).select("page_key", "start", F.col("close_end").alias("end"))
-    free = F.col("l_owner").isNotNull() & (F.col("t_owner").isNull() | (F.col("t_owner") < F.col("l_owner")))
-    bars = tokens.filter((F.col("kind") == "|") & free).groupBy("page_key", F.col("l_owner").alias("start")).agg(F.min(F.col("end") - 1).alias("bar"))
-    grouped = links.join(bars, ["page_key", "start"], "left").groupBy("page_key").agg(F.collect_list(F.struct("start", "end", "bar")).alias("ls"))
-    joined = pages.select("page_key", "text").transform(by_page).join(grouped, "page_key")
-    title = lambda x: F.lower(F.ltrim(F.substring(F.col("text"), (x["start"] + 3).cast("int"), F.least(F.lit(12), x["end"] - x["start"] - 4).cast("int"))))
-    return joined.select("page_key", F.inline(F.transform("ls", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["bar"].alias("bar"), title(x).alias("begin")))))
-
-
-def link_ranges(pages: DataFrame, tokens: DataFrame) -> DataFrame:
+def constructs(pages: DataFrame) -> DataFrame:
+    """One row per construct, template pieces one row each: page_key, size (of the text), sort, start, end, inner_start, inner_end, name, piece, key, last, before, vstart, vend, followed."""
+    rows = pages.select("page_key", "text").transform(by_page).select("page_key", F.char_length("text").cast("bigint").alias("size"), cutting.constructs("text").alias("cs"))
+    rows = rows.select("page_key", "size", F.inline("cs"))
+    # the argument of a template that the display rules follow
+    name, wanted = F.col("name"), F.lit(None).cast("array<string>")
+    for template, keys in SHOWN_ARGUMENT.items():
+        wanted = F.when(name == template, F.array(*map(F.lit, keys))).otherwise(wanted)
+    built = F.lower(F.regexp_extract("name", "^#tag:(.*)$", 1)).isin(*SHOWN_TAG)
+    wanted = F.when(name.startswith("#tag:") & built, F.array(F.lit("1"))).otherwise(wanted)
+    chosen = T.let(F.transform("ps", lambda p: p["key"]), lambda present: F.get(F.filter(wanted, lambda k: F.array_contains(present, k)), F.lit(0)))
+    rows = rows.withColumn("chosen", F.when(F.col("sort") == "template", chosen)).select(*[c for c in rows.columns if c != "ps"], "chosen", F.inline_outer("ps"))
+    return rows.withColumn("followed", F.coalesce((F.col("key") == F.col("chosen")) & F.col("final"), F.lit(False))).drop("chosen", "final")
+
+
+def ranges() -> Column:
+    """The ranges that one row of ``constructs`` gives."""
+    sort, tag = F.col("sort"), F.col("name")
+    whole = lambda kind, name=None: F.array(span("start", "end", "metadata", kind, name))
+    around = F.array(mark("start", "inner_start"), mark("inner_end", "end"))
+    shown = tag.isin(*SHOWN_TAG)
+    return (
+        F.when(sort == "template", template_ranges()).when(sort == "link", link_ranges()).when(sort.isin("comment", "table", "rule"), F.array(F.struct(
+            "start", "end", F.lit("metadata").alias("disposition"), sort.alias("kind"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("key"))))
+        .when(sort == "lone", F.when(shown, F.array(mark("start", "end"))).otherwise(whole("tag", tag))).when(sort == "pair", F.when(shown, around).otherwise(whole("tag", tag)))
+        .when(sort == "mark", F.array(mark("start", "end"))).when(sort.isin("raw", "heading", "outer"), around))
+
+
+def link_ranges() -> Column:
     """Brackets, targets behind labels, and links that show nothing."""
-    rows = link_rows(pages, tokens)
     silent = F.lit(False)
     for prefix in NAMESPACES:
-        silent = silent | F.col("begin").startswith(prefix)
-    inner = F.col("start") + 2
-    labelled = F.array(mark("start", inner), span(inner, "bar", "metadata", "link_target"), mark("bar", F.col("bar") + 1), mark(F.col("end") - 2, "end"))
+        silent = silent | F.col("name").startswith(prefix)
+    inner, bar = F.col("start") + 2, F.col("inner_start")
+    labelled = F.array(mark("start", inner), span(inner, bar, "metadata", "link_target"), mark(bar, bar + 1), mark(F.col("end") - 2, "end"))
     bare = F.array(mark("start", inner), mark(F.col("end") - 2, "end"))
-    return flat(rows, F.when(silent, F.array(span("start", "end", "metadata", "media"))).when(F.col("bar").isNotNull(), labelled).otherwise(bare))
-
-
-def arguments(pages: DataFrame, tokens: DataFrame) -> DataFrame:
-    """All pieces of all templates, each with the end of the one before it and whether the display rules follow it."""
-    pieces = S.all_pieces(pages, tokens)
-    whole = Window.partitionBy("page_key", "tstart")
-    rows = pieces.withColumns({
-        "tend": F.max("tend").over(whole), "present": F.collect_set("key").over(whole), "before": F.lag("vend").over(whole.orderBy("piece")),
-        "last": F.lead("piece").over(whole.orderBy("piece")).isNull()})
-    wanted = F.lit(None).cast("array<string>")
-    for name, keys in SHOWN_ARGUMENT.items():
-        wanted = F.when(F.col("name") == name, F.array(*map(F.lit, keys))).otherwise(wanted)
-    built = F.lower(F.regexp_extract("name", "^#tag:(.*)$", 1)).isin(*SHOWN_TAG)
-    wanted = F.when(F.col("name").startswith("#tag:") & built, F.array(F.lit("1"))).otherwise(wanted)
-    chosen = F.get(F.filter(wanted, lambda k: F.array_contains("present", k)), F.lit(0))
-    rows = rows.withColumn("followed", F.coalesce((F.col("key") == chosen) & (F.col("piece") == F.col("last_piece")), F.lit(False)))
-    return rows.drop("present")
+    return F.when(silent, F.array(span("start", "end", "metadata", "media"))).when(bar.isNotNull(), labelled).otherwise(bare)
 
 
-def template_ranges(found: DataFrame) -> DataFrame:
-    """Names, signs and arguments of templates. ``found``: rows of ``arguments``."""
+def template_ranges() -> Column:
+    """Names, signs and arguments of templates."""
     name, first = F.col("name"), F.col("piece") == 0
     style = F.lit(False)
     for template, keys in STYLE_ARGUMENT.items():
         style = style | ((name == template) & F.col("key").isin(*keys))
     style = style | (name.startswith("#tag:") & F.col("key").isin(*TAG_ATTRIBUTE))
-    kept = lambda disposition, kind: F.array(span("tstart", "tend", disposition, kind, name))
+    kept = lambda disposition, kind: F.array(span("start", "end", disposition, kind, name))
     value = F.when(F.col("followed"), F.array(mark("before", "vstart"))).otherwise(
         F.array(mark("before", "vstart"), F.when(style, span("vstart", "vend", "metadata", "argument", name, F.col("key"))).otherwise(
             span("vstart", "vend", "unsupported", "argument", name, F.col("key")))))
-    opened = F.array(mark("tstart", "vend"))
-    closed = F.when(F.col("last"), F.array(mark(F.col("tend") - 2, "tend"))).otherwise(F.slice(opened, 1, 0))
-    own = F.when(name.isin(*SHOWN_TEMPLATE), F.when(first, kept("visible", "template"))).when(
+    opened = F.array(mark("start", "vend"))
+    closed = F.when(F.col("last"), F.array(mark(F.col("end") - 2, "end"))).otherwise(F.slice(opened, 1, 0))
+    return F.when(name.isin(*SHOWN_TEMPLATE), F.when(first, kept("visible", "template"))).when(
         name.isin(*HIDDEN_TEMPLATE), F.when(first, kept("metadata", "template"))).when(
-        name.startswith("{"), F.when(first, F.array(span("tstart", F.col("tend") + 1, "unsupported", "argument", name)))).otherwise(
+        name.startswith("{"), F.when(first, F.array(span("start", F.col("end") + 1, "unsupported", "argument", name)))).otherwise(
         F.concat(F.when(first, opened).otherwise(value), closed))
-    return flat(found.filter("tstart is not null"), own)
-
-
-def outermost(ranges: DataFrame) -> DataFrame:
-    """The ranges that no other holds; where two cross, the later one begins at the end of the earlier."""
-    order = Window.partitionBy("page_key").orderBy("start", F.col("end").desc(), "disposition", "kind")
-    reach = F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return ranges.withColumn("start", F.greatest("start", reach)).filter("start < end")
 
 
-def hidden_and_marks(pages: DataFrame, tokens: DataFrame, found: DataFrame) -> DataFrame:
-    return template_ranges(found).unionByName(link_ranges(pages, tokens)).unionByName(inline_ranges(pages)).unionByName(line_ranges(pages))
+def flat(rows: DataFrame, spans: Column, *kept: str) -> DataFrame:
+    return rows.select("page_key", *kept, F.inline(F.array_compact(spans)))
 
 
 def projection(pages: DataFrame) -> DataFrame:
     """K9: page_key, start, end, disposition (visible, metadata, unsupported), kind, name, key: the leaf spans of every fragment.
 
-    ``name`` and ``key``: template and argument of an argument or a shown template, tag of a tag. Spans of one fragment follow one another from 0 to its length."""
-    tokens = S.markup(pages)
-    ranges = outermost(hidden_and_marks(pages, tokens, arguments(pages, tokens)))
-    lengths = pages.select("page_key", F.char_length("text").cast("bigint").alias("size")).filter("size > 0").transform(by_page)
-    edge = lambda at: lengths.select("page_key", at.alias("start"), at.alias("end"), *[F.lit(None).cast("string").alias(c) for c in ("disposition", "kind", "name", "key")])
+    ``name`` and ``key``: template and argument of an argument or a shown template, tag of a tag. Spans of one fragment follow one another from 0 to its length.
+    Of ranges the one that no other holds stays; where two cross, the later one begins at the end of the earlier. What lies before a range, or
+    before the end of the text, and in none is visible."""
+    end_of_text = F.array(F.struct("start", "end", *[F.lit(None).cast("string").alias(c) for c in ("disposition", "kind", "name", "key")]))
+    rows = flat(constructs(pages), F.when(F.col("sort") == "end", end_of_text).otherwise(ranges()), "size").filter("start < end or disposition is null")
+    order = Window.partitionBy("page_key").orderBy("start", F.col("end").desc(), "disposition", "kind").rowsBetween(Window.unboundedPreceding, -1)
     # ranges never pass the end of their fragment, but for a sign that only looks like one
-    rows = ranges.join(lengths, "page_key").withColumn("end", F.least("end", "size")).filter("start < end").drop("size")
-    rows = rows.unionByName(edge(F.lit(0).cast("bigint"))).unionByName(edge(F.col("size")))
-    following = F.lead("start").over(Window.partitionBy("page_key").orderBy("start", "end"))
-    rows = rows.withColumn("following", following)
-    seen = F.when(F.col("end") < F.col("following"), span("end", "following", "visible", "text"))
-    own = F.when(F.col("disposition").isNotNull(), F.struct("start", "end", "disposition", "kind", "name", "key"))
-    return flat(rows, F.array(own, seen))
+    rows = rows.withColumn("stop", F.least("end", "size"))
+    rows = rows.withColumn("reach", F.coalesce(F.max("stop").over(order), F.lit(0).cast("bigint")))
+    seen = F.when(F.col("reach") < F.col("start"), span("reach", "start", "visible", "text"))
+    begin = F.greatest("start", "reach")
+    own = F.when(F.col("disposition").isNotNull() & (begin < F.col("stop")), F.struct(begin.alias("start"), F.col("stop").alias("end"), "disposition", "kind", "name", "key"))
+    return flat(rows, F.array(seen, own))
 
 
 def spoiler_nodes(pages: DataFrame) -> DataFrame:
@@ -216,14 +128,17 @@ def spoiler_nodes(pages: DataFrame) -> DataFrame:
 
     A spoiler inside a value that is not followed is left out; so is one inside another spoiler, which the outer one shows. Headings,
     icons and labels of outer links are no way to a spoiler."""
-    tokens = S.markup(pages)
-    found = arguments(pages, tokens)
-    closed = flat(found.filter(F.col("name").isin(*ICONS) & (F.col("piece") == 0)), F.array(span("tstart", "tend", "metadata", "icon")))
-    lines = [flat(matches(pages, p), F.array(span("start", "end", "metadata", "line"))) for p in (HEADING, OUTER_LINK)]
-    hidden = hidden_and_marks(pages, tokens, found).filter("kind <> 'markup'").unionByName(closed).unionByName(lines[0]).unionByName(lines[1])
-    nodes = found.filter((F.col("name") == SPOILER) & F.col("followed")).select(
-        "page_key", F.col("tstart").alias("start"), F.col("tend").alias("end"), F.struct("key", F.col("vstart").alias("value_start"), F.col("vend").alias("value_end")).alias("node"))
-    rows = hidden.select("page_key", "start", "end").withColumn("node", F.lit(None).cast(nodes.schema["node"].dataType)).unionByName(nodes)
-    order = Window.partitionBy("page_key").orderBy("start", F.col("end").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    name, sort = F.col("name"), F.col("sort")
+    node = F.struct("key", F.col("vstart").alias("value_start"), F.col("vend").alias("value_end"))
+    nowhere = F.lit(None).cast("struct<key:string,value_start:bigint,value_end:bigint>")
+    hidden = F.transform(F.filter(F.array_compact(ranges()), lambda s: (s["kind"] != "markup") & (s["start"] < s["end"])), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), nowhere.alias("node")))
+    none = F.slice(F.array(F.struct("start", "end", nowhere.alias("node"))), 1, 0)
+    closed = (sort == "template") & name.isin(*ICONS) & (F.col("piece") == 0) | sort.isin("heading", "outer")
+    found = F.concat(
+        F.coalesce(hidden, none), F.when(closed, F.array(F.struct("start", "end", nowhere.alias("node")))).otherwise(none),
+        F.when((sort == "template") & (name == SPOILER) & F.col("followed"), F.array(F.struct("start", "end", node.alias("node")))).otherwise(none))
+    rows = flat(constructs(pages), found)
+    # a value that is not followed hides a spoiler which is all of it
+    order = Window.partitionBy("page_key").orderBy("start", F.col("end").desc(), F.col("node").isNotNull()).rowsBetween(Window.unboundedPreceding, -1)
     free = F.coalesce(F.max("end").over(order), F.lit(0)) <= F.col("start")
     return rows.withColumn("free", free).filter("free and node is not null").select("page_key", "start", "end", "node.*")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagemill.operators import display, scan
+from pagemill.operators import cutting, scan
 from pagemill.operators import spans as S
 from pagemill.session import by_page
 
@@ -75,21 +75,28 @@ def without_tags(text: Column) -> Column:
 
 def surroundings(pages: DataFrame) -> DataFrame:
     """page_key, around: the ranges that give text another role or silence it, of the pages that have any."""
-    tokens = S.markup(pages)
-    tags = display.paired_tags(pages)
-    role = F.coalesce(*[F.when(F.col("tag") == t, F.lit(r)) for t, r in TAG_ROLES.items()])
-    inside = tags.withColumn("role", role).filter(F.col("role").isNotNull() | (F.col("tag") == DOCUMENTATION_TAG)).select(
-        "page_key", F.col("open_end").alias("start"), F.col("close_start").alias("end"), "role", (F.col("tag") == DOCUMENTATION_TAG).alias("silent"))
-    media = F.lit(False)
-    for prefix in MEDIA:
-        media = media | F.col("begin").startswith(prefix)
-    captions = display.link_rows(pages, tokens).filter(media & F.col("bar").isNotNull()).select(
-        "page_key", (F.col("bar") + 1).alias("start"), (F.col("end") - 2).alias("end"), F.lit("media_caption").alias("role"), F.lit(False).alias("silent"))
-    values = S.all_pieces(pages, tokens).filter("piece > 0").select(
-        "page_key", F.col("vstart").alias("start"), F.col("vend").alias("end"), F.lit("text").alias("role"), F.col("key").rlike(OTHER_VOICE).alias("silent"))
-    marked = inside.unionByName(captions)
-    kept = values.filter("silent").unionByName(values.filter("not silent").join(marked.select("page_key").distinct(), "page_key", "left_semi")).unionByName(marked)
-    return kept.groupBy("page_key").agg(F.collect_list(F.struct("start", "end", "role", "silent")).alias("around"))
+    rows = pages.select("page_key", "text").transform(by_page).select("page_key", cutting.constructs("text").alias("cs"))
+
+    def around(start: Column, end: Column, role: Column, silent: Column) -> Column:
+        return F.struct(start.cast("bigint").alias("start"), end.cast("bigint").alias("end"), role.alias("role"), silent.alias("silent"))
+
+    def media(name: Column) -> Column:
+        out = F.lit(False)
+        for prefix in MEDIA:
+            out = out | name.startswith(prefix)
+        return out
+
+    role = lambda tag: F.coalesce(*[F.when(tag == t, F.lit(r)) for t, r in TAG_ROLES.items()])
+    tags = F.transform(
+        F.filter("cs", lambda c: (c["sort"] == "pair") & c["name"].isin(*TAG_ROLES, DOCUMENTATION_TAG)), lambda c: around(c["inner_start"], c["inner_end"], role(c["name"]), c["name"] == DOCUMENTATION_TAG))
+    captions = F.transform(
+        F.filter("cs", lambda c: (c["sort"] == "link") & c["inner_start"].isNotNull() & media(c["name"])), lambda c: around(c["inner_start"] + 1, c["end"] - 2, F.lit("media_caption"), F.lit(False)))
+    pieces = F.filter(F.flatten(F.transform("cs", lambda c: c["ps"])), lambda p: p["piece"] > 0)
+    values = F.transform(pieces, lambda p: around(p["vstart"], p["vend"], F.lit("text"), p["key"].rlike(OTHER_VOICE)))
+    rows = rows.select("page_key", F.concat(tags, captions).alias("marked"), values.alias("values"))
+    # arguments matter where they silence, or where something else gives their text a role
+    kept = F.concat("marked", F.filter("values", lambda v: v["silent"] | (F.size("marked") > 0)))
+    return rows.select("page_key", kept.alias("around"))
 
 
 def with_surroundings(found: DataFrame, pages: DataFrame) -> DataFrame:

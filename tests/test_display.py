@@ -52,6 +52,12 @@ def test_links_tags_and_lines(pages):
     assert "x" in only(got[7], "visible")
 
 
+def test_signs_count_where_their_line_begins(pages):
+    got = spans(pages, "<b>x</b>::", "a''b''----", "== h ==\t\nx", "a\r\n* b")
+    assert only(got[0], "visible") == ["x", "::"] and only(got[1], "visible") == ["a", "b", "----"]
+    assert only(got[2], "visible") == [" h ", "\nx"] and only(got[3], "visible") == ["a\r\n", " b"]
+
+
 def test_any_text_is_covered_once(pages):
     rng = random.Random(11)
     signs = ["{{颜色|", "{{黑幕|", "{{odd|", "}}", "[[", "]]", "|", "=", "<b>", "</b>", "<ref>", "</ref>", "<!--", "-->", "''", "\n", "*", "==", "文", "a ", "{{{", "}}}", "{|", "|}", "<nowiki>", "</nowiki>", "[http://a b", "]", "描述="]
