@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemill.functions import text as T
 from pagemill.operators import cutting, scan
-from pagemill.operators import spans as S
 from pagemill.session import by_page
 
 # H5: priority of dispositions inside a segment, lowest first (fixed values).
@@ -73,10 +73,8 @@ def without_tags(text: Column) -> Column:
     return F.when(text.contains("<"), bare).otherwise(text)
 
 
-def surroundings(pages: DataFrame) -> DataFrame:
-    """page_key, around: the ranges that give text another role or silence it, of the pages that have any."""
-    rows = pages.select("page_key", "text").transform(by_page).select("page_key", cutting.constructs("text").alias("cs"))
-
+def surroundings(constructs: str) -> Column:
+    """The ranges of a text that give its parts another role or silence them. ``constructs``: a column of ``cutting.constructs``."""
     def around(start: Column, end: Column, role: Column, silent: Column) -> Column:
         return F.struct(start.cast("bigint").alias("start"), end.cast("bigint").alias("end"), role.alias("role"), silent.alias("silent"))
 
@@ -88,71 +86,44 @@ def surroundings(pages: DataFrame) -> DataFrame:
 
     role = lambda tag: F.coalesce(*[F.when(tag == t, F.lit(r)) for t, r in TAG_ROLES.items()])
     tags = F.transform(
-        F.filter("cs", lambda c: (c["sort"] == "pair") & c["name"].isin(*TAG_ROLES, DOCUMENTATION_TAG)), lambda c: around(c["inner_start"], c["inner_end"], role(c["name"]), c["name"] == DOCUMENTATION_TAG))
+        F.filter(constructs, lambda c: (c["sort"] == "pair") & c["name"].isin(*TAG_ROLES, DOCUMENTATION_TAG)), lambda c: around(c["inner_start"], c["inner_end"], role(c["name"]), c["name"] == DOCUMENTATION_TAG))
     captions = F.transform(
-        F.filter("cs", lambda c: (c["sort"] == "link") & c["inner_start"].isNotNull() & media(c["name"])), lambda c: around(c["inner_start"] + 1, c["end"] - 2, F.lit("media_caption"), F.lit(False)))
-    pieces = F.filter(F.flatten(F.transform("cs", lambda c: c["ps"])), lambda p: p["piece"] > 0)
+        F.filter(constructs, lambda c: (c["sort"] == "link") & c["inner_start"].isNotNull() & media(c["name"])), lambda c: around(c["inner_start"] + 1, c["end"] - 2, F.lit("media_caption"), F.lit(False)))
+    pieces = F.filter(F.flatten(F.transform(constructs, lambda c: c["ps"])), lambda p: p["piece"] > 0)
     values = F.transform(pieces, lambda p: around(p["vstart"], p["vend"], F.lit("text"), p["key"].rlike(OTHER_VOICE)))
-    rows = rows.select("page_key", F.concat(tags, captions).alias("marked"), values.alias("values"))
     # arguments matter where they silence, or where something else gives their text a role
-    kept = F.concat("marked", F.filter("values", lambda v: v["silent"] | (F.size("marked") > 0)))
-    return rows.select("page_key", kept.alias("around"))
-
-
-def with_surroundings(found: DataFrame, pages: DataFrame) -> DataFrame:
-    held = F.filter("around", lambda a: (a["start"] <= F.col("start")) & (a["end"] >= F.col("end")))
-    rows = found.join(surroundings(pages), "page_key", "left").withColumn("held", F.coalesce(held, F.slice("around", 1, 0)))
-    inner = F.array_max(F.transform(F.filter("held", lambda a: a["role"].isNotNull()), lambda a: F.struct(a["start"].alias("start"), (-a["end"]).alias("end"), a["role"].alias("role"))))["role"]
-    role = F.when((F.col("role") == "text") & inner.isNotNull(), inner).otherwise(F.col("role"))
-    return rows.select("page_key", "start", "end", role.alias("role"), "text", F.coalesce(F.exists("held", lambda a: a["silent"]), F.lit(False)).alias("silent"))
+    return T.let(F.concat(tags, captions), lambda marked: F.concat(marked, F.filter(values, lambda v: v["silent"] | (F.size(marked) > 0))))
 
 
 def candidates(pages: DataFrame) -> DataFrame:
     """Every line piece with a Chinese character, its offsets and its role in the markup.
 
     Text takes the role of the innermost style, reference or caption around it; an argument of a template is text again. ``silent``: inside
-    documentation, or a voice field in another language. This inventory reads the tokens only; it shares nothing with the extraction of units."""
-    found = F.regexp_extract_all("bare", F.lit(S.TOKEN), F.lit(0))
-
-    def token(t: Column) -> Column:
-        kind = S._kind(t)
-        comment = t.endswith("-->")
-        body = F.when(kind.isNotNull(), F.substring(t, F.lit(1), F.char_length(t) - F.char_length(kind))).when(
-            comment, F.regexp_extract(t, r"(?s)^(.*?)<!--", 1)).otherwise(t)
-        return F.struct(
-            F.char_length(t).alias("n"), kind.alias("kind"), F.when(body.rlike(HAN), body).alias("body"),
-            F.when(comment & F.regexp_extract(t, COMMENT_TEXT, 1).rlike(HAN), F.regexp_extract(t, COMMENT_TEXT, 1)).alias("comment"))
-
-    order = Window.partitionBy("page_key").orderBy("i")
-    rows = (
-        pages.select("page_key", "text").transform(by_page).withColumn("bare", without_tags(F.col("text")))
-        .select("page_key", F.posexplode(F.transform(found, token)).alias("i", "t"))
-        .select("page_key", "i", "t.*").withColumn("end", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("begin", F.col("end") - F.col("n")).withColumn("start", F.col("end") - F.char_length(F.coalesce("kind", F.lit("")))))
-    marks = S._cut(S._owned(S._matched(rows.withColumn("kind", F.coalesce("kind", F.lit(""))).select("page_key", "i", "kind", "end", "start"))))
-    both = rows.drop("kind", "start", "end", "n").join(marks, ["page_key", "i"])
-    prev = {n: F.lag(n).over(order) for n in ("kind", "opened", "bar", "equals", "t_owner", "l_owner")}
-    for n, column in prev.items():
-        both = both.withColumn(f"p_{n}", column)
-    after_open = F.col("p_opened")
-    namespace = F.lower(F.regexp_extract("body", r"^\s*([^:：\s]+)\s*:", 1))
-    media, category = namespace.isin("file", "image", "文件"), namespace.isin("category", "分类")
-    loose = F.col("t_owner").isNull() & F.col("l_owner").isNull()
+    documentation, or a voice field in another language. This inventory reads the marks only; it shares nothing with the extraction of units."""
+    rows = pages.select("page_key", "text").transform(by_page).withColumn("bare", without_tags(F.col("text")))
+    rows = rows.select("page_key", cutting.chinese("bare").alias("found"), cutting.constructs("text").alias("cs"))
+    rows = rows.select("page_key", "found", surroundings("cs").alias("around"))
+
+    def with_end(p: Column) -> Column:
+        end = p["start"] + F.char_length(p["text"])
+        return T.let(F.filter("around", lambda a: (a["start"] <= p["start"]) & (a["end"] >= end)), lambda held: F.struct(
+            p["start"].alias("start"), end.cast("bigint").alias("end"), p["text"].alias("text"), p["after"].alias("after"), p["before"].alias("before"), p["namespace"].alias("namespace"),
+            p["one_line"].alias("one_line"), F.exists(held, lambda a: a["silent"]).alias("silent"),
+            F.array_max(F.transform(F.filter(held, lambda a: a["role"].isNotNull()), lambda a: F.struct(a["start"].alias("start"), (-a["end"]).alias("end"), a["role"].alias("role"))))["role"].alias("inner")))
+
+    rows = rows.select("page_key", F.inline(F.transform("found", with_end)))
+    after, before = F.col("after"), F.col("before")
+    media, category = F.col("namespace").isin("file", "image", "文件"), F.col("namespace").isin("category", "分类")
     role = (
-        F.when(after_open & (F.col("p_kind") == "{{"), "template_name")
-        .when(after_open & (F.col("p_kind") == "[["), F.when(media, "media").when(category | (F.col("kind") == "|"), "link_target").otherwise("text"))
-        .when(F.col("p_bar") & F.col("equals"), "parameter_name")
-        .when((F.col("p_kind") == "=") & (F.col("kind") == "=") & loose & ~F.col("body").contains("\n"), "heading")
+        F.when(after == "{{", "template_name")
+        .when(after == "[[", F.when(media, "media").when(category | (before == "|"), "link_target").otherwise("text"))
+        .when((after == "|") & (before == "="), "parameter_name")
+        .when((after == "=") & (before == "loose") & F.col("one_line"), "heading")
+        .when(after == "<!--", "comment")
         .otherwise("text"))
-    texts = both.filter("body is not null").select("page_key", F.col("begin").alias("at"), "body", role.alias("role"))
-    notes = rows.filter("comment is not null").select(
-        "page_key", (F.col("end") - 3 - F.char_length("comment")).alias("at"), F.col("comment").alias("body"), F.lit("comment").alias("role"))
-    pieces = F.transform(F.split("body", rf"[\n{BLANK}]"), lambda x: F.struct(F.char_length(x).alias("n"), x.alias("x")))
-    cut = texts.unionByName(notes).select("page_key", "at", "role", F.posexplode(pieces).alias("k", "p"))
-    within = Window.partitionBy("page_key", "at", "role").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    cut = cut.withColumn("start", F.col("at") + F.sum(F.col("p.n") + 1).over(within) - 1 - F.col("p.n"))
-    return with_surroundings(cut.filter(F.col("p.x").rlike(HAN)).select(
-        "page_key", "start", (F.col("start") + F.col("p.n")).alias("end"), "role", F.col("p.x").alias("text")), pages)
+    rows = rows.withColumn("role", role)
+    own = F.when((F.col("role") == "text") & F.col("inner").isNotNull(), F.col("inner")).otherwise(F.col("role"))
+    return rows.select("page_key", "start", "end", own.alias("role"), "text", F.coalesce("silent", F.lit(False)).alias("silent"))
 
 
 INTRINSIC = {"template_name": "metadata", "parameter_name": "metadata", "heading": "metadata", "link_target": "metadata",

@@ -57,6 +57,12 @@ def test_evidence_of_sampled_pages(spark):
         "a": ("same", "same", 2, 2), "b": ("different", "different", 1, 1), "c": ("missing", "missing", 0, 1), "d": ("absent", "absent", 0, 0)}
 
 
+def test_text_that_only_ends_like_a_comment_stays_in_the_inventory(pages):
+    found = intervals.candidates(pages("{{x|甲-->", "乙<!-- 丙 -->丁-->")).collect()
+    assert sorted((r.page_key, r.start, r.text, r.role) for r in found) == [
+        ("p0", 4, "甲-->", "text"), ("p1", 0, "乙", "text"), ("p1", 5, " 丙 ", "comment"), ("p1", 11, "丁-->", "text")]
+
+
 def test_all_roles_of_text(pages):
     text = ("正文{{模板|参数=值}}\n== 标题 ==\n<ref>注释{{甲|内}}</ref><style>样式</style>[[文件:图.png|说明]][[目标|标签]]<!--评论-->\n"
             "<noinclude>文档</noinclude>{{角色/语音|语音内容=声|语音内容日语=日}}<ref><style>深</style></ref>")
