@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,8 +28,10 @@ def strip(value: Column | str) -> Column:
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Use one value several times in ``body`` without repeating its expression."""
-    return F.transform(F.array(value), body)[0]
+    """Use one value several times in ``body`` without repeating its expression.
+
+    The value starts an aggregate over nothing, so no array is made and its type is not worked out again for every row."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda kept, _: kept, body)
 
 
 def replace_all(value: Column, *rules: tuple[str, str]) -> Column:
@@ -41,18 +45,24 @@ def line_breaks(value: Column | str) -> Column:
     return replace_all(col(value), (BREAK, "\n"), (r"\r\n?", "\n"))
 
 
-def _guarded(value: Column | str, pattern: str, body: Callable[[Column], Column]) -> Column:
+def _guarded(value: Column | str, test: str | Callable[[Column], Column], body: Callable[[Column], Column]) -> Column:
     """Run a chain of rules only on texts that hold a character the rules look for.
 
     A named column is looked at before the rules bind it, which compiled code does; other values are worked out once."""
+    asks = test if callable(test) else lambda v: v.rlike(test)
     if isinstance(value, str):
-        return F.when(F.col(value).rlike(pattern), let(F.col(value), body)).otherwise(strip(value))
-    return let(col(value), lambda v: F.when(v.rlike(pattern), body(v)).otherwise(strip(v)))
+        return F.when(asks(F.col(value)), let(F.col(value), body)).otherwise(strip(value))
+    return let(col(value), lambda v: F.when(asks(v), body(v)).otherwise(strip(v)))
+
+
+# Signs that rules of ``normalize`` wait for, and where one of them matches; blanks at the ends of a text go either way.
+SIGNS = r"[\r\n\t\x0b\f\\{&\xa0<　]"
+UNEVEN = r"[\r\xa0]|\\\||\{\{!|&n|<[!bB]|[ \t]{2}|\n{3}|[ \t\x0b\f　][\n\x85\u2028\u2029]|[\n\x85\u2028\u2029][ \t\x0b\f　]"
 
 
 def normalize(value: Column | str) -> Column:
     """K1: line ends, escaped bars, hard blanks, comments, breaks, per-line trim, blank runs."""
-    return _guarded(value, r"[\r\n\t\x0b\f\\{&\xa0<　]|  ", _normalize)
+    return _guarded(value, lambda v: (v.contains("  ") | v.rlike(SIGNS)) & v.rlike(UNEVEN), _normalize)
 
 
 def _normalize(value: Column) -> Column:
@@ -92,47 +102,53 @@ def _rounds(value: Column) -> Column:
 
 def strip_code(value: Column) -> Column:
     """Drop what remains of markup: templates inside out, link targets, tags, quote marks."""
-    return let(value, lambda v: F.when(v.rlike(r"[\[{<'=*#:;]"), _strip_code(v)).otherwise(v))
-
+    def flat(v: Column) -> Column:
+        return F.aggregate(_rounds(v), v, lambda acc, _: F.regexp_replace(acc, r"\{\{[^{}]*\}\}", ""))
 
-def _strip_code(value: Column) -> Column:
-    flat = let(value, lambda v: F.aggregate(
-        _rounds(v), v, lambda acc, _: F.regexp_replace(acc, r"\{\{[^{}]*\}\}", "")))
-    return replace_all(
-        flat,
+    # each group of rules runs on texts that hold a sign it looks for
+    out = let(value, lambda v: F.when(v.contains("{{"), flat(v)).otherwise(v))
+    out = let(out, lambda v: F.when(v.contains("["), replace_all(
+        v,
         (r"\[\[[^\[\]|]*\|([^\[\]]*)\]\]", "$1"),
         (r"\[\[([^\[\]]*)\]\]", "$1"),
-        (r"\[https?://[^\s\]]+ ([^\]]+)\]", "$1"),
+        (r"\[https?://[^\s\]]+ ([^\]]+)\]", "$1"))).otherwise(v))
+    return let(out, lambda v: F.when(v.rlike(r"[<=*#:;']"), replace_all(
+        v,
         (TAG, ""),
         (r"(?m)^(={1,6})\s*(.*?)\s*\1\s*$", "$2"),
         (r"(?m)^[*#:;]+\s*", ""),
-        (r"'{2,}", ""),
-    )
+        (r"'{2,}", ""))).otherwise(v))
 
 
 ICON = r"\{\{\s*图标\s*\|[^{}|]*\|([^{}|]+)(?:\|[^{}]*)?\}\}"
 ICON_ONE = r"\{\{\s*图标\s*\|([^{}|]+)\|?\}\}"
 
 
-# What the rules of ``plain`` look for; those of ``normalize`` look for part of it.
-MARKED = r"[\r\n\t\x0b\f\\{&\xa0<　\[|'=*#:;]|  "
+# What the rules of ``plain`` look for besides two blanks; those of ``normalize`` look for part of it.
+MARKED = r"[\r\n\t\x0b\f\\{&\xa0<　\[|'=*#:;]"
 
 
 def plain(value: Column | str) -> Column:
     """K2: normalised text, icons as their label, file links, tags, tab marks and markup removed."""
-    return _guarded(value, MARKED, _plain)
+    return _guarded(value, lambda v: v.contains("  ") | v.rlike(MARKED), _plain)
 
 
 def _plain(value: Column) -> Column:
-    out = replace_all(
-        normalize(value),
-        (ICON, "$1"),
-        (ICON_ONE, "$1"),
-        (FILE_LINK, ""),
-        (TAG, ""),
-        (r"(?m)^\|-\|\s*$", ""),
-        (r"(?m)^\d+\s*=\s*$", ""),
-    )
+    def shown(v: Column) -> Column:
+        return replace_all(
+            v,
+            (ICON, "$1"),
+            (ICON_ONE, "$1"),
+            (FILE_LINK, ""),
+            (TAG, ""),
+            (r"(?m)^\|-\|\s*$", ""),
+            (r"(?m)^\d+\s*=\s*$", ""),
+        )
+
+    def asks(v: Column) -> Column:
+        return v.contains("图标") | v.contains("<") | v.contains("=") | v.contains("|-|") | (v.contains("[[") & v.contains(":"))
+
+    out = let(normalize(value), lambda v: F.when(asks(v), shown(v)).otherwise(v))
     return normalize(strip_code(out))
 
 
@@ -260,7 +276,11 @@ LIST_PREFIXES = ("完成前置任务", "完成魔神任务", "完成任务", "
 def strip_list_prefix(value: Column | str) -> Column:
     """K7: wordy prefixes of quest references, each tried once in this order."""
     pattern = "^" + "".join(f"(?:{prefix}[：: ]*)?" for prefix in LIST_PREFIXES)
-    return F.regexp_replace(F.btrim(strip(value), F.lit("：:")), pattern, "")
+
+    def begins(v: Column) -> Column:
+        return reduce(or_, [v.startswith(prefix) for prefix in LIST_PREFIXES])
+
+    return let(F.btrim(strip(value), F.lit("：:")), lambda v: F.when(begins(v), F.regexp_replace(v, pattern, "")).otherwise(v))
 
 
 def library_text(value: Column | str) -> Column:
@@ -314,5 +334,10 @@ def first_text(*values: Column) -> Column:
     return F.coalesce(out, F.lit(""))
 
 
+def filled(value: Column) -> Column:
+    """``value``, null when it is empty; a ``nullif`` would work it out twice."""
+    return let(value, lambda v: F.when(v != "", v))
+
+
 def _or_else(rest: Column) -> Callable[[Column], Column]:
     return lambda v: F.when(v != "", v).otherwise(rest)

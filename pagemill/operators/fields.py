@@ -25,28 +25,12 @@ def page_templates(pages: DataFrame) -> DataFrame:
 
 def with_templates(pages: DataFrame) -> DataFrame:
     """``pages`` with ``templates``, in the page's own row; empty where there is none."""
-    def shape(t: Column) -> Column:
-        keys = F.transform(t["params"], lambda p: p["key"])
-
-        def as_map(value) -> Column:
-            return F.map_from_arrays(keys, F.transform(t["params"], value))
-
-        return F.struct(
-            t["name"].alias("name"), t["depth"].alias("depth"), t["start"].alias("start"), t["end"].alias("end"), keys.alias("keys"),
-            as_map(lambda p: p["value"]).alias("raw"),
-            as_map(lambda p: F.when(p["marked"], T.normalize(p["raw"])).otherwise(p["value"])).alias("norm"),
-            as_map(lambda p: F.when(p["marked"], T.plain(p["raw"])).otherwise(p["value"])).alias("plain"),
-        )
-
-    # through a generator, so that filters on fields are not pushed below and repeat the values' rules
-    built = F.struct(F.transform("cut", shape).alias("templates"))
-    return pages.withColumn("cut", cutting.in_visiting_order("text")).select(*pages.columns, F.inline_outer(F.array(built)))
+    return pages.withColumn("templates", cutting.in_visiting_order("text"))
 
 
 def pick(params: Column, aliases: Sequence[str]) -> Column:
     """First alias with a value; the empty link counts as empty. Null when there is none."""
-    return F.coalesce(*[
-        F.nullif(F.nullif(F.element_at(params, a), F.lit("")), F.lit("[[]]")) for a in aliases])
+    return F.coalesce(*[F.when(~F.element_at(params, a).isin("", "[[]]"), F.element_at(params, a)) for a in aliases])
 
 
 def first_value(values: Column) -> Column:
@@ -100,13 +84,12 @@ def quest_kind(name: Column) -> Column:
 def best_quest_template(templates: Column | str) -> Column:
     """D3: as D2 with the groups of the template's kind; templates without a hit are no candidates."""
     def rank(t: Column, i: Column) -> Column:
-        kind = quest_kind(t["name"])
         score = F.lit(0)
-        for _, label, groups in reversed(QUEST_KINDS):
+        for pattern, _, groups in reversed(QUEST_KINDS):
             hits = sum((pick(t["norm"], g).isNotNull().cast("int") for g in groups[1:]),
                        pick(t["norm"], groups[0]).isNotNull().cast("int"))
-            score = F.when(kind == label, hits).otherwise(score)
-        return F.when(score > 0, F.struct(score.alias("score"), F.size(t["keys"]).alias("size"), (-i).alias("at")))
+            score = F.when(t["name"].rlike(pattern), hits).otherwise(score)
+        return T.let(score, lambda s: F.when(s > 0, F.struct(s.alias("score"), F.size(t["keys"]).alias("size"), (-i).alias("at"))))
 
     return _at_best(T.col(templates), rank)
 
@@ -154,6 +137,12 @@ def resolve(templates: Column | str, preferred: Column | None, aliases: Sequence
             *, form: str = "plain") -> Column:
     """Aliases in the preferred template, then in every template, then in the raw text."""
     names = _names(aliases)
+    clean = T.plain if form == "plain" else T.normalize
+    if not isinstance(aliases, Column):
+        # the preferred template is read by compiled code; the other templates only if it has no value
+        tries = [] if preferred is None else [pick(preferred[form], aliases)]
+        tries.append(first_value(F.transform(T.col(templates), lambda t: pick(t[form], aliases))))
+        return F.coalesce(*tries, F.lit("") if text is None else clean(raw_param(text, names)))
 
     def in_template(found: Column, t: Column) -> Column:
         return F.when(found != "", found).otherwise(_pick_any(t[form], names))
@@ -162,7 +151,6 @@ def resolve(templates: Column | str, preferred: Column | None, aliases: Sequence
     found = F.aggregate(T.col(templates), start, in_template)
     if text is None:
         return found
-    clean = T.plain if form == "plain" else T.normalize
     return T.let(found, lambda v: F.when(v != "", v).otherwise(clean(raw_param(text, names))))
 
 

@@ -48,7 +48,7 @@ def related_names(raw: Column | str) -> Column:
 
 def split_list(raw: Column | str) -> Column:
     """Lines and separators to ordered distinct values, wordy prefixes removed."""
-    lines = F.transform(F.split(T.normalize(raw), "\n"), lambda x: T.strip(F.regexp_replace(T.strip(x), r"^[*#:]+", "")))
+    lines = F.transform(F.split(T.normalize(raw), "\n"), lambda x: T.strip(F.ltrim(T.strip(x), F.lit("*#:"))))
     chunks = F.flatten(F.transform(lines, lambda x: F.split(x, r"[、，,]+")))
     values = F.transform(chunks, lambda x: T.strip_list_prefix(T.plain(x)))
     return F.array_distinct(F.filter(values, lambda x: x != ""))

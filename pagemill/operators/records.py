@@ -144,14 +144,14 @@ def icons(raw: Column) -> Column:
     bodies = F.regexp_extract_all(raw, F.lit(r"\{\{\s*图标\s*\|([^{}]*)\}\}"), F.lit(1))
     ruled = lambda b: F.transform(F.split(b, r"\|"), lambda x: T.plain(F.regexp_replace(x, r"^\s*\d+\s*=", "")))
     # without a sign that a rule looks for, arguments differ from their text by single blanks at most
-    return F.transform(bodies, lambda b: F.when(b.rlike(T.MARKED.replace("|", "", 1)), ruled(b)).otherwise(F.split(F.btrim(b), r" ?\| ?")))
+    return F.transform(bodies, lambda b: F.when(b.contains("  ") | b.rlike(T.MARKED.replace("|", "")), ruled(b)).otherwise(F.split(F.btrim(b), r" ?\| ?")))
 
 
 def rewards(raw: Column) -> Column:
     """Icon templates as name and amount; else the plain list without amounts."""
     from_icons = F.filter(F.transform(icons(T.normalize(raw)), lambda a: F.struct(
         F.coalesce(F.get(a, F.lit(0)), F.lit("")).alias("name"),
-        F.nullif(T.strip(F.regexp_replace(F.coalesce(F.get(a, F.lit(1)), F.lit("")), ",", "")), F.lit("")).alias("amount"))),
+        T.filled(T.strip(F.replace(F.coalesce(F.get(a, F.lit(1)), F.lit("")), F.lit(","), F.lit("")))).alias("amount"))),
         lambda r: r["name"] != "")
     from_list = F.transform(links.split_list(raw), lambda n: F.struct(n.alias("name"), F.lit(None).cast("string").alias("amount")))
     return T.let(from_icons, lambda found: F.when(F.size(found) > 0, found).otherwise(from_list))
@@ -177,7 +177,7 @@ def reward_summary(rows: DataFrame, keys: list[str], position: Column, name: str
 
 def reference_chunks(raw: Column) -> Column:
     """Lines split at separators that stand outside links."""
-    lines = F.transform(F.split(T.normalize(raw), "\n"), lambda x: T.strip(F.regexp_replace(T.strip(x), r"^[*#:]+", "")))
+    lines = F.transform(F.split(T.normalize(raw), "\n"), lambda x: T.strip(F.ltrim(T.strip(x), F.lit("*#:"))))
     chunks = F.flatten(F.transform(lines, lambda x: F.split(x, r"[、，,](?![^\[\]]*\]\])")))
     return F.filter(F.transform(chunks, T.strip), lambda x: x != "")
 
@@ -186,7 +186,7 @@ def references(raw: Column) -> Column:
     """Title, chapter and act of every reference, distinct."""
     def read(chunk: Column) -> Column:
         targets = F.transform(F.regexp_extract_all(chunk, F.lit(links.LINK_TARGET), F.lit(1)), T.plain)
-        target = F.coalesce(F.get(F.filter(targets, lambda t: (t != "") & ~t.rlike(links.NOT_A_PAGE)), F.lit(0)), F.lit(""))
+        target = F.coalesce(F.get(F.filter(targets, lambda t: (t != "") & ~(t.contains(":") & t.rlike(links.NOT_A_PAGE))), F.lit(0)), F.lit(""))
 
         def named(shown: Column) -> Column:
             quoted = T.strip(F.regexp_extract(shown, "[「『“\"]\\s*([^」』”\"]+?)\\s*[」』”\"]", 1))
